@@ -23,19 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def txn_from_events(events: DataFrame) -> DataFrame:
+def txn_from_events(events: DataFrame, keep_ts: bool = False) -> DataFrame:
     """Seconds since the origin as ``Time`` (time-zone independent)."""
     micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{ORIGIN}', ts)")
-    return events.select(
+    cols = [
         F.col("event_id").alias("id"),
         (micros / F.lit(1e6)).alias("Time"),
         nan_to_null(F.col("value")).alias("Amount"),
         (F.col("event_type") == F.lit("error")).cast("int").alias("Class"),
-    )
+    ]
+    return events.select(*cols, *(["ts"] if keep_ts else []))
 
 
-def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return txn_from_events(table(spark, sf_dir, "events"))
+def txn(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -> DataFrame:
+    return txn_from_events(table(spark, sf_dir, "events"), keep_ts)
 
 
 def vectors(spark: SparkSession, sf_dir: str, n: int = N_VECTOR) -> DataFrame:
