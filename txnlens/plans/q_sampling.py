@@ -1 +1,45 @@
-"""Registered queries (filled in below)."""
+"""Sampling, split and fold queries."""
+
+from __future__ import annotations
+
+from ..operators import sampling
+from ..sources.tables import txn, with_views
+from .catalog import register
+
+HASH = "md5(CAST(id AS VARCHAR) || '-42')"
+
+
+@register("sample_rows", "R1", with_views(f"""
+SELECT id, Time, Amount, Class FROM txn ORDER BY {HASH}, id LIMIT 1000"""))
+def sample_rows(spark, sf):
+    return sampling.sample_exact(txn(spark, sf), 1000, seed=42).select("id", "Time", "Amount", "Class")
+
+
+def _split_sql(frac: float, strat: bool) -> str:
+    part = "PARTITION BY Class " if strat else ""
+    return with_views(f"""
+SELECT id, Class, CASE WHEN rn < round({frac} * cnt) THEN 'test' ELSE 'train' END AS split FROM (
+  SELECT id, Class, row_number() OVER ({part}ORDER BY {HASH}, id) - 1 AS rn,
+         count(*) OVER ({part.strip()}) AS cnt FROM txn) q""")
+
+
+@register("stratified_split", "R2", _split_sql(0.2, True))
+def stratified_split(spark, sf):
+    return sampling.stratified_split(txn(spark, sf), 0.2).select("id", "Class", "split")
+
+
+@register("stratified_split_70_30", "R2", _split_sql(0.3, True))
+def stratified_split_70_30(spark, sf):
+    return sampling.stratified_split(txn(spark, sf), 0.3).select("id", "Class", "split")
+
+
+@register("random_split", "R3", _split_sql(0.2, False))
+def random_split(spark, sf):
+    return sampling.random_split(txn(spark, sf), 0.2).select("id", "Class", "split")
+
+
+@register("stratified_folds", "R5", with_views(f"""
+SELECT id, Class, CAST((row_number() OVER (PARTITION BY Class ORDER BY {HASH}, id) - 1) % 3 AS INTEGER) AS fold
+FROM txn"""))
+def stratified_folds(spark, sf):
+    return sampling.stratified_folds(txn(spark, sf), 3).select("id", "Class", "fold")
