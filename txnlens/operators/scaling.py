@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import attach_params
-from .quantiles import approx_quantiles, exact_quantiles
+from .quantiles import approx_quantiles, exact_quantiles_multi
 
 MINMAX_EPS = 1e-8
 
@@ -30,9 +30,10 @@ def fit_robust(df: DataFrame, cols: list[str], exact: bool = True,
     Exact quantiles use distributed histogram refinement; ``exact=False``
     uses one ``percentile_approx`` pass."""
     vals = {}
+    qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75]) if exact else {
+        c: approx_quantiles(df, c, [0.25, 0.5, 0.75], accuracy) for c in cols}
     for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75]) if exact else approx_quantiles(df, c, [0.25, 0.5, 0.75], accuracy)
-        q25, q50, q75 = q
+        q25, q50, q75 = qs[c]
         iqr = None if q25 is None else q75 - q25
         vals[f"{c}_center"] = q50
         vals[f"{c}_scale"] = 1.0 if (iqr is None or iqr == 0) else iqr

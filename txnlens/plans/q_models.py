@@ -1 +1,93 @@
-"""Registered queries (filled in below)."""
+"""Model queries (randomised / iterative: rows-only checks). Training rows
+are the 'train' part of the stratified 80/20 split of txn_ml; every row of
+the table is scored."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.columns import rounded
+from ..operators import ensemble, forest, graph_model, metrics, reconstruct, sampling
+from ..operators.features import engineer_features, feature_columns, fit_feature_scaler
+from ..sources.tables import txn_ml
+from .catalog import register
+from .q_scores import scores
+
+
+def features_with_split(spark, sf):
+    t = txn_ml(spark, sf)
+    f = engineer_features(t, fit_feature_scaler(t), keep=["id", "vec_id", "Time", "Amount", "Class"])
+    return sampling.stratified_split(f, 0.2, "Class", seed=42, key="vec_id"), feature_columns(f)
+
+
+@register("isolation_forest_scores", "M1 M2 A7 P7")
+def isolation_forest_scores(spark, sf):
+    f, cols = features_with_split(spark, sf)
+    model = forest.fit_isolation_forest(f.where(F.col("split") == "train"), cols, n_trees=100,
+                                        max_samples=256, contamination=0.1, seed=42)
+    s = forest.score_isolation_forest(f, model)
+    return s.select("id", "split", rounded("iso_score").alias("iso_score"), "iso_pred")
+
+
+@register("reconstruction_scores", "M4 N2 A10 A7 P6 P4")
+def reconstruction_scores(spark, sf):
+    f, cols = features_with_split(spark, sf)
+    normals = f.where((F.col("split") == "train") & (F.col("Class") == 0))
+    model = reconstruct.fit_reconstruction(normals, cols, k=16, quantile=0.95)
+    s = reconstruct.reconstruction_score(f, model)
+    return s.select("id", "split", rounded("reconstruction_score").alias("reconstruction_score"),
+                    "reconstruction_pred")
+
+
+@register("graph_node_scores", "M3 J1 J2 J3")
+def graph_node_scores(spark, sf):
+    f, cols = features_with_split(spark, sf)
+    h = graph_model.graph_features(f, cols, hops=3)
+    nodes = h.join(f.select("id", "Class", "split"), "id")
+    model = graph_model.fit_graph_classifier(nodes.where(F.col("split") == "train"), cols)
+    s = graph_model.graph_scores(model, nodes)
+    return s.select("id", "split", "Class", rounded("graph_score").alias("graph_score"))
+
+
+def _ensemble_split(spark, sf):
+    s = scores(spark, sf)
+    from ..operators.ensemble_features import ensemble_features
+
+    e = ensemble_features(s)
+    return sampling.stratified_split(e, 0.3, "Class", seed=42, key="id")
+
+
+@register("ensemble_scores", "M6 M8")
+def ensemble_scores(spark, sf):
+    e = _ensemble_split(spark, sf)
+    model = ensemble.fit_ensemble(e.where(F.col("split") == "train"), "lr", {"C": 1.0})
+    p = ensemble.predict_proba(model, e.where(F.col("split") == "test"))
+    return p.select("id", "Class", rounded("ensemble_prob").alias("ensemble_prob"), "ensemble_pred")
+
+
+@register("ensemble_feature_importance", "M12 T5")
+def ensemble_feature_importance(spark, sf):
+    e = _ensemble_split(spark, sf)
+    model = ensemble.fit_ensemble(e.where(F.col("split") == "train"), "rf",
+                                  {"n_estimators": 100, "max_depth": 5})
+    return ensemble.feature_importance(model)
+
+
+@register("ensemble_search", "M7 R5 T6")
+def ensemble_search(spark, sf):
+    e = _ensemble_split(spark, sf).where(F.col("split") == "train").drop("split")
+    folds = sampling.stratified_folds(e, 3, "Class", seed=42, key="id")
+    trials = ensemble.search(folds, n_trials=20, fold_col="fold")
+    return ensemble.best_trial(trials)
+
+
+@register("ensemble_comparison", "M9 M11")
+def ensemble_comparison(spark, sf):
+    e = _ensemble_split(spark, sf)
+    model = ensemble.fit_ensemble(e.where(F.col("split") == "train"), "lr", {"C": 1.0})
+    test = ensemble.predict_proba(model, e.where(F.col("split") == "test"))
+    base = metrics.model_comparison(test, {"graph": ("graph_score", False),
+                                           "reconstruction": ("reconstruction_norm", False),
+                                           "isolation_forest": ("iso_norm", False),
+                                           "ensemble": ("ensemble_prob", False)})
+    return base.select("model", rounded("auc").alias("auc"))
