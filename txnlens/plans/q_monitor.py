@@ -1,6 +1,6 @@
 """Monitoring queries over alerts and batch statistics derived from txn:
 alerts are rows with Amount > 147.35 (p95 at sf0.01), iso_score =
-147.35/Amount − 1 (negative = anomalous), confidence = |iso_score|;
+147.35/max(Amount, 0.01) − 1 (negative = anomalous), confidence = |iso_score|;
 batches are 100 rows in (Time, id) order."""
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ BATCH = 100
 
 def scored_txn(spark, sf):
     t = txn(spark, sf, keep_ts=True)
-    iso = F.lit(THRESHOLD) / F.col("Amount") - F.lit(1.0)
+    iso = F.lit(THRESHOLD) / F.greatest(F.col("Amount"), F.lit(0.01)) - F.lit(1.0)
     return t.select("id", "Time", "Amount", "Class",
                     iso_timestamp("ts").alias("timestamp"),
                     (F.col("Amount") > F.lit(THRESHOLD)).cast("int").alias("prediction"),
@@ -37,7 +37,8 @@ def stats(spark, sf):
 SCORED_SQL = f"""scored AS (
   SELECT id, Time, Amount, Class, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
          CAST(Amount > {THRESHOLD} AS INTEGER) AS prediction,
-         {THRESHOLD} / Amount - 1.0 AS iso_score, abs({THRESHOLD} / Amount - 1.0) AS confidence,
+         {THRESHOLD} / greatest(Amount, 0.01) - 1.0 AS iso_score,
+         abs({THRESHOLD} / greatest(Amount, 0.01) - 1.0) AS confidence,
          CAST(floor((row_number() OVER (ORDER BY Time, id) - 1) / {BATCH}) AS BIGINT) AS batch_id
   FROM txn JOIN events ON events.event_id = txn.id),
 alerts AS (SELECT timestamp, CAST(id AS VARCHAR) AS transaction_id, Amount AS amount, prediction,
