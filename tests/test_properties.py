@@ -63,3 +63,27 @@ def test_quantiles_match_numpy(spark, values, probs):
         got = exact_quantiles_multi(df, ["x"], probs, small_rows=small, buckets=8, collect_limit=20)["x"]
         want = np.percentile(np.array(values), [p * 100 for p in probs])
         assert np.allclose(got, want, rtol=1e-9, atol=1e-9)
+
+
+def test_smote_balanced_and_inside_segments(spark):
+    from txnlens.operators.resample import knn_join, smote
+
+    rng = np.random.default_rng(3)
+    rows = [(i, 0, *map(float, rng.normal(size=2))) for i in range(300)]
+    rows += [(300 + i, 1, *map(float, rng.normal(loc=3, size=2))) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, Class int, a double, b double")
+    out = smote(df, ["a", "b"], k=5, seed=1).cache()
+    counts = {r.Class: r["count"] for r in out.groupBy("Class").count().collect()}
+    assert counts[0] == counts[1] == 300
+    assert out.where("synthetic").select("id").distinct().count() == 260
+    # every synthetic point lies inside the minority bounding box
+    mino = np.array([r[2:] for r in rows if r[1] == 1])
+    syn = np.array([(r.a, r.b) for r in out.where("synthetic").collect()])
+    assert (syn >= mino.min(axis=0) - 1e-12).all() and (syn <= mino.max(axis=0) + 1e-12).all()
+    # kNN equals brute force
+    nn = {(r.id, r.nn_rank): r.nn_id for r in knn_join(df.where("Class = 1"), ["a", "b"], k=3, cell_size=8).collect()}
+    ids = [r[0] for r in rows if r[1] == 1]
+    for qi, q in zip(ids, mino):
+        d = ((mino - q) ** 2).sum(axis=1)
+        order = sorted((d[j], ids[j]) for j in range(len(ids)) if ids[j] != qi)[:3]
+        assert [nn[(qi, r)] for r in (1, 2, 3)] == [o[1] for o in order]

@@ -43,3 +43,38 @@ SELECT id, Class, CAST((row_number() OVER (PARTITION BY Class ORDER BY {HASH}, i
 FROM txn"""))
 def stratified_folds(spark, sf):
     return sampling.stratified_folds(txn(spark, sf), 3).select("id", "Class", "fold")
+
+
+# -- R4: minority kNN (exact) and SMOTE -----------------------------------------
+
+def _minority(spark, sf):
+    from pyspark.sql import functions as F
+
+    from ..functions.columns import hour_of_day
+
+    t = txn(spark, sf).withColumn("Hour", hour_of_day("Time"))
+    return t, t.where(F.col("Class") == 1)
+
+
+@register("minority_knn", "R4", with_views("""
+WITH m AS (SELECT id, Amount, (Time / 3600.0) % 24.0 AS Hour FROM txn WHERE Class = 1),
+p AS (SELECT a.id, b.id AS nn_id,
+             (a.Amount - b.Amount) * (a.Amount - b.Amount) + (a.Hour - b.Hour) * (a.Hour - b.Hour) AS d2
+      FROM m a JOIN m b ON a.id <> b.id),
+r AS (SELECT id, nn_id, d2, row_number() OVER (PARTITION BY id ORDER BY d2, nn_id) AS nn_rank FROM p)
+SELECT id, CAST(nn_rank AS INTEGER) AS nn_rank, nn_id, round(sqrt(d2), 6) + 0.0 AS dist FROM r WHERE nn_rank <= 5"""))
+def minority_knn(spark, sf):
+    from ..functions.columns import rounded
+    from ..operators.resample import knn_join
+
+    _, m = _minority(spark, sf)
+    nn = knn_join(m, ["Amount", "Hour"], k=5, key="id", cell_size=256)
+    return nn.select("id", "nn_rank", "nn_id", rounded("dist").alias("dist"))
+
+
+@register("smote_balanced", "R4 U3")
+def smote_balanced(spark, sf):
+    from ..operators.resample import smote
+
+    t, _ = _minority(spark, sf)
+    return smote(t, ["Amount", "Hour"], label="Class", minority=1, k=5, seed=42)
