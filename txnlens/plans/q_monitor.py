@@ -117,3 +117,22 @@ def alert_documents(spark, sf):
     first = F.array_min(F.transform("cases", lambda c: c["Time"]))
     return docs.select("batch_id", "fraud_count", rounded(amount).alias("cases_amount"),
                        rounded(first).alias("first_case_time"))
+
+
+_PARSED = "strptime(timestamp, '%Y-%m-%dT%H:%M:%S.%f')"
+
+
+@register("alert_timeline", "P13 A12", _sql(f"""
+SELECT CAST(date_trunc('day', {_PARSED}) AS VARCHAR) AS day,
+       count(*) AS n_alerts, {R('avg(confidence)')} AS avg_confidence,
+       {R(f'avg(epoch_us({_PARSED}) / 1e6)')} AS mean_epoch
+FROM alerts GROUP BY 1"""))
+def alert_timeline(spark, sf):
+    from ..functions.columns import epoch_seconds, parse_iso
+
+    a = alerts(spark, sf).withColumn("_ts", parse_iso("timestamp"))
+    g = a.groupBy(F.date_format(F.date_trunc("day", "_ts"), "yyyy-MM-dd HH:mm:ss").alias("day")) \
+         .agg(F.count(F.lit(1)).alias("n_alerts"), F.avg("confidence").alias("avg_confidence"),
+              F.avg(epoch_seconds("_ts")).alias("mean_epoch"))
+    return g.select("day", "n_alerts", rounded("avg_confidence").alias("avg_confidence"),
+                    rounded("mean_epoch").alias("mean_epoch"))

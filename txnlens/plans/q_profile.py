@@ -187,3 +187,44 @@ FROM txn CROSS JOIN p"""))
 def minmax_scaled(spark, sf):
     s = scaling.minmax(txn(spark, sf), ["Amount", "Time"])
     return s.select("id", rounded("Amount_norm").alias("Amount_norm"), rounded("Time_norm").alias("Time_norm"))
+
+
+# -- A7: exact percentiles -------------------------------------------------------
+
+@register("amount_percentiles", "A7", with_views(f"""
+SELECT {R('quantile_cont(Amount, 0.25)')} AS p25, {R('quantile_cont(Amount, 0.5)')} AS p50,
+       {R('quantile_cont(Amount, 0.75)')} AS p75, {R('quantile_cont(Amount, 0.95)')} AS p95,
+       {R('quantile_cont(Time, 0.5)')} AS time_p50 FROM txn"""))
+def amount_percentiles(spark, sf):
+    from ..operators.quantiles import exact_quantiles_multi
+    from ..operators.scaling import _params_frame
+
+    t = txn(spark, sf)
+    q = exact_quantiles_multi(t, ["Amount", "Time"], [0.25, 0.5, 0.75, 0.95])
+    p = _params_frame(spark, {"p25": q["Amount"][0], "p50": q["Amount"][1], "p75": q["Amount"][2],
+                              "p95": q["Amount"][3], "time_p50": q["Time"][1]})
+    return p.select(*[rounded(c).alias(c) for c in p.columns])
+
+
+# -- A10: per-row mean squared error of arrays ------------------------------------
+
+@register("vector_centroid_mse", "A10 A15", """
+WITH e AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x,
+                  generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label, i, avg(x) AS m FROM e GROUP BY label, i)
+SELECT vec_id, label, round(avg((x - m) * (x - m)), 6) + 0.0 AS mse FROM e JOIN c USING (label, i)
+GROUP BY vec_id, label""")
+def vector_centroid_mse(spark, sf):
+    from ..functions.columns import mean_squared_error
+    from ..operators.common import join_small
+    from ..sources.tables import table
+
+    emb = table(spark, sf, "embeddings").select(
+        "vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    parts = emb.select("label", F.posexplode("v").alias("i", "x"))
+    cent = parts.groupBy("label", "i").agg(F.avg("x").alias("m"))
+    # one array per label: bounded by the vector width
+    cent = cent.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("s")) \
+               .select("label", F.transform("s", lambda s: s["m"]).alias("centroid"))
+    j = join_small(emb, cent, ["label"])
+    return j.select("vec_id", "label", rounded(mean_squared_error("v", "centroid")).alias("mse"))
