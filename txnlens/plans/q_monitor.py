@@ -89,7 +89,7 @@ def overall_rate(spark, sf):
     return o.select("total_processed", "total_fraud", rounded("overall_rate").alias("overall_rate"))
 
 
-@register("recent_alerts", "T1 P12 P13", _sql("""
+@register("recent_alerts", "T1 P11 P12 P13", _sql("""
 SELECT timestamp, transaction_id, printf('$%.2f', amount) AS amount, printf('%.3f', confidence) AS confidence
 FROM alerts ORDER BY timestamp DESC, transaction_id LIMIT 10"""))
 def recent_alerts(spark, sf):
