@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,7 +133,8 @@ def tree_samples(df: DataFrame, n: int, n_trees: int, psi: int, seed: int, key:
 
 def fit_isolation_forest(df: DataFrame, features: list[str], n_trees: int = 100, max_samples: int = 256,
                          contamination: float = 0.1, seed: int = 42, key: str = "id") -> IsolationForestModel:
-    data = df.select(key, *[F.col(c).cast("double").alias(c) for c in features])
+    # read for the count, the tree samples and the offset scores: persisted
+    data = df.select(key, *[F.col(c).cast("double").alias(c) for c in features]).persist(StorageLevel.MEMORY_AND_DISK)
     n = data.count()
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
@@ -144,6 +146,7 @@ def fit_isolation_forest(df: DataFrame, features: list[str], n_trees: int = 100,
     scored = score_samples(data, model, "_s").select("_s").cache()
     model.offset = float(exact_quantiles(scored, "_s", [contamination])[0])
     scored.unpersist()
+    data.unpersist()
     return model
 
 

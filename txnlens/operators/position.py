@@ -5,9 +5,10 @@ whole table in one task. Instead:
 
 1. range-partition on the (total) order and sort within partitions;
 2. stamp each row with its partition id and ``monotonically_increasing_id``
-   and cut the lineage with a reliable ``checkpoint()`` in the cluster's
+   and write the stamped rows as a Parquet table under the cluster's
    checkpoint folder (the stamps must not change on re-evaluation, and an
-   executor loss must not lose them);
+   executor loss must not lose them; the stamps are columns, so the file
+   order of the table does not matter, and the data is computed once);
 3. count rows per partition (one row per partition → a proven small
    table), turn the counts into offsets, and broadcast them back.
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism, ensure_checkpoint_dir
+from ..session import default_parallelism, scratch_path
 
 _PID, _MID = "_pos_pid", "_pos_mid"
 
@@ -30,14 +31,16 @@ def _order_cols(order_by) -> list[Column]:
 
 
 def sorted_stamped(df: DataFrame, order_by, num_partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, sorted, stamped and checkpointed copy of ``df``."""
+    """Range-partitioned, sorted and stamped copy of ``df``, written once
+    to the shared checkpoint folder and read back."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or default_parallelism(spark)
     cols = _order_cols(order_by)
     s = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     s = s.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
-    return s.checkpoint(eager=True)
+    path = scratch_path(spark, "stamped")
+    s.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _offsets(stamped: DataFrame, sums: dict[str, Column]) -> DataFrame:

@@ -53,15 +53,20 @@ def hourly_positive_rate(df: DataFrame, label: str = "Class", time_col: str = "T
 def label_correlations(df: DataFrame, features: list[str], label: str = "Class") -> DataFrame:
     """Pearson correlation of each feature with the label, ranked by |corr|.
 
-    One pass (a single aggregate with one ``corr`` per feature) and an
-    unpivot of the one-row result; the label is never put into the unpivot.
+    The features are unpivoted to (feature, x, y) rows and aggregated by
+    feature: one small ``corr`` buffer per group keeps the aggregate inside
+    whole-stage codegen (a wide row of 28 ``corr`` buffers exceeds the
+    codegen field limit) and the partial aggregates are map-side, so only
+    one row per feature and partition is shuffled. The label is never part
+    of the unpivot.
     """
-    wide = df.agg(*[F.corr(F.col(f).cast("double"), F.col(label).cast("double")).alias(f)
-                    for f in features])
-    long = wide.unpivot([], features, "feature", "corr")
+    y = F.col(label).cast("double").alias("_y")
+    long = df.select(y, *[F.col(f).cast("double").alias(f) for f in features]) \
+             .unpivot(["_y"], features, "feature", "_x")
+    corr = long.groupBy("feature").agg(F.corr("_x", "_y").alias("corr"))
     w = Window.orderBy(F.abs(F.col("corr")).desc_nulls_last(), F.col("feature"))
-    # the unpivoted table has one row per feature: the global window is tiny
-    return long.withColumn("rank", F.row_number().over(w))
+    # one row per feature: the global window is over a tiny table
+    return corr.withColumn("rank", F.row_number().over(w))
 
 
 def top_features(corr: DataFrame, k: int = 10, skip: int = 0) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,9 @@ def _standardized(df: DataFrame, features: list[str], center, scale) -> DataFram
 
 
 def fit_reconstruction(df: DataFrame, features: list[str], k: int = 16, quantile: float = 0.95) -> ReconstructionModel:
+    """Three passes over the training rows (moments, Gramian, errors), so
+    they are persisted (memory and disk) for the duration of the fit."""
+    df = df.select(*features).persist(StorageLevel.MEMORY_AND_DISK)
     p = fit_standard(df, features).first()
     center = [float(p[f"{c}_center"]) for c in features]
     scale = [float(p[f"{c}_scale"]) for c in features]
@@ -59,9 +63,10 @@ def fit_reconstruction(df: DataFrame, features: list[str], k: int = 16, quantile
     pca = PCA(k=k, inputCol="z", outputCol="p").fit(vec)
     comps = pca.pc.toArray()
     model = ReconstructionModel(features, center, scale, comps, 0.0)
-    err = model.with_error(df.select(*features), "_e").select("_e").cache()
+    err = model.with_error(df, "_e").select("_e").persist(StorageLevel.MEMORY_AND_DISK)
     model.threshold = float(exact_quantiles(err, "_e", [quantile])[0])
     err.unpersist()
+    df.unpersist()
     return model
 
 

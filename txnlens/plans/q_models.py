@@ -4,6 +4,7 @@ the table is scored."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions.columns import rounded
@@ -17,7 +18,9 @@ from .q_scores import scores
 def features_with_split(spark, sf):
     t = txn_ml(spark, sf)
     f = engineer_features(t, fit_feature_scaler(t), keep=["id", "vec_id", "Time", "Amount", "Class"])
-    return sampling.stratified_split(f, 0.2, "Class", seed=42, key="vec_id"), feature_columns(f)
+    # the working set of a training job: fitted on, then scored
+    s = sampling.stratified_split(f, 0.2, "Class", seed=42, key="vec_id").persist(StorageLevel.MEMORY_AND_DISK)
+    return s, feature_columns(f)
 
 
 @register("isolation_forest_scores", "M1 M2 A7 P7")

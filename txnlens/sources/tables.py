@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import nan_to_null
 
 N_VECTOR = 28
+VECTOR_BROADCAST_ROWS = 100_000  # ~64 floats each: about 30 MB at the bound
 ORIGIN = "2024-01-01 00:00:00"
 
 
@@ -49,16 +50,18 @@ def vectors(spark: SparkSession, sf_dir: str, n: int = N_VECTOR) -> DataFrame:
 def txn_ml(spark: SparkSession, sf_dir: str, n: int = N_VECTOR) -> DataFrame:
     """Every txn row with a feature vector; Class = 1 for vector label 0.
 
-    The count of vectors is a one-row aggregate attached by a cross join
-    with a single row (proven size 1). The vector join itself is a plain
-    equi-join; AQE turns it into a broadcast only when the runtime size of
-    the vector table is under the broadcast threshold.
+    The number of vectors is one scalar (a parquet count, answered from
+    file metadata). It is also the size check of the join: the vector table
+    is broadcast (events stream through without a shuffle) only while it
+    has at most ``VECTOR_BROADCAST_ROWS`` rows; above that it is a plain
+    shuffled equi-join.
     """
     t = txn(spark, sf_dir).drop("Class")
     vec = vectors(spark, sf_dir, n)
-    k = vec.agg(F.count(F.lit(1)).alias("_nvec"))
-    keyed = t.crossJoin(F.broadcast(k)).withColumn("vec_key", F.pmod(F.col("id"), F.col("_nvec")))
-    out = keyed.join(vec, keyed["vec_key"] == vec["vec_id"], "inner")
+    n_vec = table(spark, sf_dir, "embeddings").count()
+    keyed = t.withColumn("vec_key", F.pmod(F.col("id"), F.lit(max(n_vec, 1))))
+    side = F.broadcast(vec) if n_vec <= VECTOR_BROADCAST_ROWS else vec
+    out = keyed.join(side, keyed["vec_key"] == vec["vec_id"], "inner")
     return out.select("id", "vec_id", "Time", "Amount",
                       (F.col("vec_label") == 0).cast("int").alias("Class"),
                       *[f"V{i}" for i in range(1, n + 1)])
