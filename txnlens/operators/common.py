@@ -30,3 +30,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 def attach_params(df: DataFrame, params: DataFrame) -> DataFrame:
     """Attach a one-row parameter table to every row (proven size: 1 row)."""
     return df.crossJoin(F.broadcast(params))
+
+
+def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
+    """Round-robin repartition before a CPU-heavy (Python) stage, but only
+    when the input has fewer partitions than the cluster's default
+    parallelism (a single small file, a coalesced shuffle). Large inputs
+    already have many partitions and pass through untouched."""
+    target = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

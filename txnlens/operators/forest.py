@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ensure_parallelism
 from .quantiles import exact_quantiles
 from .sampling import hash_order, hash_uniform
 
@@ -139,7 +140,11 @@ def fit_isolation_forest(df: DataFrame, features: list[str], n_trees: int = 100,
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     samples = tree_samples(data, n, n_trees, psi, seed, key)
-    nodes = samples.groupBy("tree").applyInPandas(_tree_builder(features, max_depth, seed), NODE_SCHEMA)
+    # explicit partitioning by tree: the small sample is not coalesced into
+    # one task, so the trees grow in parallel; groupBy reuses it
+    par = max(1, min(n_trees, df.sparkSession.sparkContext.defaultParallelism * 2))
+    nodes = samples.repartition(par, "tree").groupBy("tree").applyInPandas(
+        _tree_builder(features, max_depth, seed), NODE_SCHEMA)
     # forest size ≤ n_trees · (2·psi − 1) rows: a proven bound for the driver
     pdf = nodes.toPandas()
     model = IsolationForestModel(features, pdf, psi, n_trees, 0.0, contamination)
@@ -179,7 +184,7 @@ def _scorer(spark: SparkSession, model: IsolationForestModel):
 def score_samples(df: DataFrame, model: IsolationForestModel, name: str = "iso_raw") -> DataFrame:
     """Adds −2^(−E[h]/c(psi)) (in (−1, 0); lower = more anomalous)."""
     udf = _scorer(df.sparkSession, model)
-    return df.withColumn(name, udf(*[F.col(c).cast("double") for c in model.features]))
+    return ensure_parallelism(df).withColumn(name, udf(*[F.col(c).cast("double") for c in model.features]))
 
 
 def score_isolation_forest(df: DataFrame, model: IsolationForestModel, score: str = "iso_score",

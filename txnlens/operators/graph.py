@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .position import with_position
 
 SIMILARITY_DEFAULTS = dict(band=19, time_window=3600.0, amount_window=100.0)
@@ -85,7 +86,7 @@ def propagate(nodes: DataFrame, edges: DataFrame, features: list[str], hops: int
         h = agg.select(F.col("dst").alias(key), "_deg",
                        *[(F.col(c) / F.sqrt(F.col("_deg").cast("double"))).alias(c) for c in features])
         if checkpoint_each:
-            h = h.checkpoint(eager=True)
+            h = materialize(h, "hop")
     return h.drop("_deg")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .position import running_sums
@@ -34,10 +34,27 @@ def roc_auc(df: DataFrame, score: str, label: str = "Class", negate: bool = Fals
 
 
 def model_comparison(df: DataFrame, scores: dict[str, tuple[str, bool]], label: str = "Class") -> DataFrame:
-    """(model, auc) for several score columns: {model: (column, negate)}."""
-    parts = [roc_auc(df, col, label, neg).select(F.lit(name).alias("model"), "auc")
+    """(model, auc) for several score columns {model: (column, negate)} in
+    one pass: scores are grouped by (model, score), one distributed running
+    sum runs over the (model, score) order, and each model's own
+    negatives-below are rebased by the negatives of the models before it
+    (one row per model)."""
+    y = F.col(label).cast("int")
+    parts = [df.where(F.col(col).isNotNull() & F.col(label).isNotNull())
+               .select(F.lit(name).alias("model"), (-F.col(col) if neg else F.col(col)).cast("double").alias("_s"), y.alias("_y"))
              for name, (col, neg) in scores.items()]
-    return reduce(DataFrame.unionByName, parts)
+    long = reduce(DataFrame.unionByName, parts)
+    g = long.groupBy("model", "_s").agg(F.sum((F.col("_y") == 1).cast("long")).alias("_pos"),
+                                        F.sum((F.col("_y") != 1).cast("long")).alias("_neg"))
+    c = running_sums(g, ["model", "_s"], {"_nb": "_neg"}, inclusive=False)
+    per = g.groupBy("model").agg(F.sum("_neg").alias("_mneg"))
+    w = Window.orderBy("model").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per model: a proven bound
+    start = F.broadcast(per.select("model", F.coalesce(F.sum("_mneg").over(w), F.lit(0)).alias("_m0")))
+    c = c.join(start, "model").withColumn("_neg_below", F.col("_nb") - F.col("_m0"))
+    num = F.sum(F.col("_pos") * (F.col("_neg_below") + F.lit(0.5) * F.col("_neg")))
+    den = F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
+    return c.groupBy("model").agg(F.try_divide(num, den).alias("auc"))
 
 
 def confusion_counts(df: DataFrame, label: str = "Class", pred: str = "prediction") -> DataFrame:

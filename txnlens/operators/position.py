@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism, scratch_path
+from ..session import default_parallelism, materialize
 
 _PID, _MID = "_pos_pid", "_pos_mid"
 
@@ -38,9 +38,7 @@ def sorted_stamped(df: DataFrame, order_by, num_partitions: int | None = None) -
     cols = _order_cols(order_by)
     s = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     s = s.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
-    path = scratch_path(spark, "stamped")
-    s.write.parquet(path)
-    return spark.read.parquet(path)
+    return materialize(s, "stamped")
 
 
 def _offsets(stamped: DataFrame, sums: dict[str, Column]) -> DataFrame:

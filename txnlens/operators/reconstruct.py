@@ -3,9 +3,14 @@
 Fit on normal rows: standardise every feature (population std, std 0 → 1),
 fit ``pyspark.ml.feature.PCA(k)`` (a distributed Gramian), and set the
 threshold at the exact 95th percentile of the training errors. The error of
-a row is mean((z − P Pᵀ z)²) = (‖z‖² − ‖Pᵀz‖²)/d for orthonormal P, so the
-score is a plain column expression with d·k literal products — it stays in
-the JVM, and the d×k matrix is part of the plan, not data.
+a row is mean((z − P Pᵀ z)²) = (‖z‖² − ‖Pᵀz‖²)/d for orthonormal P.
+
+The principal components come from the covariance of z, built as a
+distributed Gramian: one zᵀz per Arrow batch in ``mapInPandas`` and a Spark
+sum by matrix cell (d² + d + 1 numbers leave each partition), then a d×d
+eigendecomposition on the driver (the same split as Spark ML's PCA, which
+computes the Gramian on executors and the SVD locally). Scoring is one
+matrix product per Arrow batch in a pandas UDF.
 """
 
 from __future__ import annotations
@@ -13,11 +18,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .common import ensure_parallelism
 from .quantiles import exact_quantiles
 from .scaling import fit_standard
 
@@ -31,18 +38,23 @@ class ReconstructionModel:
     threshold: float
 
     def with_error(self, df: DataFrame, name: str) -> DataFrame:
-        """Adds the error in three narrow projections (z, then Pᵀz, then the
-        error), so each generated method stays small and z is computed once."""
-        d, k = len(self.features), self.components.shape[1]
-        zc = [f"_z{i}" for i in range(d)]
-        out = df.withColumns({z: (F.col(c).cast("double") - F.lit(m)) / F.lit(s)
-                              for z, c, m, s in zip(zc, self.features, self.center, self.scale)})
-        out = out.withColumns({f"_p{j}": sum((F.col(zc[i]) * F.lit(float(self.components[i, j]))
-                                              for i in range(d)), F.lit(0.0)) for j in range(k)})
-        sq = sum((F.col(z) * F.col(z) for z in zc), F.lit(0.0))
-        proj = sum((F.col(f"_p{j}") * F.col(f"_p{j}") for j in range(k)), F.lit(0.0))
-        out = out.withColumn(name, F.greatest((sq - proj) / F.lit(float(d)), F.lit(0.0)))
-        return out.drop(*zc, *[f"_p{j}" for j in range(k)])
+        """Adds the error with an Arrow-batched pandas UDF: one (rows × d) @
+        (d × k) product per batch. The d×k matrix and the scaler travel
+        with the function (fixed size, independent of the data). As one
+        generated projection the d·k products fall out of whole-stage
+        codegen and run about 20× slower."""
+        center = np.asarray(self.center, dtype=float)
+        scale = np.asarray(self.scale, dtype=float)
+        comps = np.asarray(self.components, dtype=float)
+
+        @F.pandas_udf(T.DoubleType())
+        def error(*cols: pd.Series) -> pd.Series:
+            z = (np.column_stack([c.to_numpy(dtype=float, na_value=np.nan) for c in cols]) - center) / scale
+            proj = z @ comps
+            e = ((z * z).sum(axis=1) - (proj * proj).sum(axis=1)) / z.shape[1]
+            return pd.Series(np.maximum(e, 0.0))
+
+        return ensure_parallelism(df).withColumn(name, error(*[F.col(c).cast("double") for c in self.features]))
 
 
 def _standardized(df: DataFrame, features: list[str], center, scale) -> DataFrame:
@@ -50,6 +62,38 @@ def _standardized(df: DataFrame, features: list[str], center, scale) -> DataFram
                        for c, m, s in zip(features, center, scale)])
 
 
+def gram_moments(df: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """(n, column sums, XᵀX) of the numeric columns, computed per Arrow batch
+    and summed by Spark; only d² + d + 1 numbers reach the driver."""
+    d = len(cols)
+
+    def partial(it):
+        n, s, g = 0, np.zeros(d), np.zeros((d, d))
+        for pdf in it:
+            X = pdf[cols].to_numpy(dtype=float)
+            n += len(X)
+            s += X.sum(axis=0)
+            g += X.T @ X
+        vals = np.concatenate([[float(n)], s, g.ravel()])
+        yield pd.DataFrame({"i": np.arange(len(vals), dtype=np.int32), "v": vals})
+
+    rows = df.select(*cols).mapInPandas(partial, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    vals = np.zeros(1 + d + d * d)
+    for r in rows:
+        vals[r["i"]] = r["v"]
+    return int(vals[0]), vals[1:1 + d], vals[1 + d:].reshape(d, d)
+
+
+def principal_components(df: DataFrame, cols: list[str], k: int) -> np.ndarray:
+    """Top-k eigenvectors (d × k) of the sample covariance of ``cols``."""
+    n, s, g = gram_moments(df, cols)
+    mean = s / max(n, 1)
+    cov = (g - n * np.outer(mean, mean)) / max(n - 1, 1)
+    w, v = np.linalg.eigh(cov)
+    order = np.argsort(w)[::-1][:k]
+    return v[:, order]
+
+
 def fit_reconstruction(df: DataFrame, features: list[str], k: int = 16, quantile: float = 0.95) -> ReconstructionModel:
     """Three passes over the training rows (moments, Gramian, errors), so
     they are persisted (memory and disk) for the duration of the fit."""
@@ -58,10 +102,8 @@ def fit_reconstruction(df: DataFrame, features: list[str], k: int = 16, quantile
     center = [float(p[f"{c}_center"]) for c in features]
     scale = [float(p[f"{c}_scale"]) for c in features]
     z = _standardized(df.na.drop(subset=features), features, center, scale)
-    vec = VectorAssembler(inputCols=features, outputCol="z").transform(z)
     k = min(k, len(features))
-    pca = PCA(k=k, inputCol="z", outputCol="p").fit(vec)
-    comps = pca.pc.toArray()
+    comps = principal_components(z, features, k)
     model = ReconstructionModel(features, center, scale, comps, 0.0)
     err = model.with_error(df, "_e").select("_e").persist(StorageLevel.MEMORY_AND_DISK)
     model.threshold = float(exact_quantiles(err, "_e", [quantile])[0])

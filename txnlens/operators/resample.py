@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ensure_parallelism
 from .sampling import hash_uniform, sample_exact, stratum_positions
 
 _SLACK = 1e-7
@@ -47,8 +48,8 @@ def knn_join(df: DataFrame, features: list[str], k: int = 5, key: str = "id", ce
     """(key, nn_rank 1..k, nn_key, dist): the k nearest other points of
     every point (Euclidean over ``features``; NULL features skipped)."""
     spark = df.sparkSession
-    pts = df.select(F.col(key).alias("_q"), *[F.col(c).cast("double").alias(c) for c in features]) \
-            .na.drop(subset=features).persist()
+    pts = ensure_parallelism(df.select(F.col(key).alias("_q"), *[F.col(c).cast("double").alias(c) for c in features])
+                             .na.drop(subset=features)).persist()
     n = pts.count()
     n_piv = int(min(max_pivots, max(1, math.ceil(n / cell_size))))
     # at most max_pivots rows of d doubles: collected and broadcast

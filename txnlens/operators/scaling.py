@@ -40,16 +40,33 @@ def fit_robust(df: DataFrame, cols: list[str], exact: bool = True,
     return _params_frame(df.sparkSession, vals)
 
 
+# columns per aggregate: each ``avg`` buffer has two fields and whole-stage
+# codegen stops at 100 fields per operator
+_AGG_CHUNK = 40
+
+
+def _chunked_agg(df: DataFrame, exprs: list) -> dict:
+    out = {}
+    for i in range(0, len(exprs), _AGG_CHUNK):
+        out.update(df.agg(*exprs[i:i + _AGG_CHUNK]).first().asDict())
+    return out
+
+
 def fit_standard(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row: ``<c>_center`` (mean) and ``<c>_scale`` (population std or 1)."""
-    aggs = []
+    """One row: ``<c>_center`` (mean) and ``<c>_scale`` (population std or 1).
+
+    Two narrow aggregates (means, then mean squared deviations around
+    them): numerically stable, and each stays inside whole-stage codegen."""
+    x = {c: F.col(c).cast("double") for c in cols}
+    means = _chunked_agg(df, [F.avg(x[c]).alias(c) for c in cols])
+    dev = _chunked_agg(df, [F.avg((x[c] - F.lit(means[c])) ** 2).alias(c) if means[c] is not None
+                            else F.lit(None).cast("double").alias(c) for c in cols])
+    vals = {}
     for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"{c}_center"), F.stddev_pop(x).alias(f"_{c}_std")]
-    row = df.agg(*aggs)
-    return row.select(*[x for c in cols for x in (
-        F.col(f"{c}_center"),
-        F.when(F.col(f"_{c}_std") == 0, F.lit(1.0)).otherwise(F.col(f"_{c}_std")).alias(f"{c}_scale"))])
+        std = None if dev[c] is None else float(dev[c]) ** 0.5
+        vals[f"{c}_center"] = means[c]
+        vals[f"{c}_scale"] = 1.0 if not std else std
+    return _params_frame(df.sparkSession, vals)
 
 
 def fit_minmax(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -70,3 +70,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: cuts the lineage (iterations, stamps that must not change)
+    and survives executor loss, at the cost of one columnar write."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
