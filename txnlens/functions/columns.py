@@ -102,5 +102,12 @@ def prefixed_columns(df: DataFrame, prefix: str = "V") -> list[str]:
 
 
 def rounded(c, digits: int = 6) -> Column:
-    """Round and fold -0.0 into 0.0 (stable value hashes across engines)."""
-    return F.round(col_(c), digits) + F.lit(0.0)
+    """Round half away from zero to ``digits`` decimals and fold -0.0 into
+    0.0 (stable value hashes across engines). Plain double arithmetic —
+    round(x·10^d)/10^d, the definition SQL engines use for doubles — so it
+    stays in generated code (``F.round`` goes through BigDecimal per value)."""
+    x = col_(c).cast("double")
+    m = F.lit(float(10 ** digits))
+    a = F.abs(x) * m + F.lit(0.5)
+    whole = a - F.pmod(a, F.lit(1.0))
+    return F.when(x < 0, -whole).otherwise(whole) / m + F.lit(0.0)
