@@ -21,15 +21,20 @@ def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join against a derived small table with a size-checked broadcast."""
-    side = checked_broadcast(small, max_rows)
     if on is None or on == []:
-        return big.crossJoin(side)
-    return big.join(side, on, how)
+        return attach_params(big, small)
+    return big.join(checked_broadcast(small, max_rows), on, how)
 
 
 def attach_params(df: DataFrame, params: DataFrame) -> DataFrame:
-    """Attach a one-row parameter table to every row (proven size: 1 row)."""
-    return df.crossJoin(F.broadcast(params))
+    """Attach a one-row parameter table to every row as literals: the single
+    row is read once (a checked size of one) and Catalyst folds the values
+    into the projection; no join is planned."""
+    rows = params.take(2)
+    if len(rows) != 1:
+        raise ValueError(f"parameter table must have exactly one row, got {len(rows)}")
+    fields = {f.name: f.dataType for f in params.schema.fields}
+    return df.withColumns({k: F.lit(v).cast(fields[k]) for k, v in rows[0].asDict().items()})
 
 
 def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:

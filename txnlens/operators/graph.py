@@ -61,9 +61,8 @@ def similarity_graph(df: DataFrame, features: list[str], key: str = "id", label:
 
 
 def graph_size(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    n = nodes.agg(F.count(F.lit(1)).alias("n_nodes"))
-    e = edges.agg(F.count(F.lit(1)).alias("n_edges"))
-    return n.crossJoin(e)
+    n_edges = edges.count()
+    return nodes.agg(F.count(F.lit(1)).alias("n_nodes")).withColumn("n_edges", F.lit(n_edges))
 
 
 def with_degree(nodes: DataFrame, edges: DataFrame, key: str = "id") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hour_bucket, hour_of_day
-from .common import join_small
+from .common import attach_params, join_small
 
 
 def class_counts(df: DataFrame, label: str = "Class") -> DataFrame:
@@ -91,7 +91,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None,
                      F.when(F.col("_min") == F.col("_max"), F.col("_min") - 0.5).otherwise(F.col("_min")).alias("lo"),
                      F.when(F.col("_min") == F.col("_max"), F.col("_max") + 0.5).otherwise(F.col("_max")).alias("hi"))
     # one row per subset: size-checked broadcast (a single row when no ``by``)
-    joined = join_small(data, rng, keys) if keys else data.crossJoin(F.broadcast(rng))
+    joined = join_small(data, rng, keys) if keys else attach_params(data, rng)
     b = F.least(F.floor((F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(bins)),
                 F.lit(bins - 1)).cast("int")
     counts = joined.groupBy(*keys, b.alias("bin"), "lo", "hi", "_n").agg(F.count(F.lit(1)).alias("n"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_small
+from .common import attach_params, join_small
 from .position import with_position
 
 
@@ -46,7 +46,7 @@ def stratum_positions(df: DataFrame, label: str | None, seed: int = 42, key: str
         pos = join_small(pos, starts, [label])
     else:
         starts = pos.agg(F.min("_gpos").alias("_start"), F.count(F.lit(1)).alias("_stratum_n"))
-        pos = pos.crossJoin(F.broadcast(starts))
+        pos = attach_params(pos, starts)
     return pos.withColumn("_rank", F.col("_gpos") - F.col("_start")).drop("_gpos", "_start", "_h")
 
 
