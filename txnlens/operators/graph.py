@@ -62,7 +62,7 @@ def similarity_graph(df: DataFrame, features: list[str], key: str = "id", label:
 
 def graph_size(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     n_edges = edges.count()
-    return nodes.agg(F.count(F.lit(1)).alias("n_nodes")).withColumn("n_edges", F.lit(n_edges))
+    return nodes.agg(F.count(F.lit(1)).alias("n_nodes")).withColumn("n_edges", F.lit(n_edges).cast("long"))
 
 
 def with_degree(nodes: DataFrame, edges: DataFrame, key: str = "id") -> DataFrame:

@@ -39,4 +39,4 @@ def stream_batch_stats(spark, sf):
 def stream_alert_cases(spark, sf):
     alerts, _, cases = run_stream(spark, sf)
     return cases.agg(F.count(F.lit(1)).alias("n_cases"),
-                     F.sum("Amount").alias("cases_amount")).withColumn("n_alerts", F.lit(alerts.count()))
+                     F.sum("Amount").alias("cases_amount")).withColumn("n_alerts", F.lit(alerts.count()).cast("long"))
