@@ -87,3 +87,20 @@ def test_smote_balanced_and_inside_segments(spark):
         d = ((mino - q) ** 2).sum(axis=1)
         order = sorted((d[j], ids[j]) for j in range(len(ids)) if ids[j] != qi)[:3]
         assert [nn[(qi, r)] for r in (1, 2, 3)] == [o[1] for o in order]
+
+
+def test_knn_with_hot_duplicates_matches_brute_force(spark):
+    from txnlens.operators.resample import knn_join
+
+    rng = np.random.default_rng(5)
+    pts = [(float(x), float(y)) for x, y in rng.normal(size=(60, 2))]
+    pts += [(0.25, 0.25)] * 40 + [(1.0, -1.0)] * 3   # a hot value (> k copies) and a small copy group
+    rows = [(i, *p) for i, p in enumerate(pts)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    got = {(r.id, r.nn_rank): (r.nn_id, r.dist) for r in knn_join(df, ["a", "b"], k=5, cell_size=8).collect()}
+    X = np.array(pts)
+    for i in range(len(pts)):
+        d = ((X - X[i]) ** 2).sum(axis=1)
+        want = sorted((d[j], j) for j in range(len(pts)) if j != i)[:5]
+        assert [got[(i, r)][0] for r in range(1, 6)] == [j for _, j in want], i
+        assert np.allclose([got[(i, r)][1] for r in range(1, 6)], [np.sqrt(v) for v, _ in want])

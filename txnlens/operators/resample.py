@@ -18,8 +18,9 @@ pruning, after Lu et al., VLDB 2012):
    key) are kept. The pruning is exact, never a cap.
 
 Pivots are sampled from the data, so dense regions get proportionally more
-pivots and cells stay balanced; a cluster of exactly identical points
-falls into one cell (noted in the README).
+pivots and cells stay balanced. Groups of more than k identical points are
+answered without pairs (see ``knn_join``), so a hot value cannot make one
+cell quadratic.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ensure_parallelism
+from .common import ensure_parallelism, join_small
 from .sampling import hash_uniform, sample_exact, stratum_positions
 
 _SLACK = 1e-7
@@ -43,17 +44,65 @@ def _pivot_distances(X: np.ndarray, piv: np.ndarray, piv_sq: np.ndarray) -> np.n
     return np.sqrt(np.maximum(d2, 0.0))
 
 
+def _smallest_keys(df: DataFrame, features: list[str], m: int) -> DataFrame:
+    """(features…, _top): the m smallest keys of every distinct vector.
+    Each partition keeps at most m keys per vector (pandas, per Arrow
+    batch); the merge collects at most m·partitions keys per vector — a
+    bound that does not grow with the size of a group."""
+    key_type = df.schema["_q"].dataType
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in features] + [T.StructField("_q", key_type)])
+
+    def part(it):
+        acc = []
+        for pdf in it:
+            acc.append(pdf.sort_values("_q").groupby(features, sort=False).head(m))
+            if len(acc) > 16:
+                acc = [pd.concat(acc).sort_values("_q").groupby(features, sort=False).head(m)]
+        if acc:
+            yield pd.concat(acc).sort_values("_q").groupby(features, sort=False).head(m)[features + ["_q"]]
+
+    tops = df.select(*features, "_q").mapInPandas(part, schema)
+    return tops.groupBy(*features).agg(F.slice(F.array_sort(F.collect_list("_q")), 1, m).alias("_top"))
+
+
 def knn_join(df: DataFrame, features: list[str], k: int = 5, key: str = "id", cell_size: int = 1024,
              max_pivots: int = 2048, seed: int = 42) -> DataFrame:
     """(key, nn_rank 1..k, nn_key, dist): the k nearest other points of
-    every point (Euclidean over ``features``; NULL features skipped)."""
+    every point (Euclidean over ``features``; ties → lower key; NULL
+    features skipped).
+
+    Exact copies are handled first, so a hot value cannot make a cell
+    quadratic: a point whose vector has more than k copies has its k
+    nearest among them (distance 0, the lowest other keys), and every such
+    group enters the candidate set only through its k+1 lowest keys (no
+    query ever needs more of one identical group). The pivot join then runs
+    over the remaining points."""
     spark = df.sparkSession
     pts = ensure_parallelism(df.select(F.col(key).alias("_q"), *[F.col(c).cast("double").alias(c) for c in features])
-                             .na.drop(subset=features)).persist()
-    n = pts.count()
+                             .na.drop(subset=features))
+    copies = pts.groupBy(*features).agg(F.count(F.lit(1)).alias("_m"))
+    tagged = join_small(pts, copies, features).persist()
+    dense = tagged.where(F.col("_m") > k).drop("_m")
+    sparse = tagged.where(F.col("_m") <= k).drop("_m")
+    top = _smallest_keys(dense, features, k + 1)
+    others = F.slice(F.filter("_top", lambda x: x != F.col("_q")), 1, k)
+    dense_nn = join_small(dense, top, features).select("_q", F.posexplode(others).alias("_p", "_x")).select(
+        F.col("_q").alias(key), (F.col("_p") + 1).cast("int").alias("nn_rank"), F.col("_x").alias(f"nn_{key}"),
+        F.lit(0.0).alias("dist"))
+    reps = top.select(F.explode("_top").alias("_q"), *features)
+    cands = sparse.unionByName(reps).persist()
+    if sparse.isEmpty():
+        return dense_nn
+    return _pivot_knn(spark, sparse, cands, features, k, key, cell_size, max_pivots, seed).unionByName(dense_nn)
+
+
+def _pivot_knn(spark, queries: DataFrame, cands: DataFrame, features: list[str], k: int, key: str,
+               cell_size: int, max_pivots: int, seed: int) -> DataFrame:
+    """kNN of ``queries`` among ``cands`` (queries ⊆ cands) by pivot cells."""
+    n = cands.count()
     n_piv = int(min(max_pivots, max(1, math.ceil(n / cell_size))))
     # at most max_pivots rows of d doubles: collected and broadcast
-    piv = np.array([[r[c] for c in features] for r in sample_exact(pts, n_piv, seed, key="_q").collect()], dtype=float)
+    piv = np.array([[r[c] for c in features] for r in sample_exact(cands, n_piv, seed, key="_q").collect()], dtype=float)
     piv_sq = (piv * piv).sum(axis=1)
     bc = spark.sparkContext.broadcast((piv, piv_sq))
 
@@ -83,12 +132,12 @@ def knn_join(df: DataFrame, features: list[str], k: int = 5, key: str = "id", ce
         rows = [(i, float(v)) for i in range(len(p)) for v in best[i] if np.isfinite(v)]
         yield pd.DataFrame(rows, columns=["cell", "d"])
 
-    a = pts.withColumn("_a", assign(*[F.col(c) for c in features])) \
-           .select("_q", *features, F.col("_a.cell").alias("_cell"), F.col("_a.dp").alias("_dp")).persist()
+    a = queries.withColumn("_a", assign(*[F.col(c) for c in features])) \
+               .select("_q", *features, F.col("_a.cell").alias("_cell"), F.col("_a.dp").alias("_dp")).persist()
     radius = a.groupBy("_cell").agg(F.max("_dp").alias("R"))
     # per pivot: ≤ (k+1) values from each partition, merged (bounded by the partition count)
-    near = pts.select(*features).mapInPandas(topk, "cell int, d double") \
-              .groupBy("cell").agg(F.sort_array(F.collect_list("d")).alias("ds"))
+    near = cands.select(*features).mapInPandas(topk, "cell int, d double") \
+                .groupBy("cell").agg(F.sort_array(F.collect_list("d")).alias("ds"))
     near = near.select(F.col("cell").alias("_cell"),
                        F.when(F.size("ds") > k, F.element_at("ds", k + 1)).alias("D"))
     # one row per pivot: a proven bound
@@ -115,8 +164,8 @@ def knn_join(df: DataFrame, features: list[str], k: int = 5, key: str = "id", ce
 
     th = spark.createDataFrame(pd.DataFrame({"_cell": np.arange(len(piv), dtype=np.int32), "_theta": theta}))
     qry = a.select("_q", "_cell", *[F.col(c).alias(f"_q_{c}") for c in features])
-    cand = a.select(F.col("_q").alias("_x"), *[F.col(c).alias(f"_x_{c}") for c in features],
-                    F.explode(targets(*[F.col(c) for c in features])).alias("_cell"))
+    cand = cands.select(F.col("_q").alias("_x"), *[F.col(c).alias(f"_x_{c}") for c in features],
+                        F.explode(targets(*[F.col(c) for c in features])).alias("_cell"))
     d2 = sum(((F.col(f"_q_{c}") - F.col(f"_x_{c}")) * (F.col(f"_q_{c}") - F.col(f"_x_{c}")) for c in features),
              F.lit(0.0))
     pairs = qry.join(cand, "_cell").where(F.col("_q") != F.col("_x")).withColumn("_d2", d2) \
@@ -124,8 +173,8 @@ def knn_join(df: DataFrame, features: list[str], k: int = 5, key: str = "id", ce
                .where(F.sqrt("_d2") <= F.col("_theta") * (1 + _SLACK) + _SLACK)
     w = Window.partitionBy("_q").orderBy("_d2", "_x")
     top = pairs.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
-    out = top.select(F.col("_q").alias(key), "nn_rank", F.col("_x").alias(f"nn_{key}"), F.sqrt("_d2").alias("dist"))
-    return out
+    return top.select(F.col("_q").alias(key), F.col("nn_rank").cast("int").alias("nn_rank"),
+                      F.col("_x").alias(f"nn_{key}"), F.sqrt("_d2").alias("dist"))
 
 
 def smote(df: DataFrame, features: list[str], label: str = "Class", minority: int = 1, k: int = 5,
