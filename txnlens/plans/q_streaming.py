@@ -40,3 +40,56 @@ def stream_alert_cases(spark, sf):
     alerts, _, cases = run_stream(spark, sf)
     return cases.agg(F.count(F.lit(1)).alias("n_cases"),
                      F.sum("Amount").alias("cases_amount")).withColumn("n_alerts", F.lit(alerts.count()).cast("long"))
+
+
+# -- the same streaming path with a fixed rule as scorer (oracle-checkable) -------
+
+RULE_T = 147.35
+
+
+def rule_scorer(df):
+    """Fixture rule: alert when Amount > 147.35; iso_score = 147.35/max(Amount, 0.01) − 1."""
+    iso = F.lit(RULE_T) / F.greatest(F.col("Amount"), F.lit(0.01)) - F.lit(1.0)
+    return df.withColumn("iso_score", iso).withColumn("confidence", F.abs(iso)) \
+             .withColumn("prediction", (F.col("Amount") > F.lit(RULE_T)).cast("int"))
+
+
+def run_rule_stream(spark, sf):
+    root = scratch_path(spark, "rule-stream-sink")
+    stream = txn_from_events(transaction_stream(spark, sf, EVENTS, glob="events.parquet"))
+    q = start_scoring(stream, None, root, f"{root}/_checkpoint", available_now=True, scorer=rule_scorer)
+    q.awaitTermination()
+    return read_monitoring(spark, root)
+
+
+_RULE_SQL = f"""WITH {{views}}
+s AS (SELECT count(*) AS n, CAST(sum(CAST(Amount > {RULE_T} AS INTEGER)) AS BIGINT) AS d,
+             sum(CASE WHEN Amount > {RULE_T} THEN Amount END) AS amt FROM txn)"""
+
+
+def _rule_sql(body: str) -> str:
+    from ..sources.tables import TXN_SQL
+
+    return _RULE_SQL.format(views=f"txn AS ({TXN_SQL}),") + " " + body
+
+
+@register("stream_rule_stats", "S9 X1 X2 X3 X5 S7 S4 W3", _rule_sql("""
+SELECT CAST(0 AS BIGINT) AS batch_id, n AS transactions_processed, d AS fraud_detected,
+       n AS total_processed, d AS total_fraud_detected FROM s"""))
+def stream_rule_stats(spark, sf):
+    _, stats, _ = run_rule_stream(spark, sf)
+    return stats.select(F.col("batch_id").cast("long").alias("batch_id"),
+                        F.col("transactions_processed").cast("long").alias("transactions_processed"),
+                        F.col("fraud_detected").cast("long").alias("fraud_detected"),
+                        F.col("total_processed").cast("long").alias("total_processed"),
+                        F.col("total_fraud_detected").cast("long").alias("total_fraud_detected"))
+
+
+@register("stream_rule_alerts", "S6 S8 S5 X4 A14 U2", _rule_sql("""
+SELECT d AS n_alerts, d AS n_cases, round(amt, 4) + 0.0 AS cases_amount FROM s"""))
+def stream_rule_alerts(spark, sf):
+    from ..functions.columns import rounded
+
+    alerts, _, cases = run_rule_stream(spark, sf)
+    return cases.agg(F.count(F.lit(1)).alias("n_cases"), rounded(F.sum("Amount"), 4).alias("cases_amount")) \
+                .withColumn("n_alerts", F.lit(alerts.count()).cast("long"))

@@ -57,8 +57,11 @@ def score_frame(df: DataFrame, models: ScoringModels) -> DataFrame:
     return ens.score_ensemble(s, models.ensemble)
 
 
-def score_batch(models: ScoringModels, sink_root: str):
-    """The ``foreachBatch`` callback."""
+def score_batch(models: ScoringModels | None, sink_root: str, scorer=None):
+    """The ``foreachBatch`` callback. ``scorer`` (DataFrame → DataFrame with
+    prediction, confidence, iso_score) replaces the model scorer when given,
+    e.g. a fixed rule; the sinks are the same."""
+    score = scorer or (lambda df: score_frame(df, models))
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         batch_df = batch_df.persist()
@@ -66,7 +69,7 @@ def score_batch(models: ScoringModels, sink_root: str):
             if batch_df.isEmpty():
                 return
             now = time.time()
-            scored = score_frame(batch_df, models).withColumn("anomaly_score", F.col("iso_score")).persist()
+            scored = score(batch_df).withColumn("anomaly_score", F.col("iso_score")).persist()
             ts = iso_timestamp(F.current_timestamp())
             alerts = scored.where(F.col("prediction") == 1)
             write_batch_rows(alerts.select(ts.alias("timestamp"), defaulted_id(scored).alias("transaction_id"),
@@ -88,10 +91,11 @@ def score_batch(models: ScoringModels, sink_root: str):
     return process
 
 
-def start_scoring(stream: DataFrame, models: ScoringModels, sink_root: str, checkpoint: str,
-                  available_now: bool = True, processing_time: str | None = None):
+def start_scoring(stream: DataFrame, models: ScoringModels | None, sink_root: str, checkpoint: str,
+                  available_now: bool = True, processing_time: str | None = None, scorer=None):
     """Start the scorer; ``available_now`` processes what is there and stops."""
-    w = stream.writeStream.foreachBatch(score_batch(models, sink_root)).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.foreachBatch(score_batch(models, sink_root, scorer)) \
+              .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()
 
