@@ -23,6 +23,27 @@ PATTERNS = {
 }
 
 
+def problems(plan: str) -> list[str]:
+    """Plan lines that would not scale: a single-partition exchange fed by
+    data (not by a partial aggregate or a table bounded by construction), or
+    a nested-loop / cartesian join whose build side is not one row."""
+    out = []
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if re.search(PATTERNS["single_partition_exchange"], line):
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            ok = re.search(r"(HashAggregate|ObjectHashAggregate|SortAggregate).*partial_", child)
+            bounded = re.search(r"keys=\[(_pos_pid|Class|model|label|_c)#", child) or "feature" in child
+            if not (ok or bounded):
+                out.append(child.strip())
+        if re.search(r"BroadcastNestedLoopJoin|CartesianProduct", line):
+            j = next((k for k in range(i + 1, len(lines)) if "IdentityBroadcastMode" in lines[k]), None)
+            build = " ".join(lines[j:j + 4]) if j is not None else ""
+            if not re.search(r"HashAggregate\(keys=\[\]|LocalTableScan|Scan ExistingRDD|LogicalRDD", build):
+                out.append(line.strip())
+    return out
+
+
 def main():
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"

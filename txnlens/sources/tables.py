@@ -94,3 +94,13 @@ def with_views(body: str, ml: bool = False, n: int = N_VECTOR) -> str:
     if body.upper().startswith("WITH "):
         return "WITH " + ", ".join(ctes) + ", " + body[5:]
     return "WITH " + ", ".join(ctes) + " " + body
+
+
+def txn_between(spark: SparkSession, sf_dir: str, start_s: float, end_s: float, keep_ts: bool = False) -> DataFrame:
+    """txn rows with start_s <= Time < end_s, filtered on the raw ``ts``
+    column so the predicate reaches the parquet reader (row-group pruning);
+    a filter on the derived ``Time`` column cannot be pushed down."""
+    lo = F.expr(f"TIMESTAMP_NTZ'{ORIGIN}' + make_dt_interval(0, 0, 0, {float(start_s)!r})")
+    hi = F.expr(f"TIMESTAMP_NTZ'{ORIGIN}' + make_dt_interval(0, 0, 0, {float(end_s)!r})")
+    ev = table(spark, sf_dir, "events").where((F.col("ts") >= lo) & (F.col("ts") < hi))
+    return txn_from_events(ev, keep_ts)
