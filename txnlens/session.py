@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +61,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session. Python stages
+    import it there, whatever folder or host their worker runs in."""
+    sc = spark.sparkContext
+    if getattr(sc, "_txnlens_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="txnlens-ship-"), "txnlens.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(home)))
+    sc.addPyFile(path)  # the driver serves it; nobody else reads its folder
+    sc._txnlens_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory for written tables."""
     import uuid
