@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,3 +30,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def column_or(df: DataFrame, name: str, default=None):
     """The column, or a literal when an input table lacks it."""
     return F.col(name) if name in df.columns else F.lit(default)
+
+
+def slices(texts: list[str], chars: int) -> Iterator[slice]:
+    """Runs of texts of about so many characters, one text at least."""
+    lo = held = 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held >= chars:
+            yield slice(lo, i + 1)
+            lo, held = i + 1, 0
+    if lo < len(texts):
+        yield slice(lo, len(texts))

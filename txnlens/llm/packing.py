@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import stored
+from .common import slices, stored
 
 SEQUENCE = 4096
 END_ID = 2
@@ -88,18 +88,6 @@ def word_tokens(path: str) -> WordTokens:
     return _TOKENS[path]
 
 
-def slices(texts: list[str], chars: int = SLICE_CHARS) -> Iterator[slice]:
-    """Runs of texts of about so many characters, one text at least."""
-    lo = held = 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= chars:
-            yield slice(lo, i + 1)
-            lo, held = i + 1, 0
-    if lo < len(texts):
-        yield slice(lo, len(texts))
-
-
 def _tokenize(path: str, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -108,7 +96,7 @@ def _tokenize(path: str, end_id: int):
         end = np.array([end_id], "<u2").tobytes()
         for b in batches:
             texts, doc = [t or "" for t in b["text"]], b["doc_id"].astype("Int64")
-            for part in slices(texts):
+            for part in slices(texts, SLICE_CHARS):
                 ids = [x + end for x in tok.ids(texts[part])]
                 n = np.array([len(x) // 2 for x in ids], np.int64)
                 start = before + np.cumsum(n) - n

@@ -8,10 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import toxicity
 from .chat import chat_digest
 from .common import table
 from .html_main import extract_main_text
 from .maxscore import quantised, top_k
+from .mixing import mixture, mixture_sql
+from .order_minhash import compare_with_edits
 from .packing import pack
 from .url_filter import filter_sql, url_filter, url_host
 
@@ -57,6 +60,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+# ---- 4: mixing sources ------------------------------------------------------
+
+@query(mixture_sql())
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"))
+
+
 # ---- 6: exact top-k search --------------------------------------------------
 
 QUERY_EVERY = 50
@@ -84,3 +94,20 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     c = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
     return chat_digest(c.unionByName(own))
+
+
+# ---- 5: document fingerprints -----------------------------------------------
+
+@query()
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+# ---- 10: toxicity -----------------------------------------------------------
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "lang_threshold")
