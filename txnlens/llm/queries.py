@@ -12,6 +12,7 @@ from . import toxicity
 from .chat import chat_digest
 from .common import table
 from .html_main import extract_main_text
+from .jaccard_join import jaccard_components
 from .maxscore import quantised, top_k
 from .mixing import mixture, mixture_sql
 from .order_minhash import compare_with_edits
@@ -111,3 +112,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "lang_threshold")
+
+
+# ---- 9: n-gram Jaccard join -------------------------------------------------
+
+@query()
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), shingle=3, similarity=(90, 100))
