@@ -17,7 +17,9 @@ tokenizer inside a text are ordinary text; only doc_id and text are read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,40 +45,80 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
+# Characters whose normal form, case and class are plain: printable ASCII and
+# the Latin letters up to U+017F, without U+0130.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*")
+# The vocabulary's own splitting rule, on such characters in lower case.
+_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u017f]+|[0-9]|[^a-z0-9\u00c0-\u017f]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Code point -> the letters that byte-level vocabularies write for its
+    UTF-8 bytes: a printable Latin-1 byte stands for itself, the others are
+    numbered from U+0100."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    letter = {b: chr(b) for b in shown}
+    for b in range(256):
+        if b not in letter:
+            letter[b] = chr(256 + len(letter) - len(shown))
+    return {c: "".join(letter[x] for x in chr(c).encode()) for c in range(33, 0x180)}
+
+
 class WordTokens:
     """Token ids of texts, by the white-space separated words of a text.
 
     The tokenizer's own splitting never joins characters across a space or a
     new line, so the ids of a text are those of its words one after another;
-    a word is tokenized once as long as it is in the cache."""
+    a word is tokenized once as long as it is in the cache. Words of plain
+    characters are split here and go to the tokenizer's model past its
+    normaliser; all others take the whole tokenizer."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.whole, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = self.model.encode_special_tokens = True
+        self.model.normalizer = normalizers.Sequence([])
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = _byte_letters()
+        self.closes = np.zeros(self.whole.get_vocab_size(), bool)
+        for token, i in self.whole.get_vocab(False).items():
+            self.closes[i] = token.endswith("</w>")
         self.known: dict[str, bytes] = {}
 
     def _learn(self, missing: list[str]) -> None:
         if len(self.known) + len(missing) > CACHE_WORDS:
             self.known.clear()
-        for lo in range(0, len(missing), 4096):
-            part = missing[lo:lo + 4096]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u2").tobytes()
+        plain, other, fits = [], [], _PLAIN.fullmatch
+        for w in missing:
+            (plain if fits(w) else other).append(w)
+        for lo in range(0, len(other), 4096):
+            part = other[lo:lo + 4096]
+            for w, e in zip(part, self.whole.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[w] = array("H", e.ids).tobytes()
+        # plain words go in lines of many; the tokens that end a piece tell them apart
+        find, letters = _SPLIT.findall, self.letters
+        for lo in range(0, len(plain), 8192):
+            part = plain[lo:lo + 8192]
+            pieces = [find(w.lower()) for w in part]
+            lines = [" ".join([x for w in pieces[i:i + 256] for x in w]).translate(letters) for i in range(0, len(part), 256)]
+            ids = np.array([i for e in self.model.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], np.int64)
+            ends = np.append(0, np.flatnonzero(self.closes[ids]) + 1)[np.cumsum([0, *map(len, pieces)])]
+            flat, at = ids.astype("<u2").tobytes(), (2 * ends).tolist()
+            self.known.update((w, flat[i:j]) for w, i, j in zip(part, at, at[1:]))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 16-bit ids of each text."""
         split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         every = set().union(*split)
-        missing = [w for w in every if w not in self.known]
+        missing = every.difference(self.known)
         if missing:
-            self._learn(missing)
+            self._learn(list(missing))
             if len(self.known) < len(every):  # the cache was emptied
                 self._learn([w for w in every if w not in self.known])
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+        one = self.known.__getitem__
+        return [b"".join(map(one, words)) for words in split]
 
 
 _TOKENS: dict[str, WordTokens] = {}  # a worker keeps its words from task to task
