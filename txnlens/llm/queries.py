@@ -17,6 +17,7 @@ from .maxscore import quantised, top_k
 from .mixing import mixture, mixture_sql
 from .order_minhash import compare_with_edits
 from .packing import pack
+from .suffix_dedup import find_repeats
 from .url_filter import filter_sql, url_filter, url_host
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +120,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), shingle=3, similarity=(90, 100))
+
+
+# ---- 7: suffix-array dedup --------------------------------------------------
+
+@query()
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_repeats(table(spark, sf_dir, "documents")).drop("kept")
