@@ -33,7 +33,8 @@ with fewer words than a shingle has, the whole sequence is the only shingle;
 null, empty or wordless texts have the empty set, link with nothing and are
 components of their own. Rows are judged by their own text, and a component
 is named by its smallest doc_id; a null doc_id comes last in that order.
-Shingles are 64-bit hashes. Only doc_id and text are read.
+Shingles and classes are 64-bit hashes (of classes, of their 128-bit
+digests). Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ from .hashing import BYTE, Prefix, from_planes, mix, planes
 SLICE_CHARS = 1 << 20
 SKETCH_WORDS = 4  # 256 bits
 BLOCK_ROWS = 256
-BROADCAST_IDS = 2_000_000  # 8 bytes each
+BROADCAST_IDS = 500_000  # of 24 bytes
 LAST_ID = 2 ** 63 - 1  # stands for a null doc_id
 
 _SEPARATOR = np.zeros(256, bool)
@@ -101,6 +102,10 @@ def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def _class_id(digest: bytes) -> int:
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
 def _sampled(s: np.ndarray, share: float) -> np.ndarray:
     return s[:np.searchsorted(s, np.uint64(min(1.0, share) * (2 ** 64 - 2 ** 11)))]
 
@@ -115,13 +120,14 @@ def _each_set(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]
 def _describe(k: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, ns, d = [], [], []
+            n, ns, d, cid = [], [], [], []
             for _, s in _each_set(b, k):
                 n.append(len(s))
                 ns.append(len(_sampled(s, share)))
                 d.append(_digest(s))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ns, pa.int64()), pa.array(d, pa.binary())],
-                                             names=["doc_id", "n", "n_sampled", "digest"])
+                cid.append(_class_id(d[-1]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ns, pa.int64()), pa.array(d, pa.binary()),
+                                              pa.array(cid, pa.int64())], names=["doc_id", "n", "n_sampled", "digest", "cid"])
     return run
 
 
@@ -184,30 +190,34 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         same = x[1:] == x[:-1]
         shared = np.append(same, False) | np.append(False, same)
         cid, n = np.unique(own[shared], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(cid.astype(np.int64)), pa.array(n.astype(np.int64))], names=["cid", "n_shared"])
+        yield pa.RecordBatch.from_arrays([pa.array(cid.astype(np.int64)), pa.array(n.astype(np.int64))], names=["low", "n_shared"])
 
 
 def _set_entries(k: int, buckets: int):
-    """(rid, text) -> blobs of (shingle, rid) with all shingles."""
+    """(digest, text) -> blobs of (shingle, class) with all shingles of the
+    rows whose set has the digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rid = np.array(b.column(0).to_pylist(), np.int64).view(np.uint64)
-            sets = [s for _, s in _each_set(b, k)]
+            want = b.column(0).to_pylist()
+            sets = [(want[i], s) for i, s in _each_set(b, k) if _digest(s) == want[i]]
             if not sets:
                 continue
-            x, own = np.concatenate(sets), np.repeat(rid, [len(s) for s in sets])
+            cid = np.array([_class_id(d) for d, _ in sets], np.int64).view(np.uint64)
+            x, own = np.concatenate([s for _, s in sets]), np.repeat(cid, [len(s) for _, s in sets])
             yield _dealt(x, lambda o: planes(x[o], 8) + planes(own[o], 8), buckets, 64)
     return run
 
 
 def _count_and_return(buckets: int):
-    """Blobs of (shingle, rid) -> blobs of (rid, shingle, number of classes)
-    of the shingles that several classes have, dealt by rid."""
+    """Blobs of (shingle, class) -> blobs of (class, shingle, number of
+    classes) of the shingles that several classes have, dealt by class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, own = _gather(batches, 8, 8)
         if len(x):
-            order = np.argsort(x, kind="stable")
+            order = np.lexsort((own, x))
             x, own = x[order], own[order]
+            keep = np.append(True, (x[1:] != x[:-1]) | (own[1:] != own[:-1]))  # a class may be stored twice
+            x, own = x[keep], own[keep]
             first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
             df = np.repeat(np.diff(np.append(first, len(x))), np.diff(np.append(first, len(x)))).astype(np.uint64)
             many = df > 1
@@ -217,8 +227,8 @@ def _count_and_return(buckets: int):
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blobs dealt by rid -> rid, its shared shingles in the order of (number
-    of classes, hash), and their parity sketch."""
+    """Blobs dealt by class -> rid (the class), its shared shingles in the
+    order of (number of classes, hash), and their parity sketch."""
     own, x, df = [], [], []
     for b in batches:
         for blob in b.column(1).to_pylist():
@@ -258,7 +268,7 @@ def _by_bucket(df: DataFrame, tasks: int) -> DataFrame:
 def described(docs: DataFrame, k: int, share: float) -> DataFrame:
     """doc_id, n, n_sampled, digest of every row's shingle set; written."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), "text")
-    return stored(rows.mapInArrow(_describe(k, share), "doc_id long, n long, n_sampled long, digest binary"), "jaccard-sets")
+    return stored(rows.mapInArrow(_describe(k, share), "doc_id long, n long, n_sampled long, digest binary, cid long"), "jaccard-sets")
 
 
 def _misses(n: Column, num: int, den: int) -> Column:
@@ -267,25 +277,24 @@ def _misses(n: Column, num: int, den: int) -> Column:
 
 
 def survivors(docs: DataFrame, members: DataFrame, k: int, share: float, num: int, den: int) -> DataFrame:
-    """Per class that may link: rid, n, n_unique, shared (in pivot order) and
-    the sketch words; written."""
+    """Per class that may link: rid (the class), n, n_unique, shared (in
+    pivot order) and the sketch words; written."""
     tasks, buckets = _buckets(docs)
-    text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("rid"), "text")
+    text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), "text")
     sampled = _by_bucket(text.select("text").mapInArrow(_sample_entries(k, share, buckets), "bucket int, blob binary"), tasks)
-    counts = sampled.mapInArrow(_shared_counts, "cid long, n_shared long").groupBy("cid").agg(F.sum("n_shared").alias("n_shared"))
-    classes = members.where("n > 0").groupBy("digest", "n", "n_sampled").agg(F.min("doc_id").alias("rid"))
-    low48 = F.conv(F.concat(*[F.hex(F.substring("digest", i, 1)) for i in range(6, 0, -1)]), 16, 10).cast("long")
-    left = classes.withColumn("cid", low48).join(counts, "cid", "left")
+    counts = sampled.mapInArrow(_shared_counts, "low long, n_shared long").groupBy("low").agg(F.sum("n_shared").alias("n_shared"))
+    classes = members.where("n > 0").groupBy("digest", "cid", "n", "n_sampled").agg(F.min("doc_id").alias("doc_id"))
+    left = classes.withColumn("low", F.col("cid").bitwiseAND(F.lit(2 ** 48 - 1))).join(counts, "low", "left")
     alone = F.col("n_sampled") - F.coalesce("n_shared", F.lit(0))
-    left = stored(left.where(alone <= _misses(F.col("n"), num, den)).select("rid", "n", "digest"), "jaccard-left")
+    left = stored(left.where(alone <= _misses(F.col("n"), num, den)).select("doc_id", "n", "digest", "cid"), "jaccard-left")
     small = left.count() <= BROADCAST_IDS
-    ids = left.select("rid", "n")
-    own = text.join(F.broadcast(ids) if small else ids, "rid", "left_semi")
+    hint = F.broadcast if small else (lambda df: df)
+    own = text.join(hint(left.select("doc_id", "digest")), "doc_id").select("digest", "text")
     entries = _by_bucket(own.mapInArrow(_set_entries(k, buckets), "bucket int, blob binary"), tasks)
     back = _by_bucket(entries.mapInArrow(_count_and_return(buckets), "bucket int, blob binary"), tasks)
     words = ", ".join(f"w{i} long" for i in range(SKETCH_WORDS))
     sets = back.mapInArrow(_assemble, f"rid long, shared array<long>, {words}")
-    sets = sets.join(ids, "rid").withColumn("n_unique", F.col("n") - F.size("shared"))
+    sets = sets.join(left.select(F.col("cid").alias("rid"), "n"), "rid").withColumn("n_unique", F.col("n") - F.size("shared"))
     return stored(sets.where(F.col("n_unique") <= _misses(F.col("n"), num, den)), "jaccard-survivors")
 
 
@@ -360,8 +369,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, similarity: tuple[int,
     members = described(docs, shingle, share)
     sets = survivors(docs, members, shingle, share, num, den)
     comp = components(links(sets, num, den))
-    names = members.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rid"))
-    names = names.join(comp.select(F.col("id").alias("rid"), "comp"), "rid", "left").select("digest", F.coalesce("comp", "rid").alias("name"))
+    classes = members.where("n > 0").groupBy("digest", "cid").agg(F.min("doc_id").alias("first"))
+    linked = stored(classes.join(comp.withColumnRenamed("id", "cid"), "cid"), "jaccard-linked")
+    least = linked.groupBy("comp").agg(F.min("first").alias("name"))
+    names = classes.join(linked.join(least, "comp").select("digest", "name"), "digest", "left").select("digest", F.coalesce("name", "first").alias("name"))
     out = members.join(names, "digest", "left")
     name = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("name"))
     back = lambda c: F.nullif(c, F.lit(LAST_ID).cast("long"))
