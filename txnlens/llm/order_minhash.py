@@ -24,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,15 +147,6 @@ def likeness(a: str | None, b: str | None) -> float:
     return float((np.frombuffer(bytes.fromhex(a), ">u2") == np.frombuffer(bytes.fromhex(b), ">u2")).mean())
 
 
-def likeness_column(a: str, b: str, digits: int = DIGITS):
-    """The same as a DataFrame expression."""
-    n = F.greatest(F.length(a), F.length(b)) / F.lit(digits)
-    same = F.expr(f"aggregate(sequence(0, cast(length({a}) / {digits} as int) - 1), 0, (s, i) -> s + "
-                  f"if(substring({a}, i * {digits} + 1, {digits}) = substring({b}, i * {digits} + 1, {digits}), 1, 0))")
-    return (F.when((F.length(a) == 0) & (F.length(b) == 0), 1.0).when((F.length(a) == 0) | (F.length(b) == 0), 0.0)
-            .otherwise(same / n))
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint of every row of ``docs``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -199,35 +192,66 @@ def next_documents(rows: DataFrame) -> DataFrame:
     return links.join(F.broadcast(table), "task").select("rid", "n_chars", F.coalesce("next", "head").alias("next"))
 
 
-def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rid, text) -> (rid, compressed text), before texts are moved."""
+    z = zstandard.ZstdCompressor(level=3)
     for b in batches:
-        out = []
-        for doc, rid, nxt, text, tail, n_repl in zip(b["doc_id"], b["rid"], b["next"], b["text"], b["tail"], b["cut"]):
-            edited = text[:len(text) - int(n_repl)] + (tail or "")
-            out.append((doc, rid, nxt, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), fingerprint(text), fingerprint(edited)))
-        frame = pd.DataFrame(out, columns=["doc_id", "rid", "next", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"])
-        frame["doc_id"] = frame["doc_id"].astype("Int64")
-        yield frame
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([z.compress(t.encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()], pa.binary())],
+                                         names=["rid", "z"])
+
+
+def _text(z: zstandard.ZstdDecompressor, data: bytes) -> str:
+    return z.decompress(data).decode("utf-8", "surrogatepass")
+
+
+def _hand_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rid, z, to, cut) -> a row for the document before it, with the
+    characters that replace its end and this fingerprint, and a row for the
+    document itself with its fingerprint."""
+    z, c = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
+    for b in batches:
+        rid, tail, nxt, own = [], [], [], []
+        for r, data, to, cut in zip(*[x.to_pylist() for x in b.columns]):
+            text = _text(z, data)
+            print_ = bytes.fromhex(fingerprint(text))
+            rid += [to, r]
+            tail += [c.compress(text[:cut].encode("utf-8", "surrogatepass")), None]
+            nxt += [print_, None]
+            own += [None, print_]
+        yield pa.RecordBatch.from_arrays([pa.array(rid, pa.string()), *[pa.array(x, pa.binary()) for x in (tail, nxt, own)]],
+                                         names=["rid", "tail", "next_print", "own_print"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    z = zstandard.ZstdDecompressor()
+    for b in batches:
+        out = ([], [], [], [], [], [], [])
+        for rid, data, tail, nxt, own in zip(*[x.to_pylist() for x in b.columns]):
+            text, doc_id = _text(z, data), rid.partition(":")[0]
+            edited = text[:len(text) - len(text) // 4] + _text(z, tail)
+            a, e = own.hex(), fingerprint(edited)
+            row = (int(doc_id) if doc_id else None, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), a, e,
+                   likeness(a, e), likeness(a, nxt.hex()))
+            for column, value in zip(out, row):
+                column.append(value)
+        types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types)], names=[f.split()[0] for f in COMPARED.split(", ")])
+
+
+COMPARED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def compare_with_edits(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next. Of the next document only the characters needed
-    are moved, and its fingerprint is joined, not computed again."""
+    """COMPARED for every row. Both joins below ask for the same distribution
+    of the same compressed texts, so these are moved once; of the next
+    document only the characters needed and its fingerprint are moved on."""
     text = F.coalesce("text", F.lit(""))
-    rid = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.xxhash64(text).cast("string"))
-    t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), rid.alias("rid"), text.alias("text"))
-    order = next_documents(t.select("doc_id", "rid", F.length("text").cast("long").alias("n_chars")))
-    cut = F.floor(F.col("n_chars") / 4).cast("int")
-    need = order.select(F.col("rid").alias("to"), F.col("next").alias("rid"), cut.alias("cut"))
-    tails = t.select("rid", "text").join(need, "rid").select(F.col("to").alias("rid"), F.col("rid").alias("next"), "cut",
-                                                            F.expr("left(text, cut)").alias("tail"))
-    tails = tails.groupBy("rid", "next", "cut").agg(F.first("tail").alias("tail"))  # a next document may be stored twice
-    done = stored(t.join(tails, "rid").select("doc_id", "rid", "next", "text", "tail", "cut")
-                  .mapInPandas(_compare, "doc_id long, rid string, next string, n_chars long, edited_sha256 string, "
-                                         "fingerprint string, edited_fingerprint string"), "omh-prints")
-    nxt = done.select(F.col("rid").alias("next"), F.col("fingerprint").alias("next_print")).dropDuplicates(["next"])
-    j = done.join(nxt, "next")
-    return j.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                    likeness_column("fingerprint", "edited_fingerprint").alias("near_edited"),
-                    likeness_column("fingerprint", "next_print").alias("near_next"))
+    rid = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.hex(F.xxhash64(text)))
+    t = docs.select(rid.alias("rid"), text.alias("text")).mapInArrow(_squeezed, "rid string, z binary")
+    order = next_documents(docs.select(F.col("doc_id").cast("long").alias("doc_id"), rid.alias("rid"), F.length(text).cast("long").alias("n_chars")))
+    need = order.select(F.col("next").alias("rid"), F.col("rid").alias("to"), F.floor(F.col("n_chars") / 4).cast("int").alias("cut"))
+    sent = (t.join(need.hint("merge"), "rid").select("rid", "z", "to", "cut")
+            .mapInArrow(_hand_on, "rid string, tail binary, next_print binary, own_print binary"))
+    # a document may be stored twice: one of each suffices
+    sent = sent.groupBy("rid").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("tail", "next_print", "own_print")])
+    return t.join(sent.hint("merge"), "rid").select("rid", "z", "tail", "next_print", "own_print").mapInArrow(_compare, COMPARED)
