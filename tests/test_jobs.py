@@ -23,7 +23,7 @@ def test_end_to_end(spark, tmp_root):
     comp = {r.model: r.auc for r in spark.read.parquet(f"{tmp_root}/reports/model_comparison").collect()}
     assert set(comp) == {"graph", "reconstruction", "isolation_forest", "ensemble"}
     src = f"{tmp_root}/stream"
-    feats.drop("split").select("id", "Time", "Amount", "Class", *[f"V{i}" for i in range(1, 29)]) \
+    feats.drop("split").select("id", "Time", "Amount", "Class", *[f"V{i}" for i in range(1, 65)]) \
          .repartition(2).write.parquet(src)
     jobs.score_stream(spark, src, tmp_root, spark.read.parquet(src).schema)
     jobs.monitor_reports(spark, tmp_root)

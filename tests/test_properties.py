@@ -59,8 +59,8 @@ def test_forest_scores_and_outliers(spark):
        st.lists(st.floats(min_value=0, max_value=1), min_size=1, max_size=4))
 def test_quantiles_match_numpy(spark, values, probs):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    for small in (0, 10 ** 6):
-        got = exact_quantiles_multi(df, ["x"], probs, small_rows=small, buckets=8, collect_limit=20)["x"]
+    for buckets, limit in ((8, 20), (4096, 100_000)):
+        got = exact_quantiles_multi(df, ["x"], probs, buckets=buckets, collect_limit=limit)["x"]
         want = np.percentile(np.array(values), [p * 100 for p in probs])
         assert np.allclose(got, want, rtol=1e-9, atol=1e-9)
 

@@ -14,11 +14,30 @@ def test_csv_transactions(spark, tmp_root):
     path = f"{tmp_root}/tx.csv"
     with open(path, "w") as fh:
         fh.write("Time,V1,V2,Amount,Class\n0,0.5,-1,10.5,0\n3600,1.5,2,0,1\n")
-    df = files.read_transactions_csv(spark, path, n_features=2)
+    df = files.read_transactions_csv(spark, path)
     rows = df.orderBy("Time").collect()
     assert [r.Amount for r in rows] == [10.5, 0.0] and rows[1].Class == 1 and "id" in df.columns
 
 
+def test_csv_columns_by_name_and_nan(spark, tmp_root):
+    path = f"{tmp_root}/tx.csv"
+    with open(path, "w") as fh:
+        fh.write("id,Time,V2,V1,Class,Amount,V10,note\n7,1.5,NaN,0.25,1,NaN,3,x\n8,2.5,2,,0,4.5,1,y\n")
+    a, b = files.read_transactions_csv(spark, path).orderBy("id").collect()
+    assert (a.id, a.Time, a.V1, a.V2, a.V10, a.Class, a.Amount, a.note) == (7, 1.5, 0.25, None, 3.0, 1, None, "x")
+    assert (b.id, b.V1, b.V2, b.Amount) == (8, None, 2.0, 4.5)
+
+
+def test_alert_documents_are_bounded(spark, tmp_root):
+    cases = spark.range(100).select(F.col("id").cast("double").alias("Time"), F.lit(1.0).alias("Amount"), F.lit(-0.1).alias("anomaly_score"))
+    files.write_alert_document(cases, 3, tmp_root, 1.0, chunk=10)
+    docs = spark.read.option("multiLine", True).json(f"{tmp_root}/fraud_alerts_batch_3.json")
+    assert docs.agg(F.sum("fraud_count"), F.max(F.size("cases"))).first()[0] == 100 and docs.count() > 8
+    assert files.read_batch_alerts(spark, tmp_root).count() == 100
+    files.write_alert_document(cases.where("false"), 4, tmp_root, 1.0)
+    assert files.read_batch_alerts(spark, tmp_root).count() == 100
+
+
 def test_missing_logs_are_empty(spark, tmp_root):
     assert files.read_alerts(spark, f"{tmp_root}/nope").count() == 0
     assert files.read_batch_alerts(spark, f"{tmp_root}/nope").count() == 0

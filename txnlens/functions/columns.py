@@ -77,10 +77,6 @@ def sigmoid(c) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-col_(c)))
 
 
-def relu(c) -> Column:
-    return F.greatest(col_(c), F.lit(0.0))
-
-
 def safe_ratio(num, den, zero=None) -> Column:
     """num/den, ``zero`` (default NULL) when den is 0 (ANSI-safe)."""
     r = F.try_divide(col_(num), col_(den))

@@ -5,25 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only below this many rows; above it the plain join
+# A side is broadcast only below this many bytes; above it the plain join
 # (sort-merge / AQE) is used.
-BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Cache a derived table (typically an aggregate), count it, and mark it
-    for broadcast only when the count is under ``max_rows``."""
+def size_in_bytes(df: DataFrame) -> int:
+    """Spark's own size of a plan: exact for a cached table that was run."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def checked_broadcast(small: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Cache a derived table (typically an aggregate), run it, and mark it
+    for broadcast only when it is under ``max_bytes``."""
     small = small.cache()
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
+    small.count()
+    return F.broadcast(small) if size_in_bytes(small) <= max_bytes else small
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join against a derived small table with a size-checked broadcast."""
-    if on is None or on == []:
+    if on is None or isinstance(on, list) and on == []:
         return attach_params(big, small)
-    return big.join(checked_broadcast(small, max_rows), on, how)
+    return big.join(checked_broadcast(small, max_bytes), on, how)
 
 
 def attach_params(df: DataFrame, params: DataFrame) -> DataFrame:
@@ -37,12 +42,11 @@ def attach_params(df: DataFrame, params: DataFrame) -> DataFrame:
     return df.withColumns({k: F.lit(v).cast(fields[k]) for k, v in rows[0].asDict().items()})
 
 
-def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
-    """Round-robin repartition before a CPU-heavy (Python) stage, but only
-    when the input has fewer partitions than the cluster's default
-    parallelism (a single small file, a coalesced shuffle). Large inputs
-    already have many partitions and pass through untouched."""
-    target = minimum or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def complete_rows(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows without NULL or NaN in ``cols``, one condition a column (a single
+    condition over many columns multiplies with every alias of them when the
+    optimizer derives constraints)."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return df.where(cond)

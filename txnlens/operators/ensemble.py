@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import math
 import random
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -134,7 +133,3 @@ def score_ensemble(df: DataFrame, model: PipelineModel | None, iso: str = "iso_s
                  .withColumn("confidence", F.abs(F.col(iso)))
     p = predict_proba(model, df)
     return p.withColumn("prediction", F.col("ensemble_pred")).withColumn("confidence", F.col("ensemble_prob"))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -1,10 +1,10 @@
 """Isolation forest (Liu, Ting & Zhou 2008) fitted and scored by Spark.
 
 Fit: every tree gets its own sample of psi = min(max_samples, n) rows drawn
-by key hashes — one Bernoulli pass that tags each kept row with a tree id
-when n is large, or a per-tree hash ranking when n is small — and the trees
-are grown in parallel with ``groupBy("tree").applyInPandas`` (each group is
-at most about 1.5·psi rows, whatever n is). The forest is at most
+by key hashes: row r enters the draw of tree t when hash(r, t) is below
+min(1, 1.5·psi/n), and the psi smallest hashes of a tree are its sample. The
+trees are grown in parallel with ``groupBy("tree").applyInPandas`` (each group
+is about 1.5·psi rows, whatever n is). The forest is at most
 trees·(2·psi − 1) nodes, a proven bound, so it is broadcast to the scorer.
 
 Score: an Arrow-batched pandas UDF walks all trees for a whole batch at
@@ -25,9 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ensure_parallelism
 from .quantiles import exact_quantiles
-from .sampling import hash_order, hash_uniform
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -120,16 +118,16 @@ class IsolationForestModel:
 
 
 def tree_samples(df: DataFrame, n: int, n_trees: int, psi: int, seed: int, key: str) -> DataFrame:
-    """Rows tagged with a tree id, at most psi per tree."""
-    if n >= 2 * n_trees * psi:
-        frac = min(1.0, 1.5 * n_trees * psi / n)
-        u = hash_uniform(key, seed)
-        tagged = df.where(u < F.lit(frac)).withColumn("tree", F.floor(u / F.lit(frac) * n_trees).cast("int"))
-    else:
-        tagged = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-    rank_key = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}-"), F.col("tree").cast("string")))
-    w = Window.partitionBy("tree").orderBy(rank_key, F.col(key))
-    return tagged.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r")
+    """Rows tagged with a tree id, at most psi per tree; a row may be drawn
+    for several trees, by the same rule for every n."""
+    share = min(1.0, 1.5 * psi / max(n, 1))
+
+    def draw(t):
+        return F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+    drawn = df.withColumn("tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: draw(t) < F.lit(share))))
+    w = Window.partitionBy("tree").orderBy(draw(F.col("tree")), F.col(key))
+    return drawn.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r")
 
 
 def fit_isolation_forest(df: DataFrame, features: list[str], n_trees: int = 100, max_samples: int = 256,
@@ -184,7 +182,7 @@ def _scorer(spark: SparkSession, model: IsolationForestModel):
 def score_samples(df: DataFrame, model: IsolationForestModel, name: str = "iso_raw") -> DataFrame:
     """Adds −2^(−E[h]/c(psi)) (in (−1, 0); lower = more anomalous)."""
     udf = _scorer(df.sparkSession, model)
-    return ensure_parallelism(df).withColumn(name, udf(*[F.col(c).cast("double") for c in model.features]))
+    return df.withColumn(name, udf(*[F.col(c).cast("double") for c in model.features]))
 
 
 def score_isolation_forest(df: DataFrame, model: IsolationForestModel, score: str = "iso_score",

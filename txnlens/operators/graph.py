@@ -45,10 +45,11 @@ def banded_edges(df: DataFrame, order_by=("Time", "id"), key: str = "id", time_c
 
 
 def symmetric_edges(edges: DataFrame, nodes: DataFrame, key: str = "id") -> DataFrame:
-    """Forward ∪ reverse ∪ one self-loop per node (bag union)."""
-    rev = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    """Forward ∪ reverse ∪ one self-loop per node (bag union); both directions
+    come from one pass over the edges."""
+    both = F.array(F.struct(F.col("src").alias("src"), F.col("dst").alias("dst")), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
     loops = nodes.select(F.col(key).alias("src"), F.col(key).alias("dst"))
-    return edges.select("src", "dst").unionAll(rev).unionAll(loops)
+    return edges.select(F.explode(both).alias("e")).select("e.src", "e.dst").unionAll(loops)
 
 
 def similarity_graph(df: DataFrame, features: list[str], key: str = "id", label: str | None = "Class",
@@ -56,7 +57,7 @@ def similarity_graph(df: DataFrame, features: list[str], key: str = "id", label:
     """(nodes, edges): nodes carry ``features`` (+ label), edges are symmetric
     with self-loops."""
     nodes = df.select(key, *features, *([label] if label else []))
-    fwd = banded_edges(df, key=key, **kw)
+    fwd = materialize(banded_edges(df, key=key, **kw), "edges")  # read by every hop
     return nodes, symmetric_edges(fwd, nodes, key)
 
 

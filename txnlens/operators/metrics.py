@@ -8,11 +8,10 @@ single-partition rank. One class only → NULL.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .position import running_sums
 
 
@@ -34,18 +33,17 @@ def roc_auc(df: DataFrame, score: str, label: str = "Class", negate: bool = Fals
 
 
 def model_comparison(df: DataFrame, scores: dict[str, tuple[str, bool]], label: str = "Class") -> DataFrame:
-    """(model, auc) for several score columns {model: (column, negate)} in
-    one pass: scores are grouped by (model, score), one distributed running
-    sum runs over the (model, score) order, and each model's own
-    negatives-below are rebased by the negatives of the models before it
-    (one row per model)."""
-    y = F.col(label).cast("int")
-    parts = [df.where(F.col(col).isNotNull() & F.col(label).isNotNull())
-               .select(F.lit(name).alias("model"), (-F.col(col) if neg else F.col(col)).cast("double").alias("_s"), y.alias("_y"))
-             for name, (col, neg) in scores.items()]
-    long = reduce(DataFrame.unionByName, parts)
+    """(model, auc) for several score columns {model: (column, negate)}: the
+    columns are unpivoted, so the input runs once, and grouped by (model,
+    score); the grouped scores are written once, one distributed running sum
+    runs over their order, and each model's negatives-below are rebased by
+    those of the models before it (one row per model)."""
+    y = F.col(label).cast("int").alias("_y")
+    cols = [(-F.col(c) if neg else F.col(c)).cast("double").alias(name) for name, (c, neg) in scores.items()]
+    long = df.select(y, *cols).unpivot(["_y"], list(scores), "model", "_s").where("_s IS NOT NULL AND _y IS NOT NULL")
     g = long.groupBy("model", "_s").agg(F.sum((F.col("_y") == 1).cast("long")).alias("_pos"),
                                         F.sum((F.col("_y") != 1).cast("long")).alias("_neg"))
+    g = materialize(g, "model-scores")
     c = running_sums(g, ["model", "_s"], {"_nb": "_neg"}, inclusive=False)
     per = g.groupBy("model").agg(F.sum("_neg").alias("_mneg"))
     w = Window.orderBy("model").rowsBetween(Window.unboundedPreceding, -1)

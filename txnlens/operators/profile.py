@@ -55,7 +55,7 @@ def label_correlations(df: DataFrame, features: list[str], label: str = "Class")
 
     The features are unpivoted to (feature, x, y) rows and aggregated by
     feature: one small ``corr`` buffer per group keeps the aggregate inside
-    whole-stage codegen (a wide row of 28 ``corr`` buffers exceeds the
+    whole-stage codegen (a wide row of many ``corr`` buffers exceeds the
     codegen field limit) and the partial aggregates are map-side, so only
     one row per feature and partition is shuffled. The label is never part
     of the unpivot.
@@ -81,17 +81,22 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None,
     Bin i covers [lo + i·w, lo + (i+1)·w); the last bin is closed. A constant
     subset gets the range (x − 0.5, x + 0.5). Output: (by, bin, lo, hi,
     bin_lo, bin_hi, n[, density]). Two aggregates: the per-subset range
-    (one row per subset) and the (subset, bin) counts.
+    (one row per subset) and the (subset, bin) counts. A NULL subset is one
+    of its own; NULL, NaN and infinite values fall in no bin.
     """
     keys = [by] if by else []
     x = F.col(value).cast("double")
-    data = df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull())
+    data = df.select(*keys, x.alias("_x")).where(F.abs("_x") < float("inf"))
     rng = data.groupBy(*keys).agg(F.min("_x").alias("_min"), F.max("_x").alias("_max"), F.count(F.lit(1)).alias("_n"))
     rng = rng.select(*keys, "_n",
                      F.when(F.col("_min") == F.col("_max"), F.col("_min") - 0.5).otherwise(F.col("_min")).alias("lo"),
                      F.when(F.col("_min") == F.col("_max"), F.col("_max") + 0.5).otherwise(F.col("_max")).alias("hi"))
     # one row per subset: size-checked broadcast (a single row when no ``by``)
-    joined = join_small(data, rng, keys) if keys else attach_params(data, rng)
+    if keys:
+        side = rng.withColumnRenamed(by, "_subset")
+        joined = join_small(data, side, data[by].eqNullSafe(side["_subset"])).drop("_subset")
+    else:
+        joined = attach_params(data, rng)
     b = F.least(F.floor((F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(bins)),
                 F.lit(bins - 1)).cast("int")
     counts = joined.groupBy(*keys, b.alias("bin"), "lo", "hi", "_n").agg(F.count(F.lit(1)).alias("n"))
@@ -103,3 +108,19 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None,
     if density:
         out = out.withColumn("density", F.col("n") / (F.col("_n") * width))
     return out.drop("_n")
+
+
+def top_feature_histograms(df: DataFrame, corr: DataFrame, features: list[str], k: int = 8, bins: int = 50,
+                           label: str = "Class") -> DataFrame:
+    """Per-class histograms of the k features most correlated with the label
+    (the first k of ``corr``): feature, rank, label and the columns of
+    ``histogram``. The few features are unpivoted, so one pass counts them."""
+    top = {r["feature"]: r["rank"] for r in top_features(corr, k).collect()}
+    names = [f for f in features if f in top]
+    long = df.select(F.col(label), *[F.col(f).cast("double").alias(f) for f in names]).unpivot([label], names, "feature", "_v")
+    long = long.withColumn("_by", F.struct("feature", label))
+    h = histogram(long, "_v", bins, by="_by")
+    rank = F.lit(None).cast("int")
+    for f in names:
+        rank = F.when(F.col("_by.feature") == f, F.lit(top[f])).otherwise(rank)
+    return h.select(F.col("_by.feature").alias("feature"), rank.cast("int").alias("rank"), F.col(f"_by.{label}").alias(label), *[c for c in h.columns if c != "_by"])

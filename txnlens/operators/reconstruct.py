@@ -1,7 +1,7 @@
 """Reconstruction-error anomaly model (a linear autoencoder).
 
 Fit on normal rows: standardise every feature (population std, std 0 → 1),
-fit ``pyspark.ml.feature.PCA(k)`` (a distributed Gramian), and set the
+take the principal components (a distributed Gramian), and set the
 threshold at the exact 95th percentile of the training errors. The error of
 a row is mean((z − P Pᵀ z)²) = (‖z‖² − ‖Pᵀz‖²)/d for orthonormal P.
 
@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ensure_parallelism
+from .common import complete_rows
 from .quantiles import exact_quantiles
-from .scaling import fit_standard
 
 
 @dataclass
@@ -54,23 +53,19 @@ class ReconstructionModel:
             e = ((z * z).sum(axis=1) - (proj * proj).sum(axis=1)) / z.shape[1]
             return pd.Series(np.maximum(e, 0.0))
 
-        return ensure_parallelism(df).withColumn(name, error(*[F.col(c).cast("double") for c in self.features]))
+        return df.withColumn(name, error(*[F.col(c).cast("double") for c in self.features]))
 
 
-def _standardized(df: DataFrame, features: list[str], center, scale) -> DataFrame:
-    return df.select(*[((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(c)
-                       for c, m, s in zip(features, center, scale)])
-
-
-def gram_moments(df: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.ndarray]:
-    """(n, column sums, XᵀX) of the numeric columns, computed per Arrow batch
-    and summed by Spark; only d² + d + 1 numbers reach the driver."""
+def gram_moments(df: DataFrame, cols: list[str], shift: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """(n, column sums, XᵀX) of the numeric columns less ``shift`` (a point
+    near the data, against cancellation), computed per Arrow batch and summed
+    by Spark; only d² + d + 1 numbers reach the driver."""
     d = len(cols)
 
     def partial(it):
         n, s, g = 0, np.zeros(d), np.zeros((d, d))
         for pdf in it:
-            X = pdf[cols].to_numpy(dtype=float)
+            X = pdf[cols].to_numpy(dtype=float) - shift
             n += len(X)
             s += X.sum(axis=0)
             g += X.T @ X
@@ -84,27 +79,22 @@ def gram_moments(df: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.nd
     return int(vals[0]), vals[1:1 + d], vals[1 + d:].reshape(d, d)
 
 
-def principal_components(df: DataFrame, cols: list[str], k: int) -> np.ndarray:
-    """Top-k eigenvectors (d × k) of the sample covariance of ``cols``."""
-    n, s, g = gram_moments(df, cols)
-    mean = s / max(n, 1)
-    cov = (g - n * np.outer(mean, mean)) / max(n - 1, 1)
-    w, v = np.linalg.eigh(cov)
-    order = np.argsort(w)[::-1][:k]
-    return v[:, order]
-
-
 def fit_reconstruction(df: DataFrame, features: list[str], k: int = 16, quantile: float = 0.95) -> ReconstructionModel:
-    """Three passes over the training rows (moments, Gramian, errors), so
-    they are persisted (memory and disk) for the duration of the fit."""
-    df = df.select(*features).persist(StorageLevel.MEMORY_AND_DISK)
-    p = fit_standard(df, features).first()
-    center = [float(p[f"{c}_center"]) for c in features]
-    scale = [float(p[f"{c}_scale"]) for c in features]
-    z = _standardized(df.na.drop(subset=features), features, center, scale)
-    k = min(k, len(features))
-    comps = principal_components(z, features, k)
-    model = ReconstructionModel(features, center, scale, comps, 0.0)
+    """One pass over the complete training rows gives the moments, from which
+    mean, deviation and the covariance of the standardised features follow; a
+    second one, kept for the percentile, the errors."""
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in features]).persist(StorageLevel.MEMORY_AND_DISK)
+    full = complete_rows(df, features)
+    some = full.limit(1).collect()
+    shift = np.array([some[0][c] for c in features], dtype=float) if some else np.zeros(len(features))
+    n, total, gram = gram_moments(full, features, shift)
+    mean = total / max(n, 1)
+    cov = gram / max(n, 1) - np.outer(mean, mean)
+    std = np.sqrt(np.maximum(np.diag(cov), 0.0))
+    scale = np.where(std > 1e-12 * np.maximum(np.abs(mean + shift), 1e-300), std, 1.0)
+    w, v = np.linalg.eigh(cov / np.outer(scale, scale))
+    comps = v[:, np.argsort(w)[::-1][:min(k, len(features))]]
+    model = ReconstructionModel(features, [float(x) for x in mean + shift], [float(x) for x in scale], comps, 0.0)
     err = model.with_error(df, "_e").select("_e").persist(StorageLevel.MEMORY_AND_DISK)
     model.threshold = float(exact_quantiles(err, "_e", [quantile])[0])
     err.unpersist()

@@ -4,8 +4,8 @@ interpolation (SMOTE, Chawla et al. 2002).
 kNN without all pairs (pivot partitioning with triangle-inequality
 pruning, after Lu et al., VLDB 2012):
 
-1. P pivots are a hash sample of the points (P ≤ ``max_pivots``: a proven
-   bound for the broadcast); every point joins the cell of its nearest
+1. P pivots are a hash sample of the points (P ≤ max(``max_pivots``, √n): the
+   table that is broadcast); every point joins the cell of its nearest
    pivot (an Arrow-batched pandas UDF; distances to P pivots).
 2. Per cell c: radius R_c (max distance of its points to the pivot) and
    D_c, the distance from the pivot to its (k+1)-th nearest point anywhere
@@ -33,10 +33,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ensure_parallelism, join_small
+from ..session import materialize
+from .common import complete_rows, join_small
 from .sampling import hash_uniform, sample_exact, stratum_positions
 
 _SLACK = 1e-7
+REPLICA_CHUNK = 1024
 
 
 def _pivot_distances(X: np.ndarray, piv: np.ndarray, piv_sq: np.ndarray) -> np.ndarray:
@@ -78,8 +80,7 @@ def knn_join(df: DataFrame, features: list[str], k: int = 5, key: str = "id", ce
     query ever needs more of one identical group). The pivot join then runs
     over the remaining points."""
     spark = df.sparkSession
-    pts = ensure_parallelism(df.select(F.col(key).alias("_q"), *[F.col(c).cast("double").alias(c) for c in features])
-                             .na.drop(subset=features))
+    pts = complete_rows(df.select(F.col(key).alias("_q"), *[F.col(c).cast("double").alias(c) for c in features]), features)
     copies = pts.groupBy(*features).agg(F.count(F.lit(1)).alias("_m"))
     tagged = join_small(pts, copies, features).persist()
     dense = tagged.where(F.col("_m") > k).drop("_m")
@@ -100,8 +101,9 @@ def _pivot_knn(spark, queries: DataFrame, cands: DataFrame, features: list[str],
                cell_size: int, max_pivots: int, seed: int) -> DataFrame:
     """kNN of ``queries`` among ``cands`` (queries ⊆ cands) by pivot cells."""
     n = cands.count()
-    n_piv = int(min(max_pivots, max(1, math.ceil(n / cell_size))))
-    # at most max_pivots rows of d doubles: collected and broadcast
+    # pivots for cells of ``cell_size``, as far as their table (collected and
+    # broadcast) stays small: max_pivots, and beyond that the square root of n
+    n_piv = int(min(max(1, math.ceil(n / cell_size)), max(max_pivots, math.isqrt(n))))
     piv = np.array([[r[c] for c in features] for r in sample_exact(cands, n_piv, seed, key="_q").collect()], dtype=float)
     piv_sq = (piv * piv).sum(axis=1)
     bc = spark.sparkContext.broadcast((piv, piv_sq))
@@ -193,23 +195,34 @@ def smote(df: DataFrame, features: list[str], label: str = "Class", minority: in
     n_maj = sum(v for c, v in counts.items() if c != minority)
     out = base.withColumn("synthetic", F.lit(False))
     need = n_maj - n_min
-    if need <= 0 or n_min < 2:
+    if need <= 0:
         return out
-    mino = base.where(F.col(label) == minority)
-    nn = knn_join(mino, features, k, key, seed=seed)
-    per, extra = divmod(need, n_min)
+    # rows without all features have no neighbours and make no synthetic rows
+    mino = complete_rows(base.where(F.col(label) == minority), features)
+    n_src = mino.count()
+    if n_src < 2:
+        raise ValueError(f"over-sampling needs two complete rows of {label} = {minority}, found {n_src}")
+    nn = materialize(knn_join(mino, features, k, key, seed=seed), "knn")  # read for the counts and for the pairs
+    per, extra = divmod(need, n_src)
     ranked = stratum_positions(mino, None, seed, key)
     reps = F.lit(per) + F.when(F.col("_rank") < extra, 1).otherwise(0)
     kcount = nn.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
-    syn = ranked.withColumn("_reps", reps).where(F.col("_reps") > 0).join(kcount, key) \
-                .withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("_reps"))))
+    syn = ranked.withColumn("_reps", reps).where(F.col("_reps") > 0).join(kcount, key)
+    # replicas are made in two steps, chunks spread over all tasks and then
+    # rows, so few minority rows don't make one long array in one task
+    chunk = F.lit(REPLICA_CHUNK)
+    syn = syn.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_reps") - 1) / chunk).cast("int"))))
+    if per > REPLICA_CHUNK:
+        syn = syn.repartition(key, "_chunk")
+    syn = syn.withColumn("_rep", F.explode(F.sequence(F.col("_chunk") * chunk + 1, F.least(F.col("_reps").cast("int"), (F.col("_chunk") + 1) * chunk))))
     tag = F.concat(F.col(key).cast("string"), F.lit("-"), F.col("_rep").cast("string"))
     syn = syn.withColumn("_tag", tag)
-    syn = syn.withColumn("nn_rank", (F.pmod(F.xxhash64("_tag", F.lit(seed)), F.col("_k")) + 1).cast("int")) \
+    syn = syn.withColumn("nn_rank", (F.pmod(F.conv(F.substring(F.md5(F.concat("_tag", F.lit(f"-nn-{seed}"))), 1, 13), 16, 10).cast("long"), F.col("_k")) + 1).cast("int")) \
              .withColumn("_u", hash_uniform("_tag", seed))
-    syn = syn.join(nn.select(key, "nn_rank", f"nn_{key}"), [key, "nn_rank"])
+    # neighbours with their features: k rows a minority row, joined by size
     nbr = mino.select(F.col(key).alias(f"nn_{key}"), *[F.col(c).alias(f"_n_{c}") for c in features])
-    syn = syn.join(nbr, f"nn_{key}")
+    near = nn.select(key, "nn_rank", f"nn_{key}").join(nbr, f"nn_{key}").drop(f"nn_{key}")
+    syn = join_small(syn, near, [key, "nn_rank"])
     new_key = -(F.col("_rank") * F.lit(per + 1) + F.col("_rep"))
     return out.unionByName(syn.select(
         new_key.cast(base.schema[key].dataType).alias(key), F.lit(minority).cast(base.schema[label].dataType).alias(label),

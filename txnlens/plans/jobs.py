@@ -3,7 +3,8 @@ score a stream → monitor. Each step reads and writes Parquet/JSON under a
 root folder, keyed by ``id``; nothing passes through driver memory except
 fitted parameters of bounded size.
 
-    python -m txnlens.plans.jobs preprocess <transactions.csv|events dir> <root>
+    python -m txnlens.plans.jobs preprocess <transactions.csv> <root>
+    python -m txnlens.plans.jobs profile <transactions.csv> <root>
     python -m txnlens.plans.jobs train <root>
     python -m txnlens.plans.jobs score <stream dir> <root>
     python -m txnlens.plans.jobs monitor <root>
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ensemble, forest, metrics, monitor, profile, reconstruct, resample, sampling
-from ..operators.ensemble_features import align_scores, ensemble_features
+from ..operators.ensemble_features import align_scores, apply_score_range, fit_score_range
+from ..schemas import ENSEMBLE_FEATURES
 from ..operators.features import engineer_features, feature_columns, fit_feature_scaler
 from ..operators.graph_model import fit_graph_classifier, graph_features, graph_scores
 from ..sources.files import read_features, write_features, write_report
@@ -48,7 +50,9 @@ def profile_reports(spark: SparkSession, txn: DataFrame, root: str) -> None:
     write_report(profile.histogram(txn, "Amount", 50, by="Class"), root, "amount_distribution")
     vcols = [c for c in txn.columns if c.startswith("V")]
     if vcols:
-        write_report(profile.label_correlations(txn, vcols), root, "feature_correlation")
+        corr = profile.label_correlations(txn, vcols)
+        write_report(corr, root, "feature_correlation")
+        write_report(profile.top_feature_histograms(txn, corr, vcols, 8), root, "top_feature_distributions")
 
 
 def train(spark: SparkSession, root: str, n_trees: int = 100, seed: int = 42, search_trials: int = 20) -> ModelSet:
@@ -67,7 +71,11 @@ def train(spark: SparkSession, root: str, n_trees: int = 100, seed: int = 42, se
     i = forest.score_isolation_forest(te, iso).select("id", "iso_score", "iso_pred")
     scores = align_scores(g, r, i)
     write_features(scores, f"{root}/scores", partition_by=None)
-    ens = ensemble_features(read_features(spark, f"{root}/scores"))
+    scores = read_features(spark, f"{root}/scores")
+    span = fit_score_range(scores)
+    ens = apply_score_range(scores, span).select("id", "Class", *ENSEMBLE_FEATURES)
+    write_report(profile.histogram(reconstruct.reconstruction_score(tr, rec), "reconstruction_score", 50, by="Class", density=True),
+                 root, "reconstruction_error_density")
     parts = sampling.stratified_split(ens, 0.3, "Class", seed=seed)
     fit_part = parts.where(F.col("split") == "train").drop("split")
     trials = ensemble.search(sampling.stratified_folds(fit_part, 3, seed=seed), n_trials=search_trials)
@@ -81,14 +89,14 @@ def train(spark: SparkSession, root: str, n_trees: int = 100, seed: int = 42, se
     imp = ensemble.feature_importance(model)
     if imp is not None:
         write_report(imp, root, "ensemble_feature_importance")
-    ms = ModelSet(read_features(spark, f"{root}/models/scaler"), iso, rec, model, cols)
+    ms = ModelSet(read_features(spark, f"{root}/models/scaler"), iso, rec, model, cols, g_model, span)
     save_models(spark, ms, f"{root}/models", write_scaler=False)  # saved by preprocess
     return ms
 
 
 def score_stream(spark: SparkSession, source: str, root: str, schema, fmt: str = "parquet"):
     ms = load_models(spark, f"{root}/models")
-    q = start_scoring(transaction_stream(spark, source, schema, fmt), ScoringModels(ms.scaler, ms.forest, ms.ensemble),
+    q = start_scoring(transaction_stream(spark, source, schema, fmt), ScoringModels(ms.scaler, ms.forest, ms.ensemble, ms.reconstruction, ms.graph, ms.score_range),
                       f"{root}/logs", f"{root}/logs/_checkpoint", available_now=True)
     q.awaitTermination()
 
@@ -111,6 +119,8 @@ def main(argv: list[str]) -> None:
     cmd = argv[0]
     if cmd == "preprocess":
         preprocess(spark, read_transactions_csv(spark, argv[1]), argv[2])
+    elif cmd == "profile":
+        profile_reports(spark, read_transactions_csv(spark, argv[1]), argv[2])
     elif cmd == "train":
         train(spark, argv[1])
     elif cmd == "score":

@@ -62,6 +62,20 @@ def graph_propagation(spark, sf):
     return h.select("id", rounded("Amount_h").alias("Amount_h"), rounded("Hour_h").alias("Hour_h"))
 
 
+_HOP = """h{i} AS (SELECT s.dst AS id, sum(p.Amount / sqrt(dg.d)) / sqrt(any_value(dd.d)) AS Amount, sum(p.Hour / sqrt(dg.d)) / sqrt(any_value(dd.d)) AS Hour
+      FROM sym s JOIN {src} p ON p.id = s.src JOIN deg dg ON dg.id = s.src JOIN deg dd ON dd.id = s.dst GROUP BY s.dst)"""
+
+
+@register("graph_propagation_3hops", "J3 M3", _sql(", deg AS (SELECT dst AS id, count(*) AS d FROM sym GROUP BY dst), " + ", ".join(
+    _HOP.format(i=i, src="pos" if i == 1 else f"h{i - 1}") for i in (1, 2, 3)) + f"""
+SELECT id, {R('Amount', 5)} AS Amount_h, {R('Hour', 5)} AS Hour_h FROM h3"""))
+def graph_propagation_3hops(spark, sf):
+    t = txn(spark, sf).withColumn("Hour", hour_of_day("Time"))
+    nodes, edges = graph.similarity_graph(t, ["Amount", "Hour"])
+    h = graph.propagate(nodes, edges, ["Amount", "Hour"], hops=3)
+    return h.select("id", rounded("Amount", 5).alias("Amount_h"), rounded("Hour", 5).alias("Hour_h"))
+
+
 @register("graph_mean_pool", "A15", _sql(f""", {PROP_SQL}
 SELECT CAST(floor(p.i / 100) AS BIGINT) AS batch_id, {R('avg(Amount_h)', 4)} AS mean_Amount_h,
        {R('avg(Hour_h)', 4)} AS mean_Hour_h

@@ -1,6 +1,6 @@
 """Model queries (randomised / iterative: rows-only checks). Training rows
-are the 'train' part of the stratified 80/20 split of txn_ml; every row of
-the table is scored."""
+are the 'train' part of the stratified 80/20 split of the vectors of txn_ml;
+every row of the table is scored."""
 
 from __future__ import annotations
 
@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 from ..functions.columns import rounded
 from ..operators import ensemble, forest, graph_model, metrics, reconstruct, sampling
 from ..operators.features import engineer_features, feature_columns, fit_feature_scaler
-from ..sources.tables import txn_ml
-from .catalog import register
+from ..session import default_parallelism
+from ..sources.tables import ORACLE_WIDTH, txn_ml, with_views
+from .catalog import REGISTRY, R, register
 from .q_scores import scores
 
 
 def features_with_split(spark, sf):
-    t = txn_ml(spark, sf)
-    f = engineer_features(t, fit_feature_scaler(t), keep=["id", "vec_id", "Time", "Amount", "Class"])
-    # the working set of a training job: fitted on, then scored
-    s = sampling.stratified_split(f, 0.2, "Class", seed=42, key="vec_id").persist(StorageLevel.MEMORY_AND_DISK)
+    """The working set of a training job: vectors are split as groups, the
+    scaler is fitted on the training part; spread over the tasks once, since
+    the models that read it are CPU-bound, and kept while they do."""
+    t = sampling.grouped_split(txn_ml(spark, sf), "vec_id", 0.2, "Class", seed=42)
+    scaler = fit_feature_scaler(t.where(F.col("split") == "train"))
+    f = engineer_features(t, scaler, keep=["id", "vec_id", "Time", "Amount", "Class", "split"])
+    s = f.repartition(default_parallelism(spark)).persist(StorageLevel.MEMORY_AND_DISK)
     return s, feature_columns(f)
 
 
@@ -94,3 +98,73 @@ def ensemble_comparison(spark, sf):
                                            "isolation_forest": ("iso_norm", False),
                                            "ensemble": ("ensemble_prob", False)})
     return base.select("model", rounded("auc").alias("auc"))
+
+
+# -- checks of the model path that SQL can express --------------------------------
+
+@register("grouped_split", "R2", with_views("""
+WITH g AS (SELECT DISTINCT vec_id, Class FROM txn_ml),
+r AS (SELECT vec_id, row_number() OVER (PARTITION BY Class ORDER BY md5(CAST(vec_id AS VARCHAR) || '-42'), vec_id) - 1 AS rn,
+             count(*) OVER (PARTITION BY Class) AS cnt FROM g)
+SELECT t.id, t.vec_id, t.Class, CASE WHEN rn < round(0.2 * cnt) THEN 'test' ELSE 'train' END AS split
+FROM txn_ml t JOIN r USING (vec_id)""", ml=True))
+def grouped_split(spark, sf):
+    return sampling.grouped_split(txn_ml(spark, sf), "vec_id", 0.2).select("id", "vec_id", "Class", "split")
+
+
+FIXED_K = 16
+_ERROR = "(" + " + ".join(f"V{i} * V{i}" for i in range(FIXED_K + 1, ORACLE_WIDTH + 1)) + f") / {ORACLE_WIDTH}.0"
+
+
+def _fixed_errors(spark, sf):
+    """Reconstruction with a fixed component matrix (the first 16 axes), so
+    the error of a row is the mean square of its other components."""
+    import numpy as np
+
+    t = txn_ml(spark, sf)
+    cols = [c for c in t.columns if c.startswith("V")]
+    model = reconstruct.ReconstructionModel(cols, [0.0] * len(cols), [1.0] * len(cols), np.eye(len(cols))[:, :FIXED_K], 0.0)
+    err = reconstruct.reconstruction_score(t, model).select("id", "Class", "reconstruction_score").persist(StorageLevel.MEMORY_AND_DISK)
+    return model, err
+
+
+@register("reconstruction_fixed", "M4 A7 P6", with_views(f"""
+WITH e AS (SELECT id, {_ERROR} AS err FROM txn_ml)
+SELECT id, {R('err')} AS reconstruction_score, CAST(err > (SELECT quantile_cont(err, 0.95) FROM e) AS INTEGER) AS reconstruction_pred
+FROM e""", ml=True))
+def reconstruction_fixed(spark, sf):
+    from ..operators.quantiles import exact_quantiles
+
+    _, err = _fixed_errors(spark, sf)
+    p95 = exact_quantiles(err, "reconstruction_score", [0.95])[0]
+    return err.select("id", rounded("reconstruction_score").alias("reconstruction_score"),
+                      (F.col("reconstruction_score") > F.lit(p95)).cast("int").alias("reconstruction_pred"))
+
+
+@register("reconstruction_error_density", "A9 M4", with_views(f"""
+WITH e AS (SELECT Class, round({_ERROR}, 9) AS x FROM txn_ml),
+r AS (SELECT Class, min(x) AS lo, max(x) AS hi, count(*) AS cnt FROM e GROUP BY Class),
+b AS (SELECT e.Class, lo, hi, cnt, CAST(least(floor((x - lo) / (hi - lo) * 50), 49) AS INTEGER) AS bin FROM e JOIN r USING (Class))
+SELECT Class, bin, count(*) AS n, {R('count(*) / (any_value(cnt) * ((any_value(hi) - any_value(lo)) / 50))', 4)} AS density
+FROM b GROUP BY Class, bin""", ml=True))
+def reconstruction_error_density(spark, sf):
+    from ..operators import profile
+
+    _, err = _fixed_errors(spark, sf)
+    h = profile.histogram(err.select("Class", rounded("reconstruction_score", 9).alias("x")), "x", 50, by="Class", density=True)
+    return h.select("Class", "bin", "n", rounded("density", 4).alias("density"))
+
+
+@register("ensemble_serving", "M8 S3 N3 M5", REGISTRY["ensemble_features"].sql)
+def ensemble_serving(spark, sf):
+    """Score range fitted and saved by training, loaded and applied by serving."""
+    from ..operators.ensemble_features import apply_score_range, fit_score_range
+    from ..schemas import ENSEMBLE_FEATURES
+    from ..session import scratch_path
+    from ..sources.models import load_params, save_params
+
+    s = scores(spark, sf)
+    path = scratch_path(spark, "score-range")
+    save_params(fit_score_range(s), path)
+    e = apply_score_range(s, load_params(spark, path)).select("id", "Class", *ENSEMBLE_FEATURES)
+    return e.select("id", "Class", *[rounded(c).alias(c) if c.endswith(("norm", "score")) else F.col(c) for c in ENSEMBLE_FEATURES])

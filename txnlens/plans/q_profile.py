@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.columns import rounded
 from ..operators import profile, scaling
 from ..operators.features import engineer_features, fit_feature_scaler
-from ..sources.tables import txn, txn_ml, with_views
+from ..sources.tables import ORACLE_WIDTH, txn, txn_ml, with_views
 from .catalog import R, register
 
-VCOLS = [f"V{i}" for i in range(1, 29)]
+VCOLS = [f"V{i}" for i in range(1, ORACLE_WIDTH + 1)]  # of the SQL texts
 
 
 # -- A1/A2/A3 ------------------------------------------------------------------
@@ -75,7 +75,8 @@ SELECT feature, {R('c')} AS corr, CAST(rnk AS INTEGER) AS rank FROM ranked""", m
 
 
 def _corr(spark, sf):
-    return profile.label_correlations(txn_ml(spark, sf), VCOLS)
+    t = txn_ml(spark, sf)
+    return profile.label_correlations(t, [c for c in t.columns if c.startswith("V")])
 
 
 @register("feature_label_correlation", "P1 A6", CORR_SQL)
@@ -132,6 +133,21 @@ def feature_histogram_v1(spark, sf):
     return _hist(txn_ml(spark, sf), "V1", 50, False)
 
 
+@register("top_feature_histograms", "T2 A6 A8", with_views(f"""
+WITH c AS ({" UNION ALL ".join(f"SELECT '{v}' AS feature, corr({v}, CAST(Class AS DOUBLE)) AS c FROM txn_ml" for v in VCOLS)}),
+k AS (SELECT feature, row_number() OVER (ORDER BY abs(c) DESC, feature) AS rank FROM c QUALIFY rank <= 8),
+l AS (SELECT feature, rank, Class, x FROM (UNPIVOT (SELECT Class, {", ".join(VCOLS)} FROM txn_ml) ON {", ".join(VCOLS)} INTO NAME feature VALUE x) JOIN k USING (feature)),
+r AS (SELECT feature, Class, min(x) AS lo, max(x) AS hi FROM l GROUP BY ALL),
+b AS (SELECT feature, rank, Class, lo, hi, CAST(least(floor((x - lo) / (hi - lo) * 20), 19) AS INTEGER) AS bin FROM l JOIN r USING (feature, Class))
+SELECT feature, CAST(any_value(rank) AS INTEGER) AS rank, Class, bin, count(*) AS n,
+       {R('any_value(lo) + bin * ((any_value(hi) - any_value(lo)) / 20)')} AS bin_lo FROM b GROUP BY feature, Class, bin""", ml=True))
+def top_feature_histograms(spark, sf):
+    t = txn_ml(spark, sf)
+    cols = [c for c in t.columns if c.startswith("V")]
+    h = profile.top_feature_histograms(t, profile.label_correlations(t, cols), cols, 8, bins=20)
+    return h.select("feature", "rank", "Class", "bin", "n", rounded("bin_lo").alias("bin_lo"))
+
+
 # -- N1 / N2 / N3, P1-P3, P9 ---------------------------------------------------
 
 _ROBUST_PARAMS = """SELECT
@@ -164,8 +180,7 @@ SELECT id, Class, {_ENG_COLS},
        {R(HOUR_SQL)} AS Hour, {R('ln(1 + Amount)')} AS Amount_log
 FROM txn_ml CROSS JOIN p""", ml=True))
 def engineered_features(spark, sf):
-    t = txn_ml(spark, sf)
-    f = engineer_features(t, fit_feature_scaler(t), keep=["id", "Class"])
+    f = engineer_features(txn_ml(spark, sf), fit_feature_scaler(txn(spark, sf)), keep=["id", "Class"])
     return f.select("id", "Class", *[rounded(c).alias(c) for c in f.columns if c not in ("id", "Class")])
 
 

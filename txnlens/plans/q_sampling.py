@@ -72,9 +72,25 @@ def minority_knn(spark, sf):
     return nn.select("id", "nn_rank", "nn_id", rounded("dist").alias("dist"))
 
 
-@register("smote_balanced", "R4 U3")
+@register("smote_balanced", "R4 U3", with_views(f"""
+WITH a AS (SELECT id, Class, Amount, (Time / 3600.0) % 24.0 AS Hour FROM txn), m AS (SELECT * FROM a WHERE Class = 1),
+p AS (SELECT x.id, y.id AS nn_id, y.Amount AS na, y.Hour AS nh, row_number() OVER (PARTITION BY x.id ORDER BY
+        (x.Amount - y.Amount) * (x.Amount - y.Amount) + (x.Hour - y.Hour) * (x.Hour - y.Hour), y.id) AS nn_rank
+      FROM m x JOIN m y ON x.id <> y.id QUALIFY nn_rank <= 5),
+k AS (SELECT id, count(*) AS k FROM p GROUP BY id),
+c AS (SELECT count(*) FILTER (Class <> 1) - count(*) FILTER (Class = 1) AS need, count(*) FILTER (Class = 1) AS n FROM a),
+r AS (SELECT m.*, need // n AS per, need % n AS extra, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) - 1 AS rnk FROM m, c),
+e AS (SELECT *, unnest(range(1, per + CASE WHEN rnk < extra THEN 1 ELSE 0 END + 1)) AS rep FROM r),
+t AS (SELECT e.*, CAST(id AS VARCHAR) || '-' || rep AS tag FROM e),
+s AS (SELECT t.*, ('0x' || substr(md5(tag || '-nn-42'), 1, 13))::BIGINT % k + 1 AS nn_rank,
+             ('0x' || substr(md5(tag || '-42'), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM t JOIN k USING (id))
+SELECT id, Class, round(Amount, 6) + 0.0 AS Amount, round(Hour, 6) + 0.0 AS Hour, false AS synthetic FROM a
+UNION ALL SELECT -(rnk * (per + 1) + rep), 1, round(s.Amount + u * (na - s.Amount), 6) + 0.0, round(s.Hour + u * (nh - s.Hour), 6) + 0.0, true
+FROM s JOIN p ON p.id = s.id AND p.nn_rank = s.nn_rank"""))
 def smote_balanced(spark, sf):
+    from ..functions.columns import rounded
     from ..operators.resample import smote
 
     t, _ = _minority(spark, sf)
-    return smote(t, ["Amount", "Hour"], label="Class", minority=1, k=5, seed=42)
+    s = smote(t, ["Amount", "Hour"], label="Class", minority=1, k=5, seed=42)
+    return s.select("id", "Class", rounded("Amount").alias("Amount"), rounded("Hour").alias("Hour"), "synthetic")

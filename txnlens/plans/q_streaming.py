@@ -93,3 +93,23 @@ def stream_rule_alerts(spark, sf):
     alerts, _, cases = run_rule_stream(spark, sf)
     return cases.agg(F.count(F.lit(1)).alias("n_cases"), rounded(F.sum("Amount"), 4).alias("cases_amount")) \
                 .withColumn("n_alerts", F.lit(alerts.count()).cast("long"))
+
+
+@register("stream_three_files", "S9 X1 X3 X5 S7 U2", _rule_sql(f"""
+, b AS (SELECT CAST(id % 3 AS BIGINT) AS batch_id, count(*) AS n, CAST(sum(CAST(Amount > {RULE_T} AS INTEGER)) AS BIGINT) AS d FROM txn GROUP BY 1)
+SELECT batch_id, n AS transactions_processed, d AS fraud_detected, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS total_processed,
+       CAST(sum(d) OVER (ORDER BY batch_id) AS BIGINT) AS total_fraud_detected FROM b"""))
+def stream_three_files(spark, sf):
+    """The events as three files that arrive one after another, a batch each."""
+    from ..sources.tables import table
+
+    root = scratch_path(spark, "three-files")
+    events = table(spark, sf, "events")
+    for i in range(3):
+        events.where(F.col("event_id") % 3 == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = txn_from_events(transaction_stream(spark, f"{root}/in", EVENTS, glob="*.parquet"))
+    q = start_scoring(stream, None, f"{root}/out", f"{root}/out/_checkpoint", available_now=True, scorer=rule_scorer)
+    q.awaitTermination()
+    _, stats, _ = read_monitoring(spark, f"{root}/out")
+    return stats.select(*[F.col(c).cast("long").alias(c) for c in ("batch_id", "transactions_processed", "fraud_detected",
+                                                                   "total_processed", "total_fraud_detected")])

@@ -5,15 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def transactions_schema(n_features: int = 28) -> T.StructType:
-    """CSV transactions: Time, V1..Vn, Amount, Class (+ optional id)."""
-    fields = [T.StructField("Time", T.DoubleType(), True)]
-    fields += [T.StructField(f"V{i}", T.DoubleType(), True) for i in range(1, n_features + 1)]
-    fields += [T.StructField("Amount", T.DoubleType(), True),
-               T.StructField("Class", T.IntegerType(), True)]
-    return T.StructType(fields)
-
-
 TXN = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("Time", T.DoubleType(), True),

@@ -5,11 +5,16 @@ schema (no inference pass); every sink is keyed so a replay overwrites.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import nan_to_null
 from ..operators.monitor import flatten_cases
-from ..schemas import ALERTS, BATCH_ALERT_DOC, STATS, transactions_schema
+from ..schemas import ALERTS, BATCH_ALERT_DOC, STATS
+
+DOCUMENT_CASES = 10_000  # cases of one nested alert document
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -19,17 +24,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
 
 
-def read_transactions_csv(spark: SparkSession, path: str, n_features: int = 28,
-                          id_col: str | None = None) -> DataFrame:
-    """CSV with header (Time, V1..Vn, Amount, Class[, id]). Without an id
-    column one is attached from file order (``monotonically_increasing_id``);
-    write the table to Parquet once (``write_features``) to freeze it."""
-    schema = transactions_schema(n_features)
-    if id_col:
-        schema = schema.add(id_col, "long")
-    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    if id_col:
-        return df.withColumnRenamed(id_col, "id") if id_col != "id" else df
+def read_transactions_csv(spark: SparkSession, path: str, id_col: str | None = None) -> DataFrame:
+    """CSV with a header that names Time, V1..Vn, Amount, Class[, id] in any
+    order, with any number of V columns; further columns stay text. NaN and
+    empty values are NULL. Without an id column one is attached from file
+    order (``monotonically_increasing_id``); write the table to Parquet once
+    (``write_features``) to freeze it."""
+    names = spark.read.option("header", True).csv(path).columns  # reads the header line only
+    kinds = {"Class": "int", id_col or "id": "long", "Time": "double", "Amount": "double"}
+    number = {c: "double" for c in names if re.fullmatch(r"V\d+", c)}
+    kind = {c: kinds.get(c, number.get(c, "string")) for c in names}
+    schema = ", ".join(f"`{c}` {kind[c]}" for c in names)
+    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path)
+    df = df.withColumns({c: nan_to_null(c) for c in names if kind[c] == "double"})
+    own = id_col or "id"
+    if own in names:
+        return df.withColumnRenamed(own, "id") if own != "id" else df
     return df.withColumn("id", F.monotonically_increasing_id())
 
 
@@ -76,17 +86,21 @@ def write_batch_rows(df: DataFrame, root: str, table: str, batch_id: int) -> Non
     df.write.mode("overwrite").json(f"{root}/{table}/batch_id={int(batch_id)}")
 
 
-def write_alert_document(cases: DataFrame, batch_id: int, root: str, epoch_seconds: float) -> None:
-    """One nested JSON document for the batch, overwritten on replay. The
-    document is one row (count + the batch's cases, bounded by the batch)."""
-    doc = cases.agg(F.count(F.lit(1)).alias("fraud_count"),
-                    F.collect_list(F.struct(F.col("Time").cast("double").alias("Time"),
-                                            F.col("Amount").cast("double").alias("Amount"),
-                                            F.col("anomaly_score").cast("double").alias("anomaly_score")))
-                    .alias("cases"))
-    doc = doc.select(F.lit(int(batch_id)).cast("long").alias("batch_id"),
-                     F.lit(float(epoch_seconds)).alias("timestamp"), "fraud_count", "cases")
-    doc.coalesce(1).write.mode("overwrite").json(f"{root}/fraud_alerts_batch_{int(batch_id)}.json")
+def write_alert_document(cases: DataFrame, batch_id: int, root: str, epoch_seconds: float,
+                         chunk: int = DOCUMENT_CASES) -> None:
+    """Nested JSON documents of the batch, overwritten on replay: one for
+    every ``chunk`` of its cases, so no row grows with the batch. A batch
+    without cases writes none."""
+    cases = cases.select(F.struct(F.col("Time").cast("double").alias("Time"), F.col("Amount").cast("double").alias("Amount"),
+                                  F.col("anomaly_score").cast("double").alias("anomaly_score")).alias("case")).persist()
+    n = cases.count()
+    if n:
+        # by the count: about half a chunk a document, never dealt by one key
+        part = F.pmod(F.xxhash64("case", F.monotonically_increasing_id()), F.lit(max(1, -(-2 * n // chunk)) if n > chunk else 1))
+        doc = cases.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("fraud_count"), F.collect_list("case").alias("cases"))
+        doc = doc.select(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.lit(float(epoch_seconds)).alias("timestamp"), "fraud_count", "cases")
+        doc.write.mode("overwrite").option("maxRecordsPerFile", 1).json(f"{root}/fraud_alerts_batch_{int(batch_id)}.json")
+    cases.unpersist()
 
 
 def write_report(df: DataFrame, root: str, name: str) -> None:

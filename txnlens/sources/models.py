@@ -1,6 +1,7 @@
 """Model persistence under one configurable root: scaler parameters,
-isolation forest, reconstruction model, optional ensemble PipelineModel.
-Loading tolerates a missing ensemble (serving then uses the forest alone).
+isolation forest, reconstruction model, graph classifier, the range of the
+scores, ensemble PipelineModel. Loading tolerates missing parts (serving then
+uses the forest alone).
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ class ModelSet:
     reconstruction: ReconstructionModel | None = None
     ensemble: PipelineModel | None = None
     features: list[str] | None = None
+    graph: PipelineModel | None = None
+    score_range: DataFrame | None = None
 
 
 def save_params(df: DataFrame, path: str) -> None:
@@ -39,13 +42,17 @@ def save_models(spark: SparkSession, models: ModelSet, root: str, write_scaler:
     save_forest(models.forest, spark, f"{root}/forest")
     if models.reconstruction is not None:
         save_reconstruction(models.reconstruction, spark, f"{root}/reconstruction")
-    if models.ensemble is not None:
-        models.ensemble.write().overwrite().save(f"{root}/ensemble")
+    for name, model in (("ensemble", models.ensemble), ("graph", models.graph)):
+        if model is not None:
+            model.write().overwrite().save(f"{root}/{name}")
+    if models.score_range is not None:
+        save_params(models.score_range, f"{root}/score_range")
 
 
 def load_models(spark: SparkSession, root: str) -> ModelSet:
     scaler = load_params(spark, f"{root}/scaler").cache()
     forest = load_forest(spark, f"{root}/forest")
     recon = load_reconstruction(spark, f"{root}/reconstruction") if _exists(spark, f"{root}/reconstruction") else None
-    ens = PipelineModel.load(f"{root}/ensemble") if _exists(spark, f"{root}/ensemble") else None
-    return ModelSet(scaler, forest, recon, ens, forest.features)
+    ens, graph = (PipelineModel.load(f"{root}/{n}") if _exists(spark, f"{root}/{n}") else None for n in ("ensemble", "graph"))
+    span = load_params(spark, f"{root}/score_range") if _exists(spark, f"{root}/score_range") else None
+    return ModelSet(scaler, forest, recon, ens, forest.features, graph, span)

@@ -1,7 +1,7 @@
 """Transaction views over the given parquet tables.
 
 ``txn``    : events → (id, Time, Amount, Class)
-``txn_ml`` : txn + a 28-component vector (V1..V28) taken from ``embeddings``
+``txn_ml`` : txn + all components of a vector (V1..Vn) taken from ``embeddings``
              by ``vec_id = id % count(embeddings)``; Class = (label == 0).
 
 Both are lazy DataFrames: Catalyst prunes the scan to the columns used and
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
 
-N_VECTOR = 28
-VECTOR_BROADCAST_ROWS = 100_000  # ~64 floats each: about 30 MB at the bound
+ORACLE_WIDTH = 64  # components of the given vectors, for SQL texts; Spark takes the width from the data
+VECTOR_BROADCAST_BYTES = 32 << 20
 ORIGIN = "2024-01-01 00:00:00"
 
 
@@ -40,31 +40,38 @@ def txn(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -> DataFrame:
     return txn_from_events(table(spark, sf_dir, "events"), keep_ts)
 
 
-def vectors(spark: SparkSession, sf_dir: str, n: int = N_VECTOR) -> DataFrame:
-    """(vec_id, V1..Vn, vec_label) from the embeddings table."""
+def vector_width(emb: DataFrame) -> int:
+    return emb.agg(F.max(F.size("embedding"))).first()[0] or 0
+
+
+def vectors(spark: SparkSession, sf_dir: str, n: int | None = None) -> DataFrame:
+    """(vec_id, V1..Vn, vec_label) from the embeddings table; by default all
+    components (NULL where a vector is shorter)."""
     emb = table(spark, sf_dir, "embeddings")
-    cols = [nan_to_null(F.col("embedding")[i].cast("double")).alias(f"V{i + 1}") for i in range(n)]
+    n = vector_width(emb) if n is None else n
+    cols = [nan_to_null(F.get("embedding", F.lit(i)).cast("double")).alias(f"V{i + 1}") for i in range(n)]
     return emb.select(F.col("vec_id"), *cols, F.col("label").alias("vec_label"))
 
 
-def txn_ml(spark: SparkSession, sf_dir: str, n: int = N_VECTOR) -> DataFrame:
+def txn_ml(spark: SparkSession, sf_dir: str, n: int | None = None) -> DataFrame:
     """Every txn row with a feature vector; Class = 1 for vector label 0.
 
     The number of vectors is one scalar (a parquet count, answered from
     file metadata). It is also the size check of the join: the vector table
-    is broadcast (events stream through without a shuffle) only while it
-    has at most ``VECTOR_BROADCAST_ROWS`` rows; above that it is a plain
-    shuffled equi-join.
+    is broadcast (events stream through without a shuffle) only while its
+    rows of doubles take at most ``VECTOR_BROADCAST_BYTES``; above that it is
+    a plain shuffled equi-join.
     """
     t = txn(spark, sf_dir).drop("Class")
     vec = vectors(spark, sf_dir, n)
     n_vec = table(spark, sf_dir, "embeddings").count()
     keyed = t.withColumn("vec_key", F.pmod(F.col("id"), F.lit(max(n_vec, 1))))
-    side = F.broadcast(vec) if n_vec <= VECTOR_BROADCAST_ROWS else vec
+    names = [c for c in vec.columns if c not in ("vec_id", "vec_label")]
+    side = F.broadcast(vec) if n_vec * 8 * (len(names) + 3) <= VECTOR_BROADCAST_BYTES else vec
     out = keyed.join(side, keyed["vec_key"] == vec["vec_id"], "inner")
     return out.select("id", "vec_id", "Time", "Amount",
                       (F.col("vec_label") == 0).cast("int").alias("Class"),
-                      *[f"V{i}" for i in range(1, n + 1)])
+                      *names)
 
 
 # ---- the same views as DuckDB SQL (oracle side) --------------------------
@@ -75,7 +82,7 @@ TXN_SQL = (
 )
 
 
-def txn_ml_sql(n: int = N_VECTOR) -> str:
+def txn_ml_sql(n: int = ORACLE_WIDTH) -> str:
     vcols = ", ".join(f"CAST(e.embedding[{i + 1}] AS DOUBLE) AS V{i + 1}" for i in range(n))
     return (
         "SELECT t.id, e.vec_id, t.Time, t.Amount, CAST(e.label = 0 AS INTEGER) AS Class, "
@@ -85,7 +92,7 @@ def txn_ml_sql(n: int = N_VECTOR) -> str:
     )
 
 
-def with_views(body: str, ml: bool = False, n: int = N_VECTOR) -> str:
+def with_views(body: str, ml: bool = False, n: int = ORACLE_WIDTH) -> str:
     """Prefix a DuckDB query with the txn (and txn_ml) CTEs."""
     ctes = [f"txn AS ({TXN_SQL})"]
     if ml:

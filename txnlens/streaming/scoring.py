@@ -1,8 +1,9 @@
 """Structured Streaming scorer.
 
 ``readStream`` of transaction files → ``foreachBatch(score_batch)``; inside
-each micro-batch one DataFrame plan does feature engineering, forest
-scoring, optional ensemble, and writes the alert rows, the batch
+each micro-batch one DataFrame plan does feature engineering, forest,
+reconstruction and graph scoring and the ensemble over them (with the
+functions and parameters of the training), and writes the alert rows, the batch
 statistics and the nested alert document, all keyed by ``batch_id`` so a
 replayed batch (after a failure, from the checkpoint) rewrites the same
 files. Running totals are computed when the stats are read, never carried
@@ -20,9 +21,12 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import defaulted_id, iso_timestamp
 from ..operators import ensemble as ens
+from ..operators.ensemble_features import apply_score_range
 from ..operators.features import engineer_features, feature_columns
 from ..operators.forest import IsolationForestModel, score_isolation_forest
+from ..operators.graph_model import graph_features, graph_scores
 from ..operators.monitor import with_running_totals
+from ..operators.reconstruct import ReconstructionModel, reconstruction_score
 from ..sources.files import read_alerts, read_batch_alerts, read_stats, write_alert_document, write_batch_rows
 
 
@@ -31,6 +35,12 @@ class ScoringModels:
     scaler: DataFrame                # one-row robust-scaler parameters
     forest: IsolationForestModel
     ensemble: PipelineModel | None = None
+    reconstruction: ReconstructionModel | None = None
+    graph: PipelineModel | None = None
+    score_range: DataFrame | None = None  # one-row min-max parameters of the scores
+
+    def whole(self) -> bool:
+        return None not in (self.ensemble, self.reconstruction, self.graph, self.score_range)
 
 
 def transaction_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -44,17 +54,20 @@ def transaction_stream(spark: SparkSession, path: str, schema, fmt: str = "parqu
 
 
 def score_frame(df: DataFrame, models: ScoringModels) -> DataFrame:
-    """Features → forest → ensemble (or the forest alone)."""
+    """Features → forest, reconstruction and graph scores → the ensemble, as
+    in training; the forest alone while any of the other models is absent."""
+    if "id" not in df.columns:
+        df = df.withColumn("id", F.monotonically_increasing_id())
     keep = [c for c in df.columns if not c.startswith("V")]
     f = engineer_features(df, models.scaler, keep=keep)
     s = score_isolation_forest(f, models.forest)
-    if models.ensemble is not None:
-        # serving has only the forest: its normalised score fills the other slots
-        s = s.withColumns({"graph_norm": F.lit(0.1), "reconstruction_norm": F.abs("iso_score"),
-                           "iso_norm": F.abs("iso_score"), "graph_score": F.lit(0.0),
-                           "reconstruction_pred": F.col("iso_pred").cast("double"),
-                           "iso_pred_d": F.col("iso_pred").cast("double")})
-    return ens.score_ensemble(s, models.ensemble)
+    if not models.whole():
+        return ens.score_ensemble(s, None)
+    cols = models.forest.features
+    s = reconstruction_score(s, models.reconstruction)
+    h = graph_features(f.select("id", "Time", "Amount", *[c for c in cols if c not in ("Time", "Amount")]), cols, hops=3)
+    g = graph_scores(models.graph, h).select("id", "graph_score")
+    return ens.score_ensemble(apply_score_range(s.join(g, "id"), models.score_range), models.ensemble)
 
 
 def score_batch(models: ScoringModels | None, sink_root: str, scorer=None):
