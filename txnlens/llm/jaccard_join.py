@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import slices, small_batches, stored
 from .components import components
 from .hashing import BYTE, Prefix, from_planes, mix, planes
 
@@ -364,6 +364,7 @@ def links(sets: DataFrame, num: int, den: int, block_rows: int = BLOCK_ROWS) ->
 def jaccard_components(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
     """doc_id, n_shingles, component_id of every row. ``similarity`` is the
     least Jaccard similarity of a link as a fraction of integers."""
+    small_batches(docs)
     num, den = similarity
     share = min(1.0, 2.0 * (1 - num / den))
     members = described(docs, shingle, share)
