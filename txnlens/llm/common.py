@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def small_batches(df: DataFrame, rows: int = 2000) -> None:
+def small_batches(df: DataFrame, rows: int = 1000) -> None:
     """Let Arrow hand over at most so many rows at a time in this session.
     Rows hold whole texts here, so the default of 10,000 makes batches of tens
     of megabytes, held several times over by the JVM and by the worker."""

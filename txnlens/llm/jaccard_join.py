@@ -51,7 +51,7 @@ from .common import slices, small_batches, stored
 from .components import components
 from .hashing import BYTE, Prefix, from_planes, mix, planes
 
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 SKETCH_WORDS = 4  # 256 bits
 BLOCK_ROWS = 256
 BROADCAST_IDS = 500_000  # of 24 bytes
@@ -178,19 +178,30 @@ def _gather(batches: Iterator[pa.RecordBatch], first: int, second: int) -> tuple
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
-def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries of a task -> (class, number of its sampled shingles that
-    another class has too), for classes with any."""
-    x, own = _gather(batches, 6, 6)
-    order = np.lexsort((own, x))
-    x, own = x[order], own[order]
-    if len(x):
-        keep = np.append(True, (x[1:] != x[:-1]) | (own[1:] != own[:-1]))
-        x, own = x[keep], own[keep]
-        same = x[1:] == x[:-1]
-        shared = np.append(same, False) | np.append(False, same)
-        cid, n = np.unique(own[shared], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(cid.astype(np.int64)), pa.array(n.astype(np.int64))], names=["low", "n_shared"])
+def _shared_counts(buckets: int):
+    """Entries of a task -> blobs of (class, number of its sampled shingles
+    that another class has too) of classes with any, dealt by class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, own = _gather(batches, 6, 6)
+        order = np.lexsort((own, x))
+        x, own = x[order], own[order]
+        if len(x):
+            keep = np.append(True, (x[1:] != x[:-1]) | (own[1:] != own[:-1]))
+            x, own = x[keep], own[keep]
+            same = x[1:] == x[:-1]
+            shared = np.append(same, False) | np.append(False, same)
+            cid, n = np.unique(own[shared], return_counts=True)
+            yield _dealt(cid, lambda o: planes(cid[o], 6) + planes(n[o], 4), buckets, 48)
+    return run
+
+
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blobs dealt by class -> one row (class, sum of its counts)."""
+    cid, n = _gather(batches, 6, 4)
+    if len(cid):
+        one, at = np.unique(cid, return_inverse=True)
+        total = np.bincount(at, weights=n.astype(np.float64)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(one.astype(np.int64)), pa.array(total)], names=["low", "n_shared"])
 
 
 def _set_entries(k: int, buckets: int):
@@ -282,7 +293,8 @@ def survivors(docs: DataFrame, members: DataFrame, k: int, share: float, num: in
     tasks, buckets = _buckets(docs)
     text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), "text")
     sampled = _by_bucket(text.select("text").mapInArrow(_sample_entries(k, share, buckets), "bucket int, blob binary"), tasks)
-    counts = sampled.mapInArrow(_shared_counts, "low long, n_shared long").groupBy("low").agg(F.sum("n_shared").alias("n_shared"))
+    counted = _by_bucket(sampled.mapInArrow(_shared_counts(buckets), "bucket int, blob binary"), tasks)
+    counts = counted.mapInArrow(_sum_counts, "low long, n_shared long")
     classes = members.where("n > 0").groupBy("digest", "cid", "n", "n_sampled").agg(F.min("doc_id").alias("doc_id"))
     left = classes.withColumn("low", F.col("cid").bitwiseAND(F.lit(2 ** 48 - 1))).join(counts, "low", "left")
     alone = F.col("n_sampled") - F.coalesce("n_shared", F.lit(0))
