@@ -33,7 +33,7 @@ from .common import slices, stored
 SEQUENCE = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 800_000  # of a worker; a full cache is emptied, results don't change
+CACHE_WORDS = 800_000  # of a task; a full cache is emptied, results don't change
 SLICE_CHARS = 4 << 20
 IDS = "doc_id long, task int, before long, doc_tokens long, ids binary"
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -121,7 +121,7 @@ class WordTokens:
         return [b"".join(map(one, words)) for words in split]
 
 
-_TOKENS: dict[str, WordTokens] = {}  # a worker keeps its words from task to task
+_TOKENS: dict[str, WordTokens] = {}  # a worker reads a vocabulary once
 
 
 def word_tokens(path: str) -> WordTokens:
@@ -144,6 +144,7 @@ def _tokenize(path: str, end_id: int):
                 start = before + np.cumsum(n) - n
                 before += int(n.sum())
                 yield pd.DataFrame({"doc_id": doc[part], "task": np.full(len(ids), task, np.int32), "before": start, "doc_tokens": n, "ids": ids})
+        tok.known.clear()  # the worker lives on, in other stages
     return run
 
 
