@@ -105,6 +105,41 @@ def test_suffix_collisions_are_split(monkeypatch):
     assert run.tolist() == [2]
 
 
+def passage_docs(n, seed=11):
+    """One passage, each time in other surroundings; some share an edge too."""
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    passage, edges = "".join(rng.choice(letters, 90)), ["".join(rng.choice(letters, 20)) for _ in range(3)]
+    rows = [(i, "".join(rng.choice(letters, 60)) + edges[i % 5 % 3] * (i % 5 < 3) + passage + "".join(rng.choice(letters, 70))) for i in range(n)]
+    return rows
+
+
+@pytest.mark.parametrize("heavy", [10, 1 << 16])
+def test_suffix_hot_anchors_stay_bounded(spark, monkeypatch, heavy):
+    """No sort is given an anchor of more suffixes than the limit, and the
+    results are those of brute force; frequent windows broadcast or joined."""
+    limit, sort, repeats, hot = 150, suffix_dedup._sort_task, suffix_dedup.hot_repeats, []
+
+    def bounded(width, most):
+        inner = sort(width, most)
+
+        def run(batches):
+            batches, seen = list(batches), {}
+            for b in batches:
+                for k, y in zip(b.column(0).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
+                    seen[k] = seen.get(k, 0) + len(y) - width + 1
+            assert most == limit and all(n <= limit for n in seen.values())
+            yield from inner(iter(batches))
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_sort_task", bounded)
+    monkeypatch.setattr(suffix_dedup, "hot_repeats", lambda w, width: hot.append(w.count()) or repeats(w, width, heavy))
+    rows = passage_docs(60)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.find_repeats(d, sort_suffixes=limit).collect()}
+    assert hot and hot[0] > limit and got == brute.repeats(rows)
+
+
 def test_suffix_keep_and_empty(odd_docs, no_docs):
     out = suffix_dedup.remove_repeats(odd_docs, keep=["lang", "row"])
     assert out.columns == ["doc_id", "text", "lang", "row"] and out.count() == odd_docs.count()
