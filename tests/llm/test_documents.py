@@ -140,6 +140,28 @@ def test_suffix_hot_anchors_stay_bounded(spark, monkeypatch, heavy):
     assert hot and hot[0] > limit and got == brute.repeats(rows)
 
 
+def test_settled_runs_need_the_whole_hash():
+    """Runs of one anchor whose hashes agree in their low 40 bits, or in one
+    of the two, are not settled by each other."""
+    from txnlens.llm.hashing import from_planes, planes
+
+    one, two = np.uint64(0x1234567890), np.uint64(77)
+    run = np.array([one, one | np.uint64(1 << 40), one, one], np.uint64)
+    again = np.array([two, two, two | np.uint64(1 << 63), two], np.uint64)
+    sent = [from_planes(planes(x, w), w) for x, w in zip((run, again), suffix_dedup._HASHES[1:3])]
+    same = np.ones(4, np.uint64)
+    code = suffix_dedup.settle(same, *sent, same, same, np.arange(4))
+    assert code.tolist() == [suffix_dedup.SORTED] * 3 + [suffix_dedup.SETTLED]
+
+
+def test_run_hashes_are_independent():
+    rng = np.random.default_rng(2)
+    raw = [rng.integers(97, 123, 200).astype(np.uint8).tobytes() for _ in range(30)]
+    (_, a, lo, hi), p, _, data = suffix_dedup.anchors(raw)
+    _, run, again, _, _ = suffix_dedup._run_hashes(p, suffix_dedup.Prefix(data, suffix_dedup.OTHER_BYTE, suffix_dedup.OTHER_BASE), a, lo, hi, 50)
+    assert len(set(run.tolist())) == len(set(again.tolist())) == len(a) and not set(run.tolist()) & set(again.tolist())
+
+
 def test_suffix_keep_and_empty(odd_docs, no_docs):
     out = suffix_dedup.remove_repeats(odd_docs, keep=["lang", "row"])
     assert out.columns == ["doc_id", "text", "lang", "row"] and out.count() == odd_docs.count()

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
+OTHER_BASE = 0xC2B2AE3D27D4EB4F  # of a second, independent hash
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -21,6 +21,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+OTHER_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(OTHER_BASE))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -35,11 +36,11 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Prefix:
     """Prefix hashes of one buffer of bytes."""
 
-    def __init__(self, data: np.ndarray, table: np.ndarray = BYTE):
+    def __init__(self, data: np.ndarray, table: np.ndarray = BYTE, base: int = BASE):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(table[data] * _powers(BASE, n), out=self.sums[1:])
-        self.inverse = _powers(INVERSE, n + 1)
+        np.cumsum(table[data] * _powers(base, n), out=self.sums[1:])
+        self.inverse = _powers(pow(base, -1, 1 << 64), n + 1)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of data[start:end], not yet mixed."""
