@@ -61,6 +61,19 @@ def test_jaccard_null_ids_and_empty(spark, no_docs):
     assert jaccard_join.keep_first(d, 3, (90, 100)).where("doc_id = 7").count() == 1
 
 
+SHARED_IDS = [(None, "a b c d e f g"), (7, "a b c d e f g"), (None, "z y x w v u"), (None, None), (None, "z y x w v u"), (7, "q r s t u v"),
+              (9, "q r s t u v"), (9, "only here to stay"), (3, "m n o p q r s"), (4, "m n o p q r s"), (9, None)]
+
+
+def test_keep_first_judges_rows_by_their_text(spark, monkeypatch):
+    d = spark.createDataFrame(SHARED_IDS, "doc_id long, text string").repartition(3)
+    want = sorted([(7, "a b c d e f g"), (None, "z y x w v u"), (None, None), (None, "z y x w v u"), (7, "q r s t u v"),
+                   (9, "only here to stay"), (3, "m n o p q r s"), (9, None)], key=str)
+    for limit in (jaccard_join.BROADCAST_IDS, 0):  # broadcast and joined
+        monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", limit)
+        assert sorted(map(tuple, jaccard_join.keep_first(d, 3, (90, 100)).collect()), key=str) == want
+
+
 def test_keep_first_keeps_one(odd_docs):
     want = brute.jaccard(pairs(odd_docs), 5, 80, 100)
     kept = jaccard_join.keep_first(odd_docs)
@@ -162,6 +175,29 @@ def test_run_hashes_are_independent():
     assert len(set(run.tolist())) == len(set(again.tolist())) == len(a) and not set(run.tolist()) & set(again.tolist())
 
 
+@pytest.mark.parametrize("ids,sort,rows", [(suffix_dedup.BROADCAST_IDS, 1 << 19, 30), (0, 100, 30)])
+def test_suffix_rows_of_one_id_keep_their_own_marks(spark, monkeypatch, ids, sort, rows):
+    """Several texts under null and repeated ids: whole copies, copied
+    passages, and texts too short for the others' places."""
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_IDS", ids)
+    texts = [t for _, t in passage_docs(rows)]
+    odd = [None, "", "short", texts[0], texts[3], texts[0][:55], texts[1] + texts[2], "n" * 60, "n" * 60]
+    data = [(i // 2, t) for i, t in enumerate(texts)] + [(None, t) for t in odd] + [(None, "own " * 40), (2, texts[0]), (2, "s" * 49)]
+    d = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(data)], "doc_id long, text string, nr int").repartition(4)
+    # brute force, a window's first id at a time
+    order, first, want = lambda i: (i is None, i or 0), {}, {}
+    for i, t in sorted(data, key=lambda r: order(r[0])):
+        b = (t or "").encode()
+        for p in range(len(b) - 49):
+            first.setdefault(b[p:p + 50], order(i))
+    for n, (i, t) in enumerate(data):
+        b = (t or "").encode()
+        gone = {q for p in range(len(b) - 49) if first[b[p:p + 50]] < order(i) for q in range(p, p + 50)}
+        want[n] = (len(gone), bytes(x for q, x in enumerate(b) if q not in gone).decode())
+    got = {r["nr"]: (r["n_removed"], r["kept"]) for r in suffix_dedup.find_repeats(d, keep=["nr"], sort_suffixes=sort).collect()}
+    assert got == want
+
+
 def test_suffix_keep_and_empty(odd_docs, no_docs):
     out = suffix_dedup.remove_repeats(odd_docs, keep=["lang", "row"])
     assert out.columns == ["doc_id", "text", "lang", "row"] and out.count() == odd_docs.count()

@@ -373,9 +373,9 @@ def links(sets: DataFrame, num: int, den: int, block_rows: int = BLOCK_ROWS) ->
     return linked.unionByName(rest)
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row. ``similarity`` is the
-    least Jaccard similarity of a link as a fraction of integers."""
+def named(docs: DataFrame, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+    """doc_id (LAST_ID: null), n, digest and name, the smallest doc_id of the
+    component, of every row."""
     small_batches(docs)
     num, den = similarity
     share = min(1.0, 2.0 * (1 - num / den))
@@ -387,18 +387,39 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, similarity: tuple[int,
     least = linked.groupBy("comp").agg(F.min("first").alias("name"))
     names = classes.join(linked.join(least, "comp").select("digest", "name"), "digest", "left").select("digest", F.coalesce("name", "first").alias("name"))
     out = members.join(names, "digest", "left")
-    name = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("name"))
+    return out.select("doc_id", "n", "digest", F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("name")).alias("name"))
+
+
+def jaccard_components(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row. ``similarity`` is the
+    least Jaccard similarity of a link as a fraction of integers."""
     back = lambda c: F.nullif(c, F.lit(LAST_ID).cast("long"))
-    return out.select(back(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), back(name).alias("component_id"))
+    return named(docs, shingle, similarity).select(back(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+                                                   back(F.col("name")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest
-    doc_id (rows that share it stay). The ids to drop are broadcast while
-    they are few, else joined."""
-    found = jaccard_components(docs, shingle, similarity)
-    gone = stored(found.where("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select(
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("_gone")).distinct(), "jaccard-gone")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)) == gone["_gone"], "left_anti")
+    doc_id (rows that share it stay). Rows are judged by their own text: an
+    id goes as a whole if all its rows go, else those of its texts that go.
+    The ids and texts to drop are broadcast while they are few, else joined."""
+    rows = named(docs, shingle, similarity).groupBy("doc_id", "digest").agg(F.max(F.col("doc_id") != F.col("name")).alias("goes"))
+    rows = stored(rows, "jaccard-named")
+    ids = rows.groupBy("doc_id").agg(F.min("goes").alias("every"), F.max("goes").alias("some")).where("some")
+    ids = stored(ids.select(F.col("doc_id").alias("_gone"), "every"), "jaccard-gone")
+    few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+    doc_id, text = F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)), F.coalesce(docs["text"], F.lit(""))
+    key = {"_gone": doc_id, "_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit("again"), text)}
+    whole = few(ids.where("every").select("_gone"))
+    out = docs.join(whole, doc_id == whole["_gone"], "left_anti")
+    parted = ids.where("NOT every").select("_gone")
+    if parted.isEmpty():
+        return out
+    # texts of ids of which some rows go and some stay
+    own = docs.select(*[c.alias(k) for k, c in key.items()], text.alias("text")).join(few(parted), "_gone", "left_semi")
+    own = own.select(F.struct(*key).alias("doc_id"), "text").mapInArrow(
+        _describe(shingle, 1.0), "doc_id struct<_gone: long, _h1: long, _h2: long>, n long, n_sampled long, digest binary, cid long")
+    goes = rows.where("goes").select(F.col("doc_id").alias("_gone"), "digest")
+    texts = few(stored(own.select("doc_id.*", "digest").join(goes, ["_gone", "digest"]).select(*key).distinct(), "jaccard-gone-texts"))
+    same = [c == texts[k] for k, c in key.items()]
+    return out.join(texts, same[0] & same[1] & same[2], "left_anti")
