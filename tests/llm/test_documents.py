@@ -284,6 +284,32 @@ def test_mixing_clash_one_source_and_empty(odd_docs, no_docs):
     assert mixing.mixture(no_docs).count() == 0 and mixing.mixed_rows(no_docs).count() == 0
 
 
+def test_mixing_order_reaches_the_packed_stream(spark, odd_docs, tmp_root):
+    """Rows are written in the order of epoch, block key and document key, and
+    the packed stream has that order, however the files are split for reading."""
+    hot = spark.range(600).select((F.col("id") + 10_000).alias("doc_id"), F.lit("a b c d e f").alias("text"), F.lit("hot").alias("source"))
+    d = odd_docs.select("doc_id", "text", "source").unionByName(hot)
+    mixing.mixed_rows(d, 1.0, 3.0).write.parquet(f"{tmp_root}/mixed")
+    src, block = mixing._source(F.col("source")), mixing._block(F.col("doc_id"))
+    want = mixing.mixture(d, 1.0, 3.0).orderBy("epoch", mixing._block_key(src, block, F.col("epoch")), mixing._doc_key(F.col("doc_id"), F.col("epoch")))
+    want = [r["doc_id"] for r in want.collect()]
+    assert want != sorted(want) and len(want) > len(set(want))
+    conf = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1"}
+    for split in ({}, conf):
+        for k, v in split.items():
+            spark.conf.set(k, v)
+        try:
+            pieces = packing.pack(spark.read.parquet(f"{tmp_root}/mixed"), 64).collect()
+        finally:
+            for k in split:
+                spark.conf.unset(k)
+        got = [r["doc_id"] for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])) if r["start"] == 0]
+        assert got == want
+    kept = spark.read.parquet(f"{tmp_root}/mixed").where("doc_id % 2 = 0").repartition(3)  # no file order is left
+    assert packing.token_ids(kept).select(*packing.RUN).distinct().count() <= 3
+    assert packing.pack(kept, 64).agg(F.sum("length")).first()[0] == packing.token_ids(kept).agg(F.sum("doc_tokens")).first()[0]
+
+
 # ---- 5: Order MinHash
 
 def test_order_minhash_selects_like_brute_force():

@@ -18,7 +18,10 @@ Tokens are white-space characters plus one; a null or empty text has none.
 A null source is a source of its own. A source without tokens is used once.
 Rows equal in (doc_id, tokens) stand or fall together at the cut. An empty
 table gives no rows. Only doc_id, text and source are read; ``mixed_rows``
-returns all columns as they are.
+returns all columns as they are, ordered by epoch, block key and document key:
+each source's rows in the order of its stream, the sources interleaved. Its
+rows are range-partitioned by these keys, so a written table has the order
+in its files, read by name and row.
 """
 
 from __future__ import annotations
@@ -152,9 +155,9 @@ def cuts(rows: DataFrame, blocks: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def mixed_rows(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS) -> DataFrame:
-    """``docs`` with each row as often as the mixture uses it. The long
-    columns are not moved: rows meet the table of sources' cuts, which is
-    broadcast while it is small."""
+    """``docs`` with each row as often as the mixture uses it, in the order
+    of the mixture. Rows meet the table of sources' cuts, which is broadcast
+    while it is small, and are moved once, to their places."""
     rows = narrow(docs)
     blocks = block_totals(rows)
     cut = stored(cuts(rows, blocks, mix_plan(blocks, entropy, repeats)), "mix-cuts")
@@ -168,7 +171,11 @@ def mixed_rows(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEA
     own = F.struct(_doc_key(F.col("id"), F.col("epochs")).alias("dkey"), F.coalesce("id", F.lit(-2 ** 63)).alias("id"), F.col("n_tokens"))
     inside = F.col("cut_block").isNotNull() & ((bkey < F.col("cut_block")) | ((bkey == F.col("cut_block")) & F.coalesce(own <= F.col("cut"), F.lit(False))))
     times = F.col("epochs") + F.when(inside, 1).otherwise(0)
-    return d.withColumn("epoch", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array()))).select("row.*")
+    d = d.withColumn("epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array())))
+    d = d.withColumns({"bkey": _block_key(F.col("src"), F.col("block"), F.col("epoch")), "dkey": _doc_key(F.col("id"), F.col("epoch"))})
+    order = ["epoch", "bkey", "block", "src", "dkey", F.col("id").asc_nulls_first(), "n_tokens"]
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return d.select("row", *order[:5], "id", "n_tokens").repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("row.*")
 
 
 def mixture_sql(entropy: float = ENTROPY, repeats: float = REPEATS) -> str:

@@ -1,9 +1,12 @@
 """Operator 3: packing by concatenate and cut.
 
 Every document becomes its token ids and one closing id. The first pass
-writes the ids, with each document's place among the tokens of its task, and
-the token total of each task; a prefix sum over these totals (one row a task)
-gives every document its global offset. The second pass cuts the stream at
+writes the ids, with each document's place among the tokens of its run: the
+rows that its task reads of one file without a gap. A prefix sum over the
+runs' token totals (one row a task and file, or a few), in the order of files
+by name and of rows in a file, gives every document its global offset, so the
+stream has the order in which a table was written; rows that are not read
+from Parquet files are taken task by task. The second pass cuts the stream at
 fixed windows: a document that crosses a boundary gives one record for each
 window it touches. Sequences are full but for the last one, so nothing needs
 to be padded inside the stream; a document belongs to the window grid by its
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -35,7 +39,9 @@ END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 CACHE_WORDS = 800_000  # of a task; a full cache is emptied, results don't change
 SLICE_CHARS = 4 << 20
-IDS = "doc_id long, task int, before long, doc_tokens long, ids binary"
+IDS = "doc_id long, file string, at_row long, task int, before long, doc_tokens long, ids binary"
+_SCAN = re.compile(r"[\s:+-]*(Project|SubqueryAlias|Relation)\b|$")
+RUN = ["file", "at_row", "task"]  # in the order of the stream
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -135,15 +141,28 @@ def _tokenize(path: str, end_id: int):
         from pyspark import TaskContext
 
         task, tok, before = TaskContext.get().partitionId(), word_tokens(path), 0
+        file, first, due = None, 0, 0  # of the run, and the row that would go on with it
         end = np.array([end_id], "<u2").tobytes()
         for b in batches:
             texts, doc = [t or "" for t in b["text"]], b["doc_id"].astype("Int64")
+            files, rows = b["file"].to_numpy(object), b["at_row"].to_numpy(np.int64)
             for part in slices(texts, SLICE_CHARS):
                 ids = [x + end for x in tok.ids(texts[part])]
                 n = np.array([len(x) // 2 for x in ids], np.int64)
-                start = before + np.cumsum(n) - n
-                before += int(n.sum())
-                yield pd.DataFrame({"doc_id": doc[part], "task": np.full(len(ids), task, np.int32), "before": start, "doc_tokens": n, "ids": ids})
+                f, r = files[part], rows[part]
+                if f[0] == "":  # not from files: all of the task is one run
+                    r = due + np.arange(len(r))
+                new = np.append((f[0] != file) | (r[0] != due), (f[1:] != f[:-1]) | (r[1:] != r[:-1] + 1)).astype(bool)
+                cut = [*np.flatnonzero(new).tolist(), len(r)]
+                start, run = np.zeros(len(r), np.int64), np.zeros(len(r), np.int64)
+                for i, j in zip([0, *cut] if cut[0] else cut, cut if cut[0] else cut[1:]):
+                    if new[i]:
+                        first, before = int(r[i]), 0
+                    run[i:j], start[i:j] = first, before + np.cumsum(n[i:j]) - n[i:j]
+                    before += int(n[i:j].sum())
+                file, due = f[-1], int(r[-1]) + 1
+                yield pd.DataFrame({"doc_id": doc[part], "file": f, "at_row": run, "task": np.full(len(ids), task, np.int32), "before": start,
+                                    "doc_tokens": n, "ids": ids})
         tok.known.clear()  # the worker lives on, in other stages
     return run
 
@@ -167,17 +186,32 @@ def _cut(sequence: int):
     return run
 
 
+def _with_places(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and file and row that each row is read from; an empty
+    file name for rows that are not read from Parquet files."""
+    doc = [F.col("doc_id").cast("long").alias("doc_id"), "text"]
+    name = F.col("_metadata.file_path")
+    plan = docs._jdf.queryExecution().analyzed().toString()
+    if all(map(_SCAN.match, plan.splitlines())):  # each task reads whole pieces of files
+        try:  # part-99999 comes before part-100000
+            return docs.select(*doc, F.concat(F.lpad(F.length(name).cast("string"), 9, "0"), F.lit(" "), name).alias("file"),
+                               F.col("_metadata.row_index").alias("at_row"))
+        except AnalysisException:
+            pass
+    return docs.select(*doc, F.lit("").alias("file"), F.lit(0).cast("long").alias("at_row"))
+
+
 def token_ids(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """First pass, written: doc_id, task, before, doc_tokens, ids."""
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_tokenize(path or vocabulary_path(), end_id), IDS)
+    """First pass, written: doc_id, the run (RUN), before, doc_tokens, ids."""
+    out = _with_places(docs).mapInPandas(_tokenize(path or vocabulary_path(), end_id), IDS)
     return stored(out, "token-ids")
 
 
 def pack(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """PIECE rows of ``docs`` (doc_id, text)."""
     ids = token_ids(docs, path, end_id)
-    totals = ids.groupBy("task").agg(F.sum("doc_tokens").alias("total"))
-    # one row for each task of the first pass, far below any size that matters
-    base = totals.select("task", (F.sum("total").over(Window.orderBy("task")) - F.col("total")).alias("base"))
-    at = ids.join(F.broadcast(base), "task").select("doc_id", "doc_tokens", "ids", (F.col("base") + F.col("before")).cast(LongType()).alias("at"))
+    totals = ids.groupBy(*RUN).agg(F.sum("doc_tokens").alias("total"))
+    # one row for each file that a task of the first pass reads, far below any size that matters
+    base = totals.select(*RUN, (F.sum("total").over(Window.orderBy(*RUN)) - F.col("total")).alias("base"))
+    at = ids.join(F.broadcast(base), RUN).select("doc_id", "doc_tokens", "ids", (F.col("base") + F.col("before")).cast(LongType()).alias("at"))
     return at.mapInPandas(_cut(sequence), PIECE)
