@@ -395,6 +395,25 @@ def test_toxicity_odd_inputs(spark, odd_docs, no_docs):
     assert {r["score"] for r in none} == {0.0}
 
 
+def test_toxicity_stage_decides_by_language(spark, monkeypatch):
+    """A document between its language's threshold and 0.7 goes; one of a
+    language with a higher threshold stays; others are judged by 0.7."""
+    import corpus_pipeline
+
+    d, y = small(spark), spark.read.parquet(f"{SF001}/labels.parquet")
+    model = toxicity.fit(d, y)
+    scores = {(r["doc_id"], r["lang"]): r["score"] for r in toxicity.score(d, model, keep=["doc_id", "lang"]).collect()}
+    by_lang = {}
+    for (_, lang), v in scores.items():
+        by_lang.setdefault(lang, []).append(v)
+    low, high = sorted(by_lang, key=lambda v: -len(by_lang[v]))[:2]
+    model.thresholds = {low: float(np.median(by_lang[low])), high: max(0.7, max(by_lang[high])) + 1e-9}
+    monkeypatch.setattr(toxicity, "fit", lambda *_: model)
+    got = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, d, SF001).collect()}
+    assert got == {i for (i, lang), v in scores.items() if v < model.thresholds.get(lang, 0.7)}
+    assert got != {i for (i, _), v in scores.items() if v < 0.7}
+
+
 def test_pooling_stays_inside_documents():
     rng = np.random.default_rng(2)
     m = toxicity.train([rng.integers(0, 30, (20, 5)) for _ in range(40)], (np.arange(40) % 2).astype(float))
