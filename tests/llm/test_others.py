@@ -77,6 +77,20 @@ def test_main_text(page, want):
     assert html_main.main_text(page) == want
 
 
+@pytest.mark.parametrize("attrs", ['href="/hidden/falls"', 'title="hidden gems"', "title='the hidden gems'", 'href="/p?id=search"', 'data-valid="form"',
+                                   "data-class=menu", "href=/a?class=footer", 'alt=x/hidden', 'data-hidden', 'data-aria-hidden="true"',
+                                   'data-style="display:none"', 'x = "class=ad"', 'title="a > id=form"', 'class=text class=hidden', 'xrole=search'])
+def test_attributes_are_read_by_exact_name(attrs):
+    page = f"<article><p>One, two <a {attrs}>link text</a> end.</p><p {attrs}>Second, paragraph.</p></article>"
+    assert html_main.main_text(page) == "One, two link text end.\n\nSecond, paragraph."
+
+
+@pytest.mark.parametrize("attrs", ["hidden", 'x="1"hidden', 'title="a"class="ad"', "HIDDEN=''", "a=b / hidden", "id = 'search'", "Role=search", "aria-hidden=true",
+                                   'data-x="y" style="color:red;display: none"', "class=\n'wide footer'", 'hidden="hidden"', "title='x>y' class=menu"])
+def test_marking_attributes_still_cut(attrs):
+    assert html_main.main_text(f"<article><p>One, two.</p><p {attrs}>Gone, gone.</p></article>") == "One, two."
+
+
 def test_extract_frame(spark):
     d = spark.createDataFrame([(1, "u", None), (None, None, "<p>x</p>"), (1, "u", "<p>" + "long, " * 50_000)], "page_id long, url string, html string")
     got = sorted((str(r["page_id"]), r["n_chars"]) for r in html_main.extract_main_text(d.withColumns({c: F.lit(1) for c in CLASH})).collect())

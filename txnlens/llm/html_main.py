@@ -49,7 +49,8 @@ SCOPE = frozenset("html body article main section div ul ol dl table blockquote
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z",
                   re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTR = re.compile(r"(=?[^\s/>=]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]*))?")  # one after another; an open quote takes the rest
+_TELLING = re.compile(r"class|id|role|hidden|style", re.I)
 _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 _GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -63,10 +64,12 @@ class Node:
 
 def _marked(tag: str, attrs: str) -> bool:
     """Whether attributes mark an element as no part of the main text."""
-    if tag in NEVER_CUT:
+    if tag in NEVER_CUT or not _TELLING.search(attrs):
         return False
+    found: dict[str, str] = {}
     for name, value in _ATTR.findall(attrs):
-        name, value = name.lower(), value.strip("\"'")
+        found.setdefault(name.lower(), value.strip("\"'"))  # of equal names the first counts
+    for name, value in found.items():
         if name == "hidden" and value.lower() in ("", "hidden", "true") or name == "aria-hidden" and value.lower() == "true":
             return True
         if name == "style" and _GONE.search(value) or name == "role" and value.lower().strip() in ROLES:
