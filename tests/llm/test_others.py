@@ -185,3 +185,21 @@ def test_pipeline_on_no_documents(spark, no_docs, tmp_root):
         stage(spark, kept, SF001).write.parquet(f"{tmp_root}/{name}")
         kept = spark.read.parquet(f"{tmp_root}/{name}")
         assert kept.count() == 0
+
+
+RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "lang_threshold", "settled", "found", "tag", "h1", "file", "at_row", "bkey", "dkey", "_gone")
+
+
+def test_pipeline_stages_with_clashing_columns(spark, odd_docs, tmp_root):
+    """Further columns named like the stages' own come through as they are."""
+    kept = odd_docs.withColumns({c: F.lit("clash") for c in RESULTS})
+    names, plain = kept.columns, odd_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, kept, SF001).write.parquet(f"{tmp_root}/{name}")
+        stage(spark, plain, SF001).write.parquet(f"{tmp_root}/plain-{name}")
+        kept, plain = spark.read.parquet(f"{tmp_root}/{name}"), spark.read.parquet(f"{tmp_root}/plain-{name}")
+        assert kept.columns == names
+        assert kept.where(" OR ".join(f"{c} IS DISTINCT FROM 'clash'" for c in (*CLASH, *RESULTS))).count() == 0
+        assert sorted(map(tuple, kept.select(*plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    pieces = [sorted(map(tuple, packing.pack(d).select("doc_id", "start", "length").collect())) for d in (kept, plain)]
+    assert sum(x[2] for x in pieces[0]) == sum(x[2] for x in pieces[1]) > 0
