@@ -57,3 +57,26 @@ def test_empty_batch_writes_nothing(spark, tmp_root):
     empty = txn(spark, SF001).limit(0)
     score_batch(models, f"{tmp_root}/sink")(empty, 0)
     assert not os.path.exists(f"{tmp_root}/sink")
+
+
+def test_three_files_are_written_by_all_scan_tasks(spark, tmp_root, monkeypatch):
+    """Each third is a folder of many files, and still one batch."""
+    import glob
+
+    from txnlens.plans import q_streaming
+
+    from .conftest import SF001
+
+    spark.read.parquet(f"{SF001}/events.parquet").repartition(6).write.parquet(f"{tmp_root}/sf/events.parquet")
+    want = sorted(map(tuple, q_streaming.stream_three_files(spark, SF001).collect()))
+    monkeypatch.setattr(q_streaming, "scratch_path", lambda *_: f"{tmp_root}/scratch")
+    conf = {"spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "8k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = sorted(map(tuple, q_streaming.stream_three_files(spark, f"{tmp_root}/sf").collect()))
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert got == want and [r[0] for r in got] == [0, 1, 2]
+    assert len(glob.glob(f"{tmp_root}/scratch/in/*.parquet")) > 3

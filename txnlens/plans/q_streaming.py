@@ -100,16 +100,17 @@ def stream_rule_alerts(spark, sf):
 SELECT batch_id, n AS transactions_processed, d AS fraud_detected, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS total_processed,
        CAST(sum(d) OVER (ORDER BY batch_id) AS BIGINT) AS total_fraud_detected FROM b"""))
 def stream_three_files(spark, sf):
-    """The events as three files that arrive one after another, a batch each."""
+    """The events as three folders of files that arrive one after another, a
+    batch each: the stream takes all new files and stops before the next arrive."""
     from ..sources.tables import table
 
     root = scratch_path(spark, "three-files")
     events = table(spark, sf, "events")
     for i in range(3):
-        events.where(F.col("event_id") % 3 == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = txn_from_events(transaction_stream(spark, f"{root}/in", EVENTS, glob="*.parquet"))
-    q = start_scoring(stream, None, f"{root}/out", f"{root}/out/_checkpoint", available_now=True, scorer=rule_scorer)
-    q.awaitTermination()
+        events.where(F.col("event_id") % 3 == i).write.mode("append").parquet(f"{root}/in")
+        stream = txn_from_events(transaction_stream(spark, f"{root}/in", EVENTS, max_files_per_trigger=2 ** 31 - 1, glob="*.parquet"))
+        q = start_scoring(stream, None, f"{root}/out", f"{root}/out/_checkpoint", available_now=True, scorer=rule_scorer)
+        q.awaitTermination()
     _, stats, _ = read_monitoring(spark, f"{root}/out")
     return stats.select(*[F.col(c).cast("long").alias(c) for c in ("batch_id", "transactions_processed", "fraud_detected",
                                                                    "total_processed", "total_fraud_detected")])
