@@ -14,6 +14,7 @@ from .common import table
 from .html_main import extract_main_text
 from .jaccard_join import jaccard_components
 from .maxscore import quantised, top_k
+from .merkle import manifest_sql, verify_documents
 from .mixing import mixture, mixture_sql
 from .order_minhash import compare_with_edits
 from .packing import pack
@@ -127,3 +128,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+# ---- 11: Merkle dataset manifest --------------------------------------------
+
+@query(manifest_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_documents(table(spark, sf_dir, "documents"))
