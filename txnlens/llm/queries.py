@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import toxicity
+from .bpe import bpe_digest
 from .chat import chat_digest
 from .common import table
 from .html_main import extract_main_text
@@ -135,3 +136,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(manifest_sql())
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_documents(table(spark, sf_dir, "documents"))
+
+
+# ---- 12: BPE encoding and decoding ------------------------------------------
+
+@query()
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digest(table(spark, sf_dir, "documents"))
