@@ -19,6 +19,7 @@ from .merkle import manifest_sql, verify_documents
 from .mixing import mixture, mixture_sql
 from .order_minhash import compare_with_edits
 from .packing import pack
+from .repair import repair_digest
 from .suffix_dedup import find_repeats
 from .url_filter import filter_sql, url_filter, url_host
 
@@ -143,3 +144,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"))
+
+
+# ---- 13: conversation structure repair --------------------------------------
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digest(table(spark, sf_dir, "conversations"))
