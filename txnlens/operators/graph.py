@@ -25,23 +25,30 @@ from .position import with_position
 SIMILARITY_DEFAULTS = dict(band=19, time_window=3600.0, amount_window=100.0)
 
 
-def banded_edges(df: DataFrame, order_by=("Time", "id"), key: str = "id", time_col: str = "Time",
-                 amount_col: str = "Amount", band: int = 19, time_window: float = 3600.0,
-                 amount_window: float = 100.0) -> DataFrame:
-    """Forward edges (src, dst) between similar rows at most ``band`` apart."""
-    pos = with_position(df.select(key, time_col, amount_col), list(order_by), "_i")
+def banded_pairs(pos: DataFrame, key: str = "id", time_col: str = "Time", amount_col: str = "Amount", band: int = 19,
+                 time_window: float = 3600.0, amount_window: float = 100.0, at: str = "_i") -> DataFrame:
+    """(src, dst, i, j) of similar rows at most ``band`` places apart; ``at``
+    holds the places."""
     size = band + 1
-    blk = F.floor(F.col("_i") / F.lit(size))
-    left = pos.select(F.col(key).alias("src"), F.col("_i").alias("i"),
+    blk = F.floor(F.col(at) / F.lit(size))
+    left = pos.select(F.col(key).alias("src"), F.col(at).alias("i"),
                       F.col(time_col).alias("t_i"), F.col(amount_col).alias("a_i"),
                       F.explode(F.array(blk, blk + 1)).alias("blk"))
-    right = pos.select(F.col(key).alias("dst"), F.col("_i").alias("j"),
+    right = pos.select(F.col(key).alias("dst"), F.col(at).alias("j"),
                        F.col(time_col).alias("t_j"), F.col(amount_col).alias("a_j"), blk.alias("blk"))
     pairs = left.join(right, "blk").where(
         (F.col("j") > F.col("i")) & (F.col("j") - F.col("i") <= band)
         & (F.abs(F.col("t_i") - F.col("t_j")) < time_window)
         & (F.abs(F.col("a_i") - F.col("a_j")) < amount_window))
-    return pairs.select("src", "dst")
+    return pairs.select("src", "dst", "i", "j")
+
+
+def banded_edges(df: DataFrame, order_by=("Time", "id"), key: str = "id", time_col: str = "Time",
+                 amount_col: str = "Amount", band: int = 19, time_window: float = 3600.0,
+                 amount_window: float = 100.0) -> DataFrame:
+    """Forward edges (src, dst) between similar rows at most ``band`` apart."""
+    pos = with_position(df.select(key, time_col, amount_col), list(order_by), "_i")
+    return banded_pairs(pos, key, time_col, amount_col, band, time_window, amount_window).select("src", "dst")
 
 
 def symmetric_edges(edges: DataFrame, nodes: DataFrame, key: str = "id") -> DataFrame:

@@ -17,11 +17,27 @@ from ..schemas import ALERTS, BATCH_ALERT_DOC, STATS
 DOCUMENT_CASES = 10_000  # cases of one nested alert document
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path, or anything that fits the pattern, is there, in any store of Spark's."""
+    fs, p = _file_system(spark, path)
+    found = fs.globStatus(p)
+    return bool(found) and len(found) > 0
+
+
+def names_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Last parts of the paths that fit the pattern."""
+    fs, p = _file_system(spark, pattern)
+    return [f.getPath().getName() for f in (fs.globStatus(p) or [])]
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
 
 
 def read_transactions_csv(spark: SparkSession, path: str, id_col: str | None = None) -> DataFrame:
@@ -58,7 +74,7 @@ def read_features(spark: SparkSession, path: str, split: str | None = None) -> D
 
 def read_json_log(spark: SparkSession, path: str, schema) -> DataFrame:
     """JSON-lines log; a missing path gives an empty table of the schema."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(path)
 
@@ -74,7 +90,7 @@ def read_stats(spark: SparkSession, root: str) -> DataFrame:
 def read_batch_alerts(spark: SparkSession, root: str) -> DataFrame:
     """All per-batch documents → one row per case (missing ``cases`` → none)."""
     pattern = f"{root}/fraud_alerts_batch_*.json"
-    if not _exists(spark, pattern):
+    if not path_exists(spark, pattern):
         return spark.createDataFrame([], BATCH_ALERT_DOC).select(F.explode("cases").alias("c")).select("c.*")
     docs = spark.read.schema(BATCH_ALERT_DOC).option("multiLine", True).json(pattern)
     return flatten_cases(docs)
@@ -90,7 +106,8 @@ def write_alert_document(cases: DataFrame, batch_id: int, root: str, epoch_secon
                          chunk: int = DOCUMENT_CASES) -> None:
     """Nested JSON documents of the batch, overwritten on replay: one for
     every ``chunk`` of its cases, so no row grows with the batch. A batch
-    without cases writes none."""
+    without cases has none, also if an earlier run of it had some."""
+    spark, path = cases.sparkSession, f"{root}/fraud_alerts_batch_{int(batch_id)}.json"
     cases = cases.select(F.struct(F.col("Time").cast("double").alias("Time"), F.col("Amount").cast("double").alias("Amount"),
                                   F.col("anomaly_score").cast("double").alias("anomaly_score")).alias("case")).persist()
     n = cases.count()
@@ -99,7 +116,10 @@ def write_alert_document(cases: DataFrame, batch_id: int, root: str, epoch_secon
         part = F.pmod(F.xxhash64("case", F.monotonically_increasing_id()), F.lit(max(1, -(-2 * n // chunk)) if n > chunk else 1))
         doc = cases.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("fraud_count"), F.collect_list("case").alias("cases"))
         doc = doc.select(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.lit(float(epoch_seconds)).alias("timestamp"), "fraud_count", "cases")
-        doc.write.mode("overwrite").option("maxRecordsPerFile", 1).json(f"{root}/fraud_alerts_batch_{int(batch_id)}.json")
+        doc.write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)
+    elif path_exists(spark, path):
+        fs, p = _file_system(spark, path)
+        fs.delete(p, True)
     cases.unpersist()
 
 

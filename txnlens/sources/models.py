@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.forest import IsolationForestModel, load_forest, save_forest
 from ..operators.reconstruct import ReconstructionModel, load_reconstruction, save_reconstruction
-from .files import _exists
+from .files import path_exists
 
 
 @dataclass
@@ -52,7 +52,7 @@ def save_models(spark: SparkSession, models: ModelSet, root: str, write_scaler:
 def load_models(spark: SparkSession, root: str) -> ModelSet:
     scaler = load_params(spark, f"{root}/scaler").cache()
     forest = load_forest(spark, f"{root}/forest")
-    recon = load_reconstruction(spark, f"{root}/reconstruction") if _exists(spark, f"{root}/reconstruction") else None
-    ens, graph = (PipelineModel.load(f"{root}/{n}") if _exists(spark, f"{root}/{n}") else None for n in ("ensemble", "graph"))
-    span = load_params(spark, f"{root}/score_range") if _exists(spark, f"{root}/score_range") else None
+    recon = load_reconstruction(spark, f"{root}/reconstruction") if path_exists(spark, f"{root}/reconstruction") else None
+    ens, graph = (PipelineModel.load(f"{root}/{n}") if path_exists(spark, f"{root}/{n}") else None for n in ("ensemble", "graph"))
+    span = load_params(spark, f"{root}/score_range") if path_exists(spark, f"{root}/score_range") else None
     return ModelSet(scaler, forest, recon, ens, forest.features, graph, span)

@@ -28,6 +28,7 @@ from ..operators.graph_model import graph_features, graph_scores
 from ..operators.monitor import with_running_totals
 from ..operators.reconstruct import ReconstructionModel, reconstruction_score
 from ..sources.files import read_alerts, read_batch_alerts, read_stats, write_alert_document, write_batch_rows
+from .graph_tail import GraphTail
 
 
 @dataclass
@@ -53,36 +54,48 @@ def transaction_stream(spark: SparkSession, path: str, schema, fmt: str = "parqu
     return r.format(fmt).load(path)
 
 
-def score_frame(df: DataFrame, models: ScoringModels) -> DataFrame:
+def score_frame(df: DataFrame, models: ScoringModels, tail: GraphTail | None = None, batch_id: int = 0, last: bool = False) -> DataFrame:
     """Features → forest, reconstruction and graph scores → the ensemble, as
-    in training; the forest alone while any of the other models is absent."""
+    in training; the forest alone while any of the other models is absent.
+    With ``tail`` the graph spans micro-batches: the rows scored are those that
+    are ready in this one, with the graph features of the whole stream."""
     if "id" not in df.columns:
         df = df.withColumn("id", F.monotonically_increasing_id())
     keep = [c for c in df.columns if not c.startswith("V")]
     f = engineer_features(df, models.scaler, keep=keep)
-    s = score_isolation_forest(f, models.forest)
     if not models.whole():
-        return ens.score_ensemble(s, None)
+        return ens.score_ensemble(score_isolation_forest(f, models.forest), None)
     cols = models.forest.features
-    s = reconstruction_score(s, models.reconstruction)
-    h = graph_features(f.select("id", "Time", "Amount", *[c for c in cols if c not in ("Time", "Amount")]), cols, hops=3)
+    if tail is None:
+        h = graph_features(f.select("id", "Time", "Amount", *[c for c in cols if c not in ("Time", "Amount")]), cols, hops=3)
+    else:
+        f, h = tail.advance(f, batch_id, last)
+    s = reconstruction_score(score_isolation_forest(f, models.forest), models.reconstruction)
     g = graph_scores(models.graph, h).select("id", "graph_score")
     return ens.score_ensemble(apply_score_range(s.join(g, "id"), models.score_range), models.ensemble)
 
 
-def score_batch(models: ScoringModels | None, sink_root: str, scorer=None):
+def serving_tail(models: ScoringModels, root: str) -> GraphTail:
+    """The graph state of a serving stream, under the sink's folder."""
+    return GraphTail(f"{root}/_graph", list(models.forest.features), hops=3)
+
+
+def score_batch(models: ScoringModels | None, sink_root: str, scorer=None, tail: GraphTail | None = None):
     """The ``foreachBatch`` callback. ``scorer`` (DataFrame → DataFrame with
     prediction, confidence, iso_score) replaces the model scorer when given,
-    e.g. a fixed rule; the sinks are the same."""
-    score = scorer or (lambda df: score_frame(df, models))
-
-    def process(batch_df: DataFrame, batch_id: int) -> None:
+    e.g. a fixed rule; the sinks are the same. With ``tail`` a batch writes
+    the rows that have become ready, and ``flush`` the last of them."""
+    def process(batch_df: DataFrame, batch_id: int, last: bool = False) -> None:
         batch_df = batch_df.persist()
         try:
-            if batch_df.isEmpty():
+            if batch_df.isEmpty() and not last:
                 return
             now = time.time()
-            scored = score(batch_df).withColumn("anomaly_score", F.col("iso_score")).persist()
+            scored = scorer(batch_df) if scorer else score_frame(batch_df, models, tail, batch_id, last)
+            scored = scored.withColumn("anomaly_score", F.col("iso_score")).persist()
+            if tail is not None and scored.isEmpty():  # all its rows wait for their followers
+                scored.unpersist()
+                return
             ts = iso_timestamp(F.current_timestamp())
             alerts = scored.where(F.col("prediction") == 1)
             write_batch_rows(alerts.select(ts.alias("timestamp"), defaulted_id(scored).alias("transaction_id"),
@@ -105,9 +118,10 @@ def score_batch(models: ScoringModels | None, sink_root: str, scorer=None):
 
 
 def start_scoring(stream: DataFrame, models: ScoringModels | None, sink_root: str, checkpoint: str,
-                  available_now: bool = True, processing_time: str | None = None, scorer=None):
-    """Start the scorer; ``available_now`` processes what is there and stops."""
-    w = stream.writeStream.foreachBatch(score_batch(models, sink_root, scorer)) \
+                  available_now: bool = True, processing_time: str | None = None, scorer=None, tail: GraphTail | None = None):
+    """Start the scorer; ``available_now`` processes what is there and stops
+    (a ``row_stream`` is ended by ``run_to_end`` instead)."""
+    w = stream.writeStream.foreachBatch(score_batch(models, sink_root, scorer, tail)) \
               .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()
