@@ -7,12 +7,13 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from ..functions.columns import rounded
-from ..operators import ensemble, forest, graph_model, metrics, reconstruct, sampling
+from ..functions.columns import hour_of_day, rounded
+from ..operators import autoencoder, ensemble, forest, graph_model, graph_network, metrics, reconstruct, sampling
 from ..operators.features import engineer_features, feature_columns, fit_feature_scaler
 from ..session import default_parallelism
-from ..sources.tables import ORACLE_WIDTH, txn_ml, with_views
+from ..sources.tables import ORACLE_WIDTH, txn, txn_ml, with_views
 from .catalog import REGISTRY, R, register
+from .q_graph import _sql as _graph_sql
 from .q_scores import scores
 
 
@@ -46,6 +47,49 @@ def reconstruction_scores(spark, sf):
                     "reconstruction_pred")
 
 
+@register("autoencoder_scores", "M4 N2 A10 A7 P6 P4")
+def autoencoder_scores(spark, sf):
+    f, cols = features_with_split(spark, sf)
+    model = autoencoder.fit_autoencoder(f.where((F.col("split") == "train") & (F.col("Class") == 0)), cols, epochs=10)
+    s = reconstruct.reconstruction_score(f, model)
+    return s.select("id", "split", rounded("reconstruction_score").alias("reconstruction_score"), "reconstruction_pred")
+
+
+AUTO_FEATURES, AUTO_THRESHOLD = [f"V{i}" for i in range(1, 7)], 0.05
+
+
+def fixed_autoencoder():
+    """Layers 6 → 4 → 2 → 4 → 6 with weights by a rule: round(cos(k), 3) for the k-th."""
+    import numpy as np
+
+    model = autoencoder.Autoencoder(AUTO_FEATURES, (4, 2, 4), np.zeros(6), np.full(6, 2.0), threshold=AUTO_THRESHOLD)
+    model.flat = np.round(np.cos(np.arange(1, model.weights.size + 1)), 3)
+    return model
+
+
+def _autoencoder_sql() -> str:
+    model = fixed_autoencoder()
+    w = model.weights.split(model.flat)
+    z = [f"z{i}" for i in range(6)]
+    x, ctes = z, ["l0 AS (SELECT id, " + ", ".join(f"{c} / 2.0 AS {n}" for c, n in zip(AUTO_FEATURES, z)) + " FROM txn_ml)"]
+    for i in range(4):
+        m, b = w[f"w{i}"], w[f"b{i}"]
+        terms = [" + ".join([f"{c} * ({float(m[a, j])!r})" for a, c in enumerate(x)] + [f"({float(b[j])!r})"]) for j in range(m.shape[1])]
+        x = [f"x{j}" for j in range(m.shape[1])]
+        new = ", ".join(f"greatest(0, {t}) AS {c}" if i < 3 else f"{t} AS {c}" for t, c in zip(terms, x))
+        ctes.append(f"l{i + 1} AS (SELECT id, {', '.join(z)}, {new} FROM l{i})")
+    err = " + ".join(f"(x{j} - z{j}) * (x{j} - z{j})" for j in range(6))
+    return "WITH " + ", ".join(ctes) + f", e AS (SELECT id, ({err}) / 6.0 AS err FROM l4) " \
+        f"SELECT id, {R('err')} AS reconstruction_score, CAST(err > {AUTO_THRESHOLD} AS INTEGER) AS reconstruction_pred FROM e"
+
+
+@register("autoencoder_fixed", "M4 A10 P6", with_views(_autoencoder_sql(), ml=True))
+def autoencoder_fixed(spark, sf):
+    """Errors of an autoencoder with fixed weights."""
+    s = reconstruct.reconstruction_score(txn_ml(spark, sf, 6), fixed_autoencoder())
+    return s.select("id", rounded("reconstruction_score").alias("reconstruction_score"), "reconstruction_pred")
+
+
 @register("graph_node_scores", "M3 J1 J2 J3")
 def graph_node_scores(spark, sf):
     f, cols = features_with_split(spark, sf)
@@ -56,6 +100,54 @@ def graph_node_scores(spark, sf):
     return s.select("id", "split", "Class", rounded("graph_score").alias("graph_score"))
 
 
+@register("graph_network_scores", "M3 J1 J2 J3 T6")
+def graph_network_scores(spark, sf):
+    """The trained network: three convolutions, the best epoch by validation AUC."""
+    f, cols = features_with_split(spark, sf)
+    net = graph_network.fit_graph_network(f, cols, epochs=30)
+    s = graph_network.score_graph_network(f, net).join(f.select("id", "Class", "split"), "id")
+    return s.select("id", "split", "Class", rounded("graph_score").alias("graph_score"))
+
+
+FIXED_HIDDEN = 4
+
+
+def fixed_network():
+    """A network of two inputs with weights by a rule: round(sin(k), 3) for the k-th."""
+    import numpy as np
+
+    net = graph_network.GraphNetwork(["Amount", "Hour"], FIXED_HIDDEN, mean=np.zeros(2), scale=np.array([100.0, 24.0]))
+    net.flat = np.round(np.sin(np.arange(1, net.weights.size + 1)), 3)
+    return net
+
+
+def _network_sql() -> str:
+    net = fixed_network()
+    w = net.weights.split(net.flat)
+
+    def dense(names, m, b):
+        return [" + ".join([f"{x} * ({float(m[i, j])!r})" for i, x in enumerate(names)] + [f"({float(b[j])!r})"]) for j in range(m.shape[1])]
+    x = ["x0", "x1"]
+    out = ["deg AS (SELECT dst AS id, count(*) AS d FROM sym GROUP BY dst)", "n0 AS (SELECT id, Amount / 100.0 AS x0, Hour / 24.0 AS x1 FROM pos)"]
+    for i in range(graph_network.LAYERS):
+        sums = ", ".join(f"sum(n.{c} / sqrt(dg.d)) / sqrt(any_value(dd.d)) AS {c}" for c in x)
+        out.append(f"p{i} AS (SELECT s.dst AS id, {sums} FROM sym s JOIN n{i} n ON n.id = s.src JOIN deg dg ON dg.id = s.src JOIN deg dd ON dd.id = s.dst GROUP BY s.dst)")
+        nxt = dense(x, w[f"w{i}"], w[f"b{i}"])
+        x = [f"x{j}" for j in range(len(nxt))]
+        out.append(f"n{i + 1} AS (SELECT id, " + ", ".join(f"greatest(0, {e}) AS {c}" for e, c in zip(nxt, x)) + f" FROM p{i})")
+    top = dense(x, w["u"], w["c"])
+    q = [f"q{j}" for j in range(len(top))]
+    out.append("q AS (SELECT id, " + ", ".join(f"greatest(0, {e}) AS {c}" for e, c in zip(top, q)) + f" FROM n{graph_network.LAYERS})")
+    return ", " + ", ".join(out) + f" SELECT id, {R('1.0 / (1.0 + exp(-(' + dense(q, w['v'], w['e'])[0] + ')))')} AS graph_score FROM q"
+
+
+@register("graph_network_fixed", "M3", _graph_sql(_network_sql()))
+def graph_network_fixed(spark, sf):
+    """One forward pass with fixed weights."""
+    t = txn(spark, sf).withColumn("Hour", hour_of_day("Time"))
+    return graph_network.score_graph_network(t, fixed_network()).select("id", rounded("graph_score").alias("graph_score"))
+
+
 def _ensemble_split(spark, sf):
     s = scores(spark, sf)
     from ..operators.ensemble_features import ensemble_features

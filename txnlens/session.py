@@ -91,11 +91,15 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, partition_by: str | None = None):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     read it back: cuts the lineage (iterations, stamps that must not change)
-    and survives executor loss, at the cost of one columnar write."""
+    and survives executor loss, at the cost of one columnar write. With
+    ``partition_by`` each value of that column is a folder of its own."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if partition_by:
+        df.write.partitionBy(partition_by).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)  # an empty table has no folder to infer it from
     df.write.parquet(path)
     return spark.read.parquet(path)
