@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from . import hashing
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -51,3 +56,53 @@ def slices(texts: list[str], chars: int) -> Iterator[slice]:
             lo, held = i + 1, 0
     if lo < len(texts):
         yield slice(lo, len(texts))
+
+
+def release() -> None:
+    """Hand freed memory back to the system: a worker lives on in other stages."""
+    hashing.forget_long()
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that releases its memory at its end."""
+    @wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return wrapped
+
+
+def each_bucket(batches: Iterator) -> Iterator[list[bytes]]:
+    """The blobs of each bucket of a task, one bucket after another; rows
+    (bucket, blob) are sorted by bucket."""
+    held: list[bytes] = []
+    now = None
+    for b in batches:
+        for bucket, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if held and bucket != now:
+                yield held
+                held = []
+            now = bucket
+            held.append(blob)
+    if held:
+        yield held
+
+
+def gathered(parts: Iterator[tuple[np.ndarray, ...]], rows: int = 1 << 18) -> Iterator[tuple[np.ndarray, ...]]:
+    """Parts of columns put together until they have so many rows."""
+    held, n = [], 0
+    for p in parts:
+        held.append(p)
+        n += len(p[0])
+        if n >= rows:
+            yield tuple(np.concatenate(c) for c in zip(*held))
+            held, n = [], 0
+    if n:
+        yield tuple(np.concatenate(c) for c in zip(*held))

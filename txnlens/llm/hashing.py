@@ -33,6 +33,12 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def forget_long(most: int = 1 << 20) -> None:
+    """Drop tables of powers that one long buffer needed."""
+    for base in [b for b, p in _POWERS.items() if len(p) > most]:
+        del _POWERS[base]
+
+
 class Prefix:
     """Prefix hashes of one buffer of bytes."""
 

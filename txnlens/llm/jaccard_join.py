@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches, stored
+from .common import each_bucket, gathered, released, slices, small_batches, stored
 from .components import components
 from .hashing import BYTE, Prefix, from_planes, mix, planes
 
@@ -118,6 +118,7 @@ def _each_set(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]
 
 
 def _describe(k: int, share: float):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, ns, d, cid = [], [], [], []
@@ -148,6 +149,7 @@ def _dealt(key: np.ndarray, blobs, buckets: int, bits: int) -> pa.RecordBatch:
 def _sample_entries(k: int, share: float, buckets: int):
     """Text -> blobs of (48 bits of a sampled shingle, 48 bits of the class);
     a class is sent once by a task's batch however many copies it holds."""
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen, shingles, owners = set(), [], []
@@ -171,34 +173,37 @@ def _halves(blob: bytes, first: int, second: int) -> tuple[np.ndarray, np.ndarra
     return from_planes(blob[:n * first], first), from_planes(blob[n * first:], second)
 
 
-def _gather(batches: Iterator[pa.RecordBatch], first: int, second: int) -> tuple[np.ndarray, np.ndarray]:
-    parts = [_halves(x, first, second) for b in batches for x in b.column(1).to_pylist()]
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+def _gather(blobs: list[bytes], first: int, second: int) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of one bucket."""
+    parts = [_halves(x, first, second) for x in blobs]
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 def _shared_counts(buckets: int):
     """Entries of a task -> blobs of (class, number of its sampled shingles
     that another class has too) of classes with any, dealt by class."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x, own = _gather(batches, 6, 6)
+    def counts(blobs):
+        x, own = _gather(blobs, 6, 6)
         order = np.lexsort((own, x))
         x, own = x[order], own[order]
-        if len(x):
-            keep = np.append(True, (x[1:] != x[:-1]) | (own[1:] != own[:-1]))
-            x, own = x[keep], own[keep]
-            same = x[1:] == x[:-1]
-            shared = np.append(same, False) | np.append(False, same)
-            cid, n = np.unique(own[shared], return_counts=True)
+        keep = np.append(True, (x[1:] != x[:-1]) | (own[1:] != own[:-1]))
+        x, own = x[keep], own[keep]
+        same = x[1:] == x[:-1]
+        shared = np.append(same, False) | np.append(False, same)
+        return np.unique(own[shared], return_counts=True)
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cid, n in gathered(map(counts, each_bucket(batches))):
             yield _dealt(cid, lambda o: planes(cid[o], 6) + planes(n[o], 4), buckets, 48)
     return run
 
 
+@released
 def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blobs dealt by class -> one row (class, sum of its counts)."""
-    cid, n = _gather(batches, 6, 4)
-    if len(cid):
+    for blobs in each_bucket(batches):
+        cid, n = _gather(blobs, 6, 4)
         one, at = np.unique(cid, return_inverse=True)
         total = np.bincount(at, weights=n.astype(np.float64)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(one.astype(np.int64)), pa.array(total)], names=["low", "n_shared"])
@@ -207,6 +212,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _set_entries(k: int, buckets: int):
     """(digest, text) -> blobs of (shingle, class) with all shingles of the
     rows whose set has the digest."""
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             want = b.column(0).to_pylist()
@@ -222,58 +228,57 @@ def _set_entries(k: int, buckets: int):
 def _count_and_return(buckets: int):
     """Blobs of (shingle, class) -> blobs of (class, shingle, number of
     classes) of the shingles that several classes have, dealt by class."""
+    def counted(blobs):
+        x, own = _gather(blobs, 8, 8)
+        order = np.lexsort((own, x))
+        x, own = x[order], own[order]
+        keep = np.append(True, (x[1:] != x[:-1]) | (own[1:] != own[:-1]))  # a class may be stored twice
+        x, own = x[keep], own[keep]
+        first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+        df = np.repeat(np.diff(np.append(first, len(x))), np.diff(np.append(first, len(x)))).astype(np.uint64)
+        many = df > 1
+        return own[many], x[many], df[many]
+
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x, own = _gather(batches, 8, 8)
-        if len(x):
-            order = np.lexsort((own, x))
-            x, own = x[order], own[order]
-            keep = np.append(True, (x[1:] != x[:-1]) | (own[1:] != own[:-1]))  # a class may be stored twice
-            x, own = x[keep], own[keep]
-            first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
-            df = np.repeat(np.diff(np.append(first, len(x))), np.diff(np.append(first, len(x)))).astype(np.uint64)
-            many = df > 1
-            x, own, df = x[many], own[many], df[many]
+        for own, x, df in gathered(map(counted, each_bucket(batches))):
             yield _dealt(mix(own), lambda o: planes(own[o], 8) + planes(x[o], 8) + planes(df[o], 8), buckets, 64)
     return run
 
 
+@released
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blobs dealt by class -> rid (the class), its shared shingles in the
     order of (number of classes, hash), and their parity sketch."""
-    own, x, df = [], [], []
-    for b in batches:
-        for blob in b.column(1).to_pylist():
-            n = len(blob) // 24
-            own.append(from_planes(blob[:8 * n], 8))
-            x.append(from_planes(blob[8 * n:16 * n], 8))
-            df.append(from_planes(blob[16 * n:], 8))
-    if not own:
-        return
-    own, x, df = np.concatenate(own), np.concatenate(x), np.concatenate(df)
-    order = np.lexsort((x, df, own))
-    own, x = own[order], x[order]
-    first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-    last = np.append(first[1:], len(own))
-    bit = np.uint64(1) << (x & np.uint64(63))
-    word = ((x >> np.uint64(6)) & np.uint64(SKETCH_WORDS - 1)).astype(np.int64)
-    sketch = [np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), first).view(np.int64) for w in range(SKETCH_WORDS)]
-    signed = x.view(np.int64)
-    for lo in range(0, len(first), 1000):
-        part = slice(lo, lo + 1000)
-        offsets = np.append(first[part], last[part][-1]) - first[lo]
-        shared = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(signed[first[lo]:last[part][-1]]))
-        yield pa.RecordBatch.from_arrays([pa.array(own[first[part]].view(np.int64)), shared, *[pa.array(s[part]) for s in sketch]],
-                                         names=["rid", "shared", *[f"w{i}" for i in range(SKETCH_WORDS)]])
+    for blobs in each_bucket(batches):
+        sizes = [len(blob) // 24 for blob in blobs]
+        own, x, df = (np.concatenate([from_planes(blob[8 * i * n:8 * (i + 1) * n], 8) for blob, n in zip(blobs, sizes)]) for i in range(3))
+        order = np.lexsort((x, df, own))
+        own, x = own[order], x[order]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        last = np.append(first[1:], len(own))
+        bit = np.uint64(1) << (x & np.uint64(63))
+        word = ((x >> np.uint64(6)) & np.uint64(SKETCH_WORDS - 1)).astype(np.int64)
+        sketch = [np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), first).view(np.int64) for w in range(SKETCH_WORDS)]
+        signed = x.view(np.int64)
+        for lo in range(0, len(first), 1000):
+            part = slice(lo, lo + 1000)
+            offsets = np.append(first[part], last[part][-1]) - first[lo]
+            shared = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(signed[first[lo]:last[part][-1]]))
+            yield pa.RecordBatch.from_arrays([pa.array(own[first[part]].view(np.int64)), shared, *[pa.array(s[part]) for s in sketch]],
+                                             names=["rid", "shared", *[f"w{i}" for i in range(SKETCH_WORDS)]])
 
 
 def _buckets(df: DataFrame) -> tuple[int, int]:
-    """(tasks, buckets): a power of two of buckets for the tasks of a shuffle."""
+    """(tasks, buckets): a power of two of buckets, eight or more for each
+    task of a shuffle."""
     tasks = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    return tasks, 1 << (2 * tasks - 1).bit_length()
+    return tasks, 1 << (8 * tasks - 1).bit_length()
 
 
 def _by_bucket(df: DataFrame, tasks: int) -> DataFrame:
-    return df.repartition(tasks, "bucket")
+    """Dealt to tasks and sorted by bucket: a task takes one bucket at a time."""
+    return df.repartition(tasks, "bucket").sortWithinPartitions("bucket")
 
 
 def described(docs: DataFrame, k: int, share: float) -> DataFrame:

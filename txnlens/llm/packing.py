@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import slices, stored
+from .common import released, slices, small_batches, stored
 
 SEQUENCE = 4096
 END_ID = 2
@@ -137,6 +137,7 @@ def word_tokens(path: str) -> WordTokens:
 
 
 def _tokenize(path: str, end_id: int):
+    @released
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
@@ -203,6 +204,7 @@ def _with_places(docs: DataFrame) -> DataFrame:
 
 def token_ids(docs: DataFrame, path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """First pass, written: doc_id, the run (RUN), before, doc_tokens, ids."""
+    small_batches(docs)
     out = _with_places(docs).mapInPandas(_tokenize(path or vocabulary_path(), end_id), IDS)
     return stored(out, "token-ids")
 
