@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import rounded
 from ..operators import profile, scaling
 from ..operators.features import engineer_features, fit_feature_scaler
+from ..session import materialize
 from ..sources.tables import ORACLE_WIDTH, txn, txn_ml, with_views
 from .catalog import R, register
 
@@ -180,7 +181,9 @@ SELECT id, Class, {_ENG_COLS},
        {R(HOUR_SQL)} AS Hour, {R('ln(1 + Amount)')} AS Amount_log
 FROM txn_ml CROSS JOIN p""", ml=True))
 def engineered_features(spark, sf):
-    f = engineer_features(txn_ml(spark, sf), fit_feature_scaler(txn(spark, sf)), keep=["id", "Class"])
+    # fitted on the rows it transforms, read once into a narrow table
+    narrow = materialize(txn_ml(spark, sf, 0).select("Amount", "Time"), "scaler-rows")
+    f = engineer_features(txn_ml(spark, sf), fit_feature_scaler(narrow), keep=["id", "Class"])
     return f.select("id", "Class", *[rounded(c).alias(c) for c in f.columns if c not in ("id", "Class")])
 
 
