@@ -270,10 +270,10 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _buckets(df: DataFrame) -> tuple[int, int]:
-    """(tasks, buckets): a power of two of buckets, eight or more for each
-    task of a shuffle."""
+    """(tasks, buckets): a power of two of buckets, two or more for each task
+    of a shuffle. A batch makes a row for each bucket, so more would cost rows."""
     tasks = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    return tasks, 1 << (8 * tasks - 1).bit_length()
+    return tasks, 1 << (2 * tasks - 1).bit_length()
 
 
 def _by_bucket(df: DataFrame, tasks: int) -> DataFrame:
