@@ -29,6 +29,17 @@ def test_jaccard_is_exact(spark, odd_docs, k, num, which):
     assert got == want
 
 
+@pytest.mark.parametrize("letters", [256, 1024, 2048, 4096])
+def test_long_words_of_opposite_letters_differ(letters):
+    """Words that a polynomial modulo 2**64 makes equal for every odd base."""
+    a = "a"
+    while len(a) < letters:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    one, other, upper = jaccard_join.shingle_sets([f"{a} x y", f"{b} x y", f"{a.upper()} X y"], 3)
+    assert one.tolist() != other.tolist() and one.tolist() == upper.tolist()
+
+
 def test_jaccard_blocks_and_families(spark):
     """A large family of near copies, joined in many small blocks."""
     rng = np.random.default_rng(1)
@@ -395,6 +406,21 @@ def test_toxicity_odd_inputs(spark, odd_docs, no_docs):
     assert {r["score"] for r in none} == {0.0}
 
 
+def test_toxicity_sample_is_bounded_by_rows_and_characters(spark, monkeypatch):
+    """30 ids of 200 texts each bring one row an id; then fewer by length."""
+    seen, own = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda x, y: seen.append((len(x), int(y.sum()))) or own(x, y))
+    d = spark.range(6000).select((F.col("id") % 30).alias("doc_id"), F.concat(F.lit("word good bad "), F.md5(F.col("id").cast("string"))).alias("text"),
+                                 F.lit("en").alias("lang"))
+    y = spark.range(30).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    toxicity.fit(d, y, rows=8)
+    toxicity.fit(d, y)
+    free = y.where(~toxicity.held_out(F.col("doc_id"))).count()
+    monkeypatch.setattr(toxicity, "TRAIN_TOTAL", 46 * 7)
+    toxicity.fit(d, y)
+    assert seen[0][0] <= 8 and seen[1][0] <= free and seen[2][0] <= 7 and seen[0][0] >= 4
+
+
 def test_toxicity_stage_decides_by_language(spark, monkeypatch):
     """A document between its language's threshold and 0.7 goes; one of a
     language with a higher threshold stays; others are judged by 0.7."""

@@ -34,7 +34,9 @@ null, empty or wordless texts have the empty set, link with nothing and are
 components of their own. Rows are judged by their own text, and a component
 is named by its smallest doc_id; a null doc_id comes last in that order.
 Shingles and classes are 64-bit hashes (of classes, of their 128-bit
-digests). Only doc_id and text are read.
+digests); words of more than LONG_WORD bytes enter by a cryptographic digest,
+since a polynomial modulo 2**64 has long words that every base makes equal.
+Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -47,11 +49,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_bucket, gathered, released, slices, small_batches, stored
+from .common import LOWER, UPPER, each_bucket, gathered, released, slices, small_batches, stored
 from .components import components
 from .hashing import BYTE, Prefix, from_planes, mix, planes
 
 SLICE_CHARS = 1 << 18
+LONG_WORD = 32
 SKETCH_WORDS = 4  # 256 bits
 BLOCK_ROWS = 256
 BROADCAST_IDS = 500_000  # of 24 bytes
@@ -61,6 +64,7 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = BYTE.copy()
 _LOWER[ord("A"):ord("Z") + 1] = BYTE[ord("a"):ord("z") + 1]
+_LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
 def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
@@ -74,6 +78,9 @@ def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
     start, end = edge[0::2], edge[1::2]
     p = Prefix(data, _LOWER)
     word = mix(p.of(start, end) + (end - start).astype(np.uint64))
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():
+        own = data[start[i]:end[i]].tobytes().translate(_LOWER_BYTES)
+        word[i] = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little")
     upto = np.searchsorted(start, end_of)  # words before each text's end
     many = np.zeros(0, np.uint64)
     if len(word) >= k:
