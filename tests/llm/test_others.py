@@ -91,6 +91,25 @@ def test_marking_attributes_still_cut(attrs):
     assert html_main.main_text(f"<article><p>One, two.</p><p {attrs}>Gone, gone.</p></article>") == "One, two."
 
 
+LONG = "One, two, three, and more words of the text."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<article><section id=related-work><h2>Related work</h2><p>{LONG}</p></section><p>End.</p></article>", f"Related work\n\n{LONG}\n\nEnd."),
+    (f"<article><h2 id=search-algorithms>Search</h2><p>{LONG}</p><h2 id=search>Again</h2></article>", f"Search\n\n{LONG}\n\nAgain"),
+    (f"<body><div class='layout sidebar-right'><div class=text><p>{LONG}</p><p>{LONG}</p></div></div><div class=ad>Buy, buy</div></body>", f"{LONG}\n\n{LONG}"),
+    (f"<body><div class='layout sidebar-right'><article><p>{LONG}</p></article><div class=sidebar><p>x, y</p></div></div></body>", LONG),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> hold, always.</p></article>", "Let x=1 hold, always."),
+    (f"<article><header>Share <h1>T</h1><div>3 min<p>Lead, in short.</p></div></header><p>{LONG}</p></article>", f"T\n\nLead, in short.\n\n{LONG}"),
+    (f"<article><p>{LONG}</p><h2>Sources</h2><ul><li><a href=a>First</a><li><a href=b>Second</a></ul></article>", f"{LONG}\n\nSources\n\nFirst\n\nSecond"),
+    ("<article><p>See, here:</p><pre>x = 1  <span class=comment># note</span></pre></article>", "See, here:\n\nx = 1 # note"),
+    (f"<article><p>{LONG}</p><div class=social-share>Share, like</div><section class=related-posts><p>More, more</p></section></article>", LONG),
+    (f"<body><div class=ad>{LONG}</div><article></article></body>", ""),
+    (f"<body><article><p>{LONG}</p></article><div class=comments>" + f"<article class=comment><p>{LONG}</p></article>" * 30 + "</div></body>", LONG)])
+def test_main_text_is_not_lost_by_names(page, want):
+    assert html_main.main_text(page) == want
+
+
 def test_extract_frame(spark):
     d = spark.createDataFrame([(1, "u", None), (None, None, "<p>x</p>"), (1, "u", "<p>" + "long, " * 50_000)], "page_id long, url string, html string")
     got = sorted((str(r["page_id"]), r["n_chars"]) for r in html_main.extract_main_text(d.withColumns({c: F.lit(1) for c in CLASH})).collect())

@@ -2,12 +2,17 @@
 
 A page is read into a small tree. Menus, headers, footers, sidebars, adverts,
 notices, forms, scripts, styles and reader comments are cut off by element,
-role, class or id. Each paragraph then passes points (one, plus one for each
+role, class or id. Outside an article or main element one telling word of a
+class or id is enough, unless what it marks has most of the page's points and
+all of its articles (a wrapper named after its layout). Inside, all words of a
+class or id must be telling, and headings and code are never cut by name; such
+a full name is overruled only by nine tenths of the points. Each paragraph then passes points (one, plus one for each
 comma, plus one for each hundred characters up to three) to its parent, half
 of them to the grandparent and a third, a quarter, ... further up; a
 container's points are discounted by its link density. The best container is
 kept with those siblings that score a fifth of its points or more; inside it
-nothing is dropped except lists made of links.
+nothing more is dropped, but for lists made of links where there is no article
+or main element, and the loose lines of an article's header.
 
 Defined results: null or empty HTML, or a page without text, gives the empty
 text; broken markup (missing end tags, a tag or comment cut off at the end)
@@ -29,11 +34,12 @@ from pyspark.sql import DataFrame
 # Element names of HTML by their role in a page.
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("head nav header footer aside form script style noscript template iframe svg math canvas object embed applet "
+DROPPED = frozenset("head nav header footer aside form script style noscript template iframe svg annotation annotation-xml canvas object embed applet "
                     "audio video map button select option optgroup textarea input label fieldset legend dialog menu title".split())
 BLOCKS = frozenset("html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table caption thead tbody "
                    "tfoot tr figure figcaption address hr details summary center hgroup search".split())
 PARAGRAPHS = frozenset("p pre blockquote li td dd h1 h2 h3 h4 h5 h6".split())
+LOOSE = frozenset("div section article main html body".split())
 NEVER_CUT = frozenset("html body article main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert status menu menubar toolbar note".split())
 CUT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted sidebar sidebars "
@@ -41,6 +47,9 @@ CUT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising spons
                       "commentlist respond reply replies disqus cookie cookies consent gdpr notice notices notification alert banner popup modal "
                       "overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations widget "
                       "widgets copyright disclaimer pagination pager skip search form hidden outbrain taboola adsense".split())
+STRUCTURE = frozenset("area articles bar block box button buttons container item items label links list panel post posts section slot title unit "
+                      "wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
                      "hgroup hr main menu nav ol p pre section table ul li dd dt tr td th tbody thead tfoot".split())
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -55,33 +64,47 @@ _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 _GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+KEPT, PARTLY, FULLY, CUT = range(4)  # how far a node is cut: by part of a name, by a whole name, for good
+
+
 class Node:
-    __slots__ = ("tag", "parent", "kids", "cut", "score")
+    __slots__ = ("tag", "parent", "kids", "cut", "score", "inside", "code")
 
-    def __init__(self, tag, parent, cut=False):
+    def __init__(self, tag, parent, cut=KEPT):
         self.tag, self.parent, self.cut, self.kids, self.score = tag, parent, cut, [], 0.0
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        self.code = tag in ("pre", "code") or parent is not None and parent.code
+
+
+def _named(name: str, value: str, inside: bool) -> int:
+    """How far a class or id marks an element as no part of the main text."""
+    most = KEPT
+    for cls in value.split():
+        words = [w.lower() for w in _WORD.findall(cls)]
+        if words[:1] in (["no"], ["has"], ["with"]) or not any(w in CUT_WORDS for w in words):
+            continue
+        if all(w in CUT_WORDS or name == "class" and w in STRUCTURE for w in words):
+            return FULLY
+        most = KEPT if inside else PARTLY
+    return most
 
 
-def _marked(tag: str, attrs: str) -> bool:
-    """Whether attributes mark an element as no part of the main text."""
+def _marked(tag: str, attrs: str, parent: Node) -> int:
+    """How far attributes mark an element as no part of the main text."""
     if tag in NEVER_CUT or not _TELLING.search(attrs):
-        return False
+        return KEPT
     found: dict[str, str] = {}
     for name, value in _ATTR.findall(attrs):
         found.setdefault(name.lower(), value.strip("\"'"))  # of equal names the first counts
+    most = KEPT
     for name, value in found.items():
         if name == "hidden" and value.lower() in ("", "hidden", "true") or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return CUT
         if name == "style" and _GONE.search(value) or name == "role" and value.lower().strip() in ROLES:
-            return True
-        if name in ("class", "id"):
-            for cls in value.split():
-                words = [w.lower() for w in _WORD.findall(cls)]
-                if words[:1] in (["no"], ["has"], ["with"]):
-                    continue
-                if any(w in CUT_WORDS for w in words):
-                    return True
-    return False
+            return CUT
+        if name in ("class", "id") and not parent.code and not (tag in HEADINGS and (parent.inside or name == "id")):
+            most = max(most, _named(name, value, parent.inside))
+    return most
 
 
 def parse(page: str) -> Node:
@@ -129,12 +152,8 @@ def parse(page: str) -> Node:
             if tag not in DROPPED:
                 cur.kids.append(Node(tag, cur))
             continue
-        inside = False
-        if tag == "header":  # the header of an article may hold its title
-            x = cur
-            while x is not None and not inside:
-                inside, x = x.tag in ("article", "main"), x.parent
-        node = Node("header" if inside else tag, cur, (tag in DROPPED and not inside) or _marked(tag, attrs))
+        inside = tag == "header" and cur.inside  # the header of an article may hold its title
+        node = Node("header" if inside else tag, cur, CUT if tag in DROPPED and not inside else _marked(tag, attrs, cur))
         cur.kids.append(node)
         if tag in RAW:
             close = re.compile(rf"</{tag}\s*>?", re.I).search(page, pos)
@@ -144,12 +163,12 @@ def parse(page: str) -> Node:
     return root
 
 
-def _walk(node: Node):
-    """Nodes that are not cut, parents before children."""
+def _walk(node: Node, least: int = PARTLY):
+    """Nodes that are not cut as far as ``least``, parents before children."""
     stack = [node]
     while stack:
         x = stack.pop()
-        if isinstance(x, str) or x.cut:
+        if isinstance(x, str) or x.cut >= least:
             continue
         yield x
         stack.extend(k for k in reversed(x.kids) if not isinstance(k, str))
@@ -170,6 +189,35 @@ def _length(node: Node) -> tuple[int, int, int]:
     return chars, linked, links
 
 
+def _points(x: Node) -> int:
+    """Points of a paragraph or of loose text in a container."""
+    loose = x.tag in LOOSE and any(isinstance(k, str) and k.strip() for k in x.kids)
+    text = _paragraph_text(x) if loose or x.tag in PARAGRAPHS else ""
+    return 1 + sum(text.count(c) for c in ",،、，") + min(len(text) // 100, 3) if text else 0
+
+
+def _restore_wrappers(root: Node) -> None:
+    """Undo cuts by name where the name is that of a wrapper of the page."""
+    nodes = list(_walk(root, CUT))
+    if not any(x.cut for x in nodes):
+        return
+    points: dict[int, int] = {id(x): 0 for x in nodes}
+    mains = dict(points)
+    for x in reversed(nodes):  # children before parents
+        cut, x.cut = x.cut, KEPT
+        points[id(x)] += _points(x)
+        x.cut = cut
+        mains[id(x)] += x.tag in ("article", "main")
+        if x.parent is not None:
+            points[id(x.parent)] += points[id(x)]
+            mains[id(x.parent)] += mains[id(x)]
+    total, all_mains = points[id(root)], mains[id(root)]
+    for x in nodes:
+        share = points[id(x)] / total if total else 0.0
+        if mains[id(x)] == all_mains and (x.cut == PARTLY and share > 0.5 or x.cut == FULLY and share > 0.9 and all_mains):
+            x.cut = KEPT
+
+
 def _paragraph_text(node: Node) -> str:
     """Text of a paragraph without that of paragraphs inside it."""
     out, stack = [], [node]
@@ -186,14 +234,10 @@ def score(root: Node) -> list[Node]:
     """Pass points up from paragraphs; containers that have points."""
     found: dict[int, Node] = {}
     for x in list(_walk(root)):
-        loose = x.tag in ("div", "section", "article", "main", "html", "body") and any(isinstance(k, str) and k.strip() for k in x.kids)
-        if x.tag not in PARAGRAPHS and not loose:
-            continue
-        text = _paragraph_text(x)
-        if not text:
+        points = _points(x)
+        if not points:
             continue
-        points = 1 + sum(text.count(c) for c in ",،、，") + min(len(text) // 100, 3)
-        up, level = x if loose else x.parent, 0
+        up, level = x if x.tag in LOOSE else x.parent, 0
         while up is not None:
             up.score += points / (1 if level == 0 else 2 if level == 1 else level + 1)
             found[id(up)] = up
@@ -230,14 +274,16 @@ def _blocks(node: Node) -> list[str]:
             buf.append(" " if x.tag == "br" else "")
         elif x.tag in BLOCKS or x.tag == "header":
             close()
-            if x.tag in ("ul", "ol", "dl") and x is not node:
+            if x.tag in ("ul", "ol", "dl") and x is not node and not x.inside:
                 chars, linked, links = _length(x)
                 if links >= 2 and linked > 0.8 * chars:
                     continue
             stack.append(None)
             kids = x.kids
             if x.tag == "header":
-                kids = [k for k in x.kids if not isinstance(k, str) and (k.tag in ("h1", "h2", "h3", "hgroup"))]
+                kids = [k for k in x.kids if not isinstance(k, str) and (k.tag in HEADINGS or k.tag in ("header", "div", "section", "p", "blockquote"))]
+                for k in kids:
+                    k.tag = "header" if k.tag in ("div", "section") else k.tag
             stack.extend(reversed(kids))
         else:
             if x.tag in ("td", "th"):
@@ -254,6 +300,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    _restore_wrappers(root)
     nodes = score(root)
     if not nodes:
         return "\n\n".join(_blocks(root))
