@@ -99,8 +99,7 @@ def search(df: DataFrame, n_trials: int = 20, fold_col: str = "fold", features=E
 
 def best_trial(trials: DataFrame) -> DataFrame:
     """Keep-best: the trial with the highest AUC (ties → lowest trial id)."""
-    return trials.agg(F.max_by(F.struct("trial", "model", "n_estimators", "max_depth", "C", "auc"),
-                               F.struct(F.col("auc"), -F.col("trial"))).alias("b")).select("b.*")
+    return trials.agg(F.max_by(F.struct(*trials.columns), F.struct(F.col("auc"), -F.col("trial"))).alias("b")).select("b.*")
 
 
 def feature_importance(model: PipelineModel, features=ENSEMBLE_FEATURES) -> DataFrame | None:

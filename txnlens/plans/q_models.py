@@ -8,13 +8,14 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions.columns import hour_of_day, rounded
-from ..operators import autoencoder, ensemble, forest, graph_model, graph_network, metrics, reconstruct, sampling
+from ..operators import autoencoder, ensemble, forest, graph_model, graph_network, metrics, reconstruct, sampling, tuning
 from ..operators.features import engineer_features, feature_columns, fit_feature_scaler
 from ..session import default_parallelism
 from ..sources.tables import ORACLE_WIDTH, txn, txn_ml, with_views
 from .catalog import REGISTRY, R, register
 from .q_graph import _sql as _graph_sql
-from .q_scores import scores
+from .q_scores import _auc_sql, scores
+from .q_scores import _sql as _scores_sql
 
 
 def features_with_split(spark, sf):
@@ -180,6 +181,91 @@ def ensemble_search(spark, sf):
     return ensemble.best_trial(trials)
 
 
+@register("ensemble_adaptive_search", "M7 R5 T6")
+def ensemble_adaptive_search(spark, sf):
+    """The best setting judged on all rows, by adaptive proposals."""
+    e = _ensemble_split(spark, sf).where(F.col("split") == "train").drop("split")
+    folds = sampling.stratified_folds(e, 3, "Class", seed=42, key="id")
+    trials = tuning.adaptive_search(folds, n_trials=12)
+    return ensemble.best_trial(trials.where("share = 1.0")).drop("share")
+
+
+BLEND_WEIGHTS = (0.0, 0.25, 0.5, 0.75, 1.0)
+
+
+def _blend_auc(w: float) -> str:
+    return R(_auc_sql(f"round({w!r} * graph_score + {1 - w!r} * reconstruction_score, 9)"))
+
+
+_BLENDS = _scores_sql(", t AS (" + " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS trial, {w!r}::DOUBLE AS weight, {_blend_auc(w)} AS auc" for i, w in enumerate(BLEND_WEIGHTS)) + ") ")
+
+
+def _blend_trials(spark, sf):
+    names = [f"{i}" for i in range(len(BLEND_WEIGHTS))]
+    s = scores(spark, sf)
+    s = s.select("Class", *[rounded(F.lit(w) * F.col("graph_score") + F.lit(1 - w) * F.col("reconstruction_score"), 9).alias(n)
+                            for n, w in zip(names, BLEND_WEIGHTS)])
+    c = metrics.model_comparison(s, {n: (n, False) for n in names})
+    weight = F.element_at(F.array(*map(F.lit, BLEND_WEIGHTS)), F.col("trial") + 1)
+    return c.select(F.col("model").cast("int").alias("trial"), rounded("auc").alias("auc")).select("trial", weight.alias("weight"), "auc")
+
+
+@register("blend_trials", "T6 M9", _BLENDS + "SELECT trial, weight, auc FROM t")
+def blend_trials(spark, sf):
+    """A trial table: the AUC of fixed blends of two scores."""
+    return _blend_trials(spark, sf)
+
+
+@register("blend_best", "T6 M9", _BLENDS + "SELECT trial, weight, auc FROM t ORDER BY auc DESC, trial LIMIT 1")
+def blend_best(spark, sf):
+    """Keep-best over that trial table."""
+    return ensemble.best_trial(_blend_trials(spark, sf))
+
+
+FOREST_FEATURES, FOREST_TREES, FOREST_OFFSET = ["V1", "V2", "V3"], 5, -0.45
+
+
+def fixed_forest():
+    """Complete trees of depth 2 by a rule: split k at round(0.2 sin(k), 3), leaf k of 1 + 7k mod 40 rows."""
+    import math
+
+    import pandas as pd
+
+    nodes = []
+    for t in range(FOREST_TREES):
+        for n in range(7):
+            k, inner = 7 * t + n, n < 3
+            nodes.append((t, n, (t + n) % 3 if inner else -1, round(0.2 * math.sin(k), 3) if inner else None,
+                          2 * n + 1 if inner else -1, 2 * n + 2 if inner else -1, 0 if inner else 1 + 7 * k % 40, (n + 1).bit_length() - 1))
+    pdf = pd.DataFrame(nodes, columns=[f.name for f in forest.NODE_SCHEMA.fields])
+    return forest.IsolationForestModel(FOREST_FEATURES, pdf, 256, FOREST_TREES, FOREST_OFFSET, 0.1)
+
+
+def _forest_sql() -> str:
+    nodes = fixed_forest().nodes.set_index(["tree", "node"])
+
+    def length(n: str) -> str:  # average path length of n rows
+        return f"CASE WHEN {n} > 2 THEN 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
+
+    def walk(t: int, n: int) -> str:
+        r = nodes.loc[(t, n)]
+        if r["feature"] < 0:
+            return f"({int(r['depth'])} + {length(str(int(r['size'])))})"
+        x = f"coalesce({FOREST_FEATURES[int(r['feature'])]}, 0)"
+        return f"(CASE WHEN {x} < {float(r['threshold'])!r} THEN {walk(t, int(r['left']))} ELSE {walk(t, int(r['right']))} END)"
+    total = " + ".join(walk(t, 0) for t in range(FOREST_TREES))
+    return f"WITH d AS (SELECT id, -power(2.0, -(({total}) / {FOREST_TREES}.0) / ({length('256')})) - ({FOREST_OFFSET}) AS v FROM txn_ml) " \
+        f"SELECT id, {R('v')} AS iso_score, CAST(v < 0 AS INTEGER) AS iso_pred FROM d"
+
+
+@register("isolation_forest_fixed", "M2 P7", with_views(_forest_sql(), ml=True))
+def isolation_forest_fixed(spark, sf):
+    """Decision values and flags of a fixed forest."""
+    s = forest.score_isolation_forest(txn_ml(spark, sf, 3), fixed_forest())
+    return s.select("id", rounded("iso_score").alias("iso_score"), "iso_pred")
+
+
 @register("ensemble_comparison", "M9 M11")
 def ensemble_comparison(spark, sf):
     e = _ensemble_split(spark, sf)
