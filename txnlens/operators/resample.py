@@ -4,9 +4,11 @@ interpolation (SMOTE, Chawla et al. 2002).
 kNN without all pairs (pivot partitioning with triangle-inequality
 pruning, after Lu et al., VLDB 2012):
 
-1. P pivots are a hash sample of the points (P ≤ max(``max_pivots``, √n): the
-   table that is broadcast); every point joins the cell of its nearest
-   pivot (an Arrow-batched pandas UDF; distances to P pivots).
+1. P pivots are a hash sample of the points (P ≤ ``max_pivots``: the table
+   that is broadcast); every point joins the cell of its nearest pivot (an
+   Arrow-batched pandas UDF; distances to P pivots). When that many cells of
+   ``cell_size`` don't hold the points, a tree of balls takes the place of the
+   flat pivots (``ball_tree``), so cells keep their size.
 2. Per cell c: radius R_c (max distance of its points to the pivot) and
    D_c, the distance from the pivot to its (k+1)-th nearest point anywhere
    (per-partition top-(k+1) in ``mapInPandas``, merged by pivot). For every
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
+from .ball_tree import tree_knn
 from .common import complete_rows, join_small
 from .sampling import hash_uniform, sample_exact, stratum_positions
 
@@ -82,18 +85,24 @@ def knn_join(df: DataFrame, features: list[str], k: int = 5, key: str = "id", ce
     spark = df.sparkSession
     pts = complete_rows(df.select(F.col(key).alias("_q"), *[F.col(c).cast("double").alias(c) for c in features]), features)
     copies = pts.groupBy(*features).agg(F.count(F.lit(1)).alias("_m"))
-    tagged = join_small(pts, copies, features).persist()
+    tagged = materialize(pts.join(copies, features), "knn-points")  # written, not cached: nothing is left in memory
     dense = tagged.where(F.col("_m") > k).drop("_m")
     sparse = tagged.where(F.col("_m") <= k).drop("_m")
     top = _smallest_keys(dense, features, k + 1)
+    top = materialize(top, "knn-copies")
     others = F.slice(F.filter("_top", lambda x: x != F.col("_q")), 1, k)
-    dense_nn = join_small(dense, top, features).select("_q", F.posexplode(others).alias("_p", "_x")).select(
+    dense_nn = dense.join(top, features).select("_q", F.posexplode(others).alias("_p", "_x")).select(
         F.col("_q").alias(key), (F.col("_p") + 1).cast("int").alias("nn_rank"), F.col("_x").alias(f"nn_{key}"),
         F.lit(0.0).alias("dist"))
     reps = top.select(F.explode("_top").alias("_q"), *features)
-    cands = sparse.unionByName(reps).persist()
     if sparse.isEmpty():
         return dense_nn
+    cands = sparse.unionByName(reps)
+    if cands.count() > cell_size * max_pivots:
+        points = sparse.withColumn("_ask", F.lit(True)).unionByName(reps.withColumn("_ask", F.lit(False)))
+        near = tree_knn(points, features, k, cell_size, seed=seed)
+        return near.select(F.col("_q").alias(key), F.col("nn_rank").cast("int").alias("nn_rank"), F.col("_x").alias(f"nn_{key}"),
+                           F.sqrt("_d2").alias("dist")).unionByName(dense_nn)
     return _pivot_knn(spark, sparse, cands, features, k, key, cell_size, max_pivots, seed).unionByName(dense_nn)
 
 
@@ -101,9 +110,8 @@ def _pivot_knn(spark, queries: DataFrame, cands: DataFrame, features: list[str],
                cell_size: int, max_pivots: int, seed: int) -> DataFrame:
     """kNN of ``queries`` among ``cands`` (queries ⊆ cands) by pivot cells."""
     n = cands.count()
-    # pivots for cells of ``cell_size``, as far as their table (collected and
-    # broadcast) stays small: max_pivots, and beyond that the square root of n
-    n_piv = int(min(max(1, math.ceil(n / cell_size)), max(max_pivots, math.isqrt(n))))
+    # pivots for cells of ``cell_size``; their table is collected and broadcast
+    n_piv = min(max(1, math.ceil(n / cell_size)), max_pivots)
     piv = np.array([[r[c] for c in features] for r in sample_exact(cands, n_piv, seed, key="_q").collect()], dtype=float)
     piv_sq = (piv * piv).sum(axis=1)
     bc = spark.sparkContext.broadcast((piv, piv_sq))
@@ -135,7 +143,8 @@ def _pivot_knn(spark, queries: DataFrame, cands: DataFrame, features: list[str],
         yield pd.DataFrame(rows, columns=["cell", "d"])
 
     a = queries.withColumn("_a", assign(*[F.col(c) for c in features])) \
-               .select("_q", *features, F.col("_a.cell").alias("_cell"), F.col("_a.dp").alias("_dp")).persist()
+               .select("_q", *features, F.col("_a.cell").alias("_cell"), F.col("_a.dp").alias("_dp"))
+    a = materialize(a, "knn-cells")
     radius = a.groupBy("_cell").agg(F.max("_dp").alias("R"))
     # per pivot: ≤ (k+1) values from each partition, merged (bounded by the partition count)
     near = cands.select(*features).mapInPandas(topk, "cell int, d double") \

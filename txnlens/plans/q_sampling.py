@@ -56,13 +56,16 @@ def _minority(spark, sf):
     return t, t.where(F.col("Class") == 1)
 
 
-@register("minority_knn", "R4", with_views("""
+KNN_SQL = with_views("""
 WITH m AS (SELECT id, Amount, (Time / 3600.0) % 24.0 AS Hour FROM txn WHERE Class = 1),
 p AS (SELECT a.id, b.id AS nn_id,
              (a.Amount - b.Amount) * (a.Amount - b.Amount) + (a.Hour - b.Hour) * (a.Hour - b.Hour) AS d2
       FROM m a JOIN m b ON a.id <> b.id),
 r AS (SELECT id, nn_id, d2, row_number() OVER (PARTITION BY id ORDER BY d2, nn_id) AS nn_rank FROM p)
-SELECT id, CAST(nn_rank AS INTEGER) AS nn_rank, nn_id, round(sqrt(d2), 6) + 0.0 AS dist FROM r WHERE nn_rank <= 5"""))
+SELECT id, CAST(nn_rank AS INTEGER) AS nn_rank, nn_id, round(sqrt(d2), 6) + 0.0 AS dist FROM r WHERE nn_rank <= 5""")
+
+
+@register("minority_knn", "R4", KNN_SQL)
 def minority_knn(spark, sf):
     from ..functions.columns import rounded
     from ..operators.resample import knn_join
@@ -72,6 +75,17 @@ def minority_knn(spark, sf):
     return nn.select("id", "nn_rank", "nn_id", rounded("dist").alias("dist"))
 
 
+@register("minority_knn_tree", "R4", KNN_SQL)
+def minority_knn_tree(spark, sf):
+    """The same neighbours by the tree of balls (no more than 8 flat cells)."""
+    from ..functions.columns import rounded
+    from ..operators.resample import knn_join
+
+    _, m = _minority(spark, sf)
+    nn = knn_join(m, ["Amount", "Hour"], k=5, key="id", cell_size=32, max_pivots=8)
+    return nn.select("id", "nn_rank", "nn_id", rounded("dist").alias("dist"))
+
+
 @register("smote_balanced", "R4 U3", with_views(f"""
 WITH a AS (SELECT id, Class, Amount, (Time / 3600.0) % 24.0 AS Hour FROM txn), m AS (SELECT * FROM a WHERE Class = 1),
 p AS (SELECT x.id, y.id AS nn_id, y.Amount AS na, y.Hour AS nh, row_number() OVER (PARTITION BY x.id ORDER BY
