@@ -224,6 +224,24 @@ def amount_percentiles(spark, sf):
     return p.select(*[rounded(c).alias(c) for c in p.columns])
 
 
+@register("amount_sketch_ranks", "A7 N1", with_views(f"""
+WITH q AS (SELECT unnest([0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]) AS q)
+SELECT CAST(q AS DOUBLE) AS q, (SELECT count(Amount) FROM txn WHERE NOT isnan(Amount)) AS n, true AS within,
+       CASE WHEN q = 0 THEN {R('(SELECT min(Amount) FROM txn WHERE NOT isnan(Amount))')}
+            WHEN q = 1 THEN {R('(SELECT max(Amount) FROM txn WHERE NOT isnan(Amount))')} END AS exact_end FROM q"""))
+def amount_sketch_ranks(spark, sf):
+    """Percentiles from the merged sketches of each hour's rows, and whether
+    their ranks among all rows lie within the bound."""
+    from ..operators import sketches as sk
+
+    t = txn(spark, sf).withColumn("hour", F.floor(F.col("Time") / 3600.0))
+    parts = materialize(sk.sketches(t, ["Amount"], "hour"), "sketches")
+    values = sk.quantiles(parts, [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0])
+    e = sk.rank_errors(t, "Amount", values)
+    return e.select("q", "n", (F.col("error") <= sk.rank_bound()).alias("within"),
+                    F.when(F.col("q").isin(0.0, 1.0), rounded("value")).alias("exact_end"))
+
+
 # -- A10: per-row mean squared error of arrays ------------------------------------
 
 @register("vector_centroid_mse", "A10 A15", """
