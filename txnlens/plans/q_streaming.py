@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import hour_of_day, rounded
+from ..operators.common import attach_params
 from ..operators.features import engineer_features, feature_columns, fit_feature_scaler
 from ..operators.forest import fit_isolation_forest
 from ..schemas import EVENTS
@@ -17,7 +18,7 @@ from ..sources.files import is_folder
 from ..sources.rowstream import index_rows, row_stream, run_to_end
 from ..sources.tables import TXN_SQL, txn, txn_from_events
 from ..streaming.graph_tail import GraphTail, edges_sink, features_sink, flush
-from ..streaming.scoring import ScoringModels, read_monitoring, start_scoring, transaction_stream
+from ..streaming.scoring import ScoringModels, read_committed_monitoring, read_monitoring, start_scoring, transaction_stream
 from ..streaming.totals import read_totals, running_totals, start_totals
 from .catalog import R, register
 from .q_graph import _HOP
@@ -109,6 +110,21 @@ def stream_rule_alerts(spark, sf):
                 .withColumn("n_alerts", F.lit(alerts.count()).cast("long"))
 
 
+@register("stream_committed_alerts", "S6 S7 S8 X4 X5 A14", _rule_sql("""
+SELECT CAST(0 AS BIGINT) AS batch_id, n AS transactions_processed, d AS total_fraud_detected,
+       d AS n_alerts, d AS n_cases, round(amt, 4) + 0.0 AS cases_amount FROM s"""))
+def stream_committed_alerts(spark, sf):
+    """The rule stream through the sink of whole batches."""
+    root = scratch_path(spark, "committed-sink")
+    stream = txn_from_events(events_stream(spark, sf))
+    q = start_scoring(stream, None, root, f"{root}/_checkpoint", available_now=True, scorer=rule_scorer, commit=True)
+    q.awaitTermination()
+    alerts, stats, cases = read_committed_monitoring(spark, root)
+    one = cases.agg(F.count(F.lit(1)).alias("n_cases"), rounded(F.sum("Amount"), 4).alias("cases_amount"))
+    both = alerts.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_alerts"))
+    return attach_params(stats.join(both, "batch_id").select("batch_id", "transactions_processed", "total_fraud_detected", "n_alerts"), one)
+
+
 @register("stream_three_files", "S9 X1 X3 X5 S7 U2", _rule_sql(f"""
 , b AS (SELECT CAST(id % 3 AS BIGINT) AS batch_id, count(*) AS n, CAST(sum(CAST(Amount > {RULE_T} AS INTEGER)) AS BIGINT) AS d FROM txn GROUP BY 1)
 SELECT batch_id, n AS transactions_processed, d AS fraud_detected, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS total_processed,

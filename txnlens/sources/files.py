@@ -102,20 +102,26 @@ def write_batch_rows(df: DataFrame, root: str, table: str, batch_id: int) -> Non
     df.write.mode("overwrite").json(f"{root}/{table}/batch_id={int(batch_id)}")
 
 
+def alert_documents(cases: DataFrame, batch_id: int, epoch_seconds: float, chunk: int = DOCUMENT_CASES) -> DataFrame:
+    """Nested documents of a batch: one for every ``chunk`` of its cases at
+    most, so no row grows with the batch; none without cases."""
+    cases = cases.select(F.struct(F.col("Time").cast("double").alias("Time"), F.col("Amount").cast("double").alias("Amount"),
+                                  F.col("anomaly_score").cast("double").alias("anomaly_score")).alias("case"))
+    n = cases.count()
+    # by the count: about half a chunk a document, never dealt by one key
+    part = F.pmod(F.xxhash64("case", F.monotonically_increasing_id()), F.lit(max(1, -(-2 * n // chunk)) if n > chunk else 1))
+    doc = cases.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("fraud_count"), F.collect_list("case").alias("cases"))
+    return doc.select(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.lit(float(epoch_seconds)).alias("timestamp"), "fraud_count", "cases")
+
+
 def write_alert_document(cases: DataFrame, batch_id: int, root: str, epoch_seconds: float,
                          chunk: int = DOCUMENT_CASES) -> None:
-    """Nested JSON documents of the batch, overwritten on replay: one for
-    every ``chunk`` of its cases, so no row grows with the batch. A batch
+    """The documents of the batch as JSON, overwritten on replay. A batch
     without cases has none, also if an earlier run of it had some."""
     spark, path = cases.sparkSession, f"{root}/fraud_alerts_batch_{int(batch_id)}.json"
-    cases = cases.select(F.struct(F.col("Time").cast("double").alias("Time"), F.col("Amount").cast("double").alias("Amount"),
-                                  F.col("anomaly_score").cast("double").alias("anomaly_score")).alias("case")).persist()
-    n = cases.count()
-    if n:
-        # by the count: about half a chunk a document, never dealt by one key
-        part = F.pmod(F.xxhash64("case", F.monotonically_increasing_id()), F.lit(max(1, -(-2 * n // chunk)) if n > chunk else 1))
-        doc = cases.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("fraud_count"), F.collect_list("case").alias("cases"))
-        doc = doc.select(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.lit(float(epoch_seconds)).alias("timestamp"), "fraud_count", "cases")
+    cases = cases.persist()
+    if not cases.isEmpty():
+        doc = alert_documents(cases, batch_id, epoch_seconds, chunk)
         doc.write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)
     elif path_exists(spark, path):
         fs, p = _file_system(spark, path)

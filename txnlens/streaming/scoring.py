@@ -27,7 +27,10 @@ from ..operators.forest import IsolationForestModel, score_isolation_forest
 from ..operators.graph_model import graph_features, graph_scores
 from ..operators.monitor import with_running_totals
 from ..operators.reconstruct import ReconstructionModel, reconstruction_score
-from ..sources.files import read_alerts, read_batch_alerts, read_stats, write_alert_document, write_batch_rows
+from ..schemas import ALERTS, BATCH_ALERT_DOC, STATS
+from ..sources.commits import read_committed, write_batch
+from ..sources.files import (alert_documents, flatten_cases, read_alerts, read_batch_alerts, read_stats, write_alert_document,
+                             write_batch_rows)
 from .graph_tail import GraphTail
 
 
@@ -80,11 +83,13 @@ def serving_tail(models: ScoringModels, root: str) -> GraphTail:
     return GraphTail(f"{root}/_graph", list(models.forest.features), hops=3)
 
 
-def score_batch(models: ScoringModels | None, sink_root: str, scorer=None, tail: GraphTail | None = None):
+def score_batch(models: ScoringModels | None, sink_root: str, scorer=None, tail: GraphTail | None = None, commit: bool = False):
     """The ``foreachBatch`` callback. ``scorer`` (DataFrame → DataFrame with
     prediction, confidence, iso_score) replaces the model scorer when given,
     e.g. a fixed rule; the sinks are the same. With ``tail`` a batch writes
-    the rows that have become ready, and ``flush`` the last of them."""
+    the rows that have become ready, and ``flush`` the last of them. With
+    ``commit`` the three tables of a batch go through the sink of whole batches
+    (``commits``): a crash leaves all of the batch or nothing."""
     def process(batch_df: DataFrame, batch_id: int, last: bool = False) -> None:
         batch_df = batch_df.persist()
         try:
@@ -98,18 +103,21 @@ def score_batch(models: ScoringModels | None, sink_root: str, scorer=None, tail:
                 return
             ts = iso_timestamp(F.current_timestamp())
             alerts = scored.where(F.col("prediction") == 1)
-            write_batch_rows(alerts.select(ts.alias("timestamp"), defaulted_id(scored).alias("transaction_id"),
-                                           F.col("Amount").alias("amount"), F.col("prediction").cast("int"),
-                                           F.col("confidence").cast("double"), F.col("iso_score")),
-                             sink_root, "alerts", batch_id)
+            rows = alerts.select(ts.alias("timestamp"), defaulted_id(scored).alias("transaction_id"),
+                                 F.col("Amount").alias("amount"), F.col("prediction").cast("int"),
+                                 F.col("confidence").cast("double"), F.col("iso_score"))
             stats = scored.agg(F.count(F.lit(1)).alias("transactions_processed"),
                                F.sum(F.col("prediction").cast("long")).alias("fraud_detected"))
             # batch_id is the partition folder of the row, not a data column
             stats = stats.select(ts.alias("timestamp"),
                                  "transactions_processed", "fraud_detected",
                                  (F.col("fraud_detected") / F.col("transactions_processed")).alias("fraud_rate"))
-            write_batch_rows(stats, sink_root, "stats", batch_id)
-            write_alert_document(alerts, batch_id, sink_root, now)
+            if commit:
+                write_batch({"alerts": rows, "stats": stats, "documents": alert_documents(alerts, batch_id, now)}, sink_root, batch_id)
+            else:
+                write_batch_rows(rows, sink_root, "alerts", batch_id)
+                write_batch_rows(stats, sink_root, "stats", batch_id)
+                write_alert_document(alerts, batch_id, sink_root, now)
             scored.unpersist()
         finally:
             batch_df.unpersist()
@@ -118,10 +126,10 @@ def score_batch(models: ScoringModels | None, sink_root: str, scorer=None, tail:
 
 
 def start_scoring(stream: DataFrame, models: ScoringModels | None, sink_root: str, checkpoint: str,
-                  available_now: bool = True, processing_time: str | None = None, scorer=None, tail: GraphTail | None = None):
+                  available_now: bool = True, processing_time: str | None = None, scorer=None, tail: GraphTail | None = None, commit: bool = False):
     """Start the scorer; ``available_now`` processes what is there and stops
     (a ``row_stream`` is ended by ``run_to_end`` instead)."""
-    w = stream.writeStream.foreachBatch(score_batch(models, sink_root, scorer, tail)) \
+    w = stream.writeStream.foreachBatch(score_batch(models, sink_root, scorer, tail, commit)) \
               .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()
@@ -135,3 +143,10 @@ def read_monitoring(spark: SparkSession, root: str) -> tuple[DataFrame, DataFram
     if "batch_id" in base.columns:
         base = base.withColumn("batch_id", F.col("batch_id").cast("long"))
     return alerts, with_running_totals(base), read_batch_alerts(spark, root)
+
+
+def read_committed_monitoring(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tables of ``read_monitoring``, of the committed batches alone."""
+    stats = read_committed(spark, root, "stats", STATS).drop("total_processed", "total_fraud_detected")
+    cases = flatten_cases(read_committed(spark, root, "documents", BATCH_ALERT_DOC))
+    return read_committed(spark, root, "alerts", ALERTS), with_running_totals(stats), cases
