@@ -97,6 +97,21 @@ def head_rows(df: DataFrame, n: int, order_by=("Time", "id")) -> DataFrame:
 
 
 def page(df: DataFrame, start: int, size: int, order_by=("Time", "id")) -> DataFrame:
-    """Skip ``start`` rows then take ``size`` (offset before limit)."""
-    out = with_position(df, list(order_by), "_page_pos")
-    return out.where((F.col("_page_pos") >= start) & (F.col("_page_pos") < start + size)).drop("_page_pos")
+    """Skip ``start`` rows then take ``size`` (offset before limit). Only the
+    order columns are positioned; they give the page's first and last key,
+    and the wide rows between them are read by a filter and sorted, without a
+    shuffle of the table. Rows of one key stand in any order."""
+    cols = _order_cols(order_by)
+    keys = [f"_k{i}" for i in range(len(cols))]
+    narrow = df.select(*[c.alias(k) for c, k in zip(cols, keys)])
+    at = materialize(with_position(narrow, keys, "_page_pos"), "page-keys")
+    ends = {r["_page_pos"]: r["_key"] for r in at.where(F.col("_page_pos").between(start, start + size - 1)).groupBy().agg(
+        F.min(F.struct("_page_pos", F.struct(*keys).alias("_key"))).alias("lo"), F.max(F.struct("_page_pos", F.struct(*keys).alias("_key"))).alias("hi"))
+        .select(F.explode(F.array("lo", "hi")).alias("_e")).select("_e.*").where("_page_pos IS NOT NULL").collect()}  # two rows at most
+    if not ends:
+        return df.limit(0)
+    kinds = narrow.schema
+    first, last = (F.struct(*[F.lit(key[k]).cast(kinds[k].dataType).alias(k) for k in keys]) for key in (ends[min(ends)], ends[max(ends)]))
+    before = at.where(F.struct(*keys) < first).count()  # the rows of smaller keys; the others tie with the page's first
+    own = F.struct(*[c.alias(k) for c, k in zip(cols, keys)])
+    return df.where((own >= first) & (own <= last)).orderBy(*cols).offset(start - before).limit(size)
