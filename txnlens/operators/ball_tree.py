@@ -14,8 +14,9 @@ neighbours of a point q of a leaf lie within theta of q, the least of
 
 A candidate x descends from the root and enters a child only if
 d(x, centre) <= R + the largest theta below it (triangle inequality), so each
-leaf meets all candidates its points may need, and few others. The work grows
-as n log n while the leaves stay of one size; a leaf's own points number
+leaf meets all candidates its points may need, and few others. A leaf keeps its
+size, so the work a point grows with the levels and not with the square root of the
+number of points (measured in README); a leaf's own points number
 ``cell_size`` at most. Nothing is collected to the driver: a level's centres are a
 written table, which Spark broadcasts below its own threshold and joins by
 node above it, when no node holds much of the data any more.
