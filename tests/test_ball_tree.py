@@ -55,3 +55,32 @@ def test_work_grows_less_than_n_sqrt_n(spark):
         share.append(work["distances"] / (n * math.log2(n)))
     flat = math.sqrt(16) / (math.log2(8000) / math.log2(500))  # growth of n sqrt n, 2.77
     assert share[2] < 0.75 * flat * share[0], share
+
+
+def test_few_cells_a_point_by_small_cells(spark):
+    """Nodes just above a cell's size were split into cells of single points, whose candidates came from everywhere."""
+    pts = spark.range(6000).select(F.col("id").alias("_q"), F.rand(1).alias("a"), F.rand(2).alias("b"), F.lit(True).alias("_ask"))
+    work = {}
+    assert tree_knn(pts, ["a", "b"], 5, cell_size=32, fanout=32, work=work).count() == 5 * 6000
+    assert work["distances"] < 6000 * 2000, work
+
+
+def test_cells_equal_brute_force_with_repeated_and_null_keys(spark):
+    from txnlens.operators.cell_knn import nearest_in_cells
+
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 6, (300, 2)).astype(float)
+    key = [None if i % 41 == 0 else i // 2 for i in range(300)]
+    rows = [(0, key[i], float(x[i, 0]), float(x[i, 1])) for i in range(300)]
+    df = spark.createDataFrame(rows, "cell int, k long, a double, b double").repartition(7)
+    asked = df.select("cell", F.col("k").alias("_q"), F.lit(2.0).alias("theta"), "a", "b")
+    got = {}
+    for r in nearest_in_cells(asked, df.select("cell", F.col("k").alias("_x"), "a", "b"), ["a", "b"], 4).collect():
+        got.setdefault(r["_q"], []).append((r["nn_rank"], r["_d2"], r["_x"]))
+    want = {}
+    for i in range(300):
+        for j in range(300):
+            d2 = float(((x[i] - x[j]) ** 2).sum())
+            if key[i] is not None and key[j] is not None and key[i] != key[j] and math.sqrt(d2) <= 2.0:
+                want.setdefault(key[i], []).append((d2, key[j]))
+    assert {q: sorted(v) for q, v in got.items()} == {q: [(r + 1, *p) for r, p in enumerate(sorted(v)[:4])] for q, v in want.items()}

@@ -1,9 +1,9 @@
 """Exact k nearest neighbours over a tree of pivot balls.
 
 The tree is built level by level. A node with more than ``cell_size`` points
-takes about 1.5·``fanout`` of them as the centres of its children (a hash sample by
-the node's own count, and its point of least hash), and every point goes to
-the nearest of them. A level is one join of the points with a row a node and a few
+takes up to about 1.5·``fanout`` of them as the centres of its children (a hash
+sample by the node's own count, about two for each ``cell_size`` points, and its
+points of least and largest hash), and every point goes to the nearest of them. A level is one join of the points with a row a node and a few
 aggregates, so no node's points are gathered; distances are array expressions.
 
 A node's radius R is the largest distance of its points to its centre. All k
@@ -29,13 +29,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import default_parallelism, materialize
+from .cell_knn import SLACK, nearest_in_cells
 
 ROOT = "0"
-SLACK = 1e-7
 
 
 def _distance(features: list[str], c) -> Column:
@@ -45,17 +45,26 @@ def _distance(features: list[str], c) -> Column:
     return F.sqrt(d2)
 
 
+def _dealt(points: DataFrame) -> DataFrame:
+    """Spread over all tasks: a few small files hold work for many of them."""
+    return points.repartition(default_parallelism(points.sparkSession), "_q")
+
+
 def _uniform(seed: int, level: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.col("_q")), F.lit(2 ** 30)) / F.lit(2.0 ** 30)
 
 
-def _centres(points: DataFrame, features: list[str], fanout: int, seed: int, level: int) -> DataFrame:
+def _centres(points: DataFrame, features: list[str], fanout: int, seed: int, level: int, cell_size: int) -> DataFrame:
     """(node, kids): the centres of the children of each node of ``points``
-    (with ``n``, the node's count), named by the node's name and a number."""
+    (with ``n``, the node's count), named by the node's name and a number.
+    A node just above ``cell_size`` gets a few: children of k points or fewer have
+    no bound of their own, and their parent's radius sends them far candidates."""
     at, u = F.struct(*features), _uniform(seed, level)
+    share = F.least(F.lit(1.5 * fanout) / F.col("n"), F.lit(2.0 / cell_size))
     some = points.withColumn("_u", u).groupBy("node").agg(
-        F.collect_set(F.when(F.col("_u") < F.lit(1.5 * fanout) / F.col("n"), at)).alias("some"), F.min(F.struct("_u", *features)).alias("one"))
-    every = F.array_distinct(F.concat("some", F.array(F.struct(*[F.col(f"one.{f}").alias(f) for f in features]))))
+        F.collect_set(F.when(F.col("_u") < share, at)).alias("some"), F.min(F.struct("_u", *features)).alias("one"), F.max(F.struct("_u", *features)).alias("last"))
+    ends = [F.struct(*[F.col(f"{e}.{f}").alias(f) for f in features]) for e in ("one", "last")]
+    every = F.array_distinct(F.concat("some", F.array(*ends)))
     named = F.transform(F.array_sort(every), lambda c, i: F.struct(F.concat(F.col("node"), F.lit("."), i.cast("string")).alias("child"),
                                                                    *[c[f].alias(f) for f in features]))
     return some.select("node", named.alias("kids"))
@@ -78,10 +87,10 @@ def build(points: DataFrame, features: list[str], k: int, cell_size: int, fanout
         if large.isEmpty():
             return leaves, levels, nodes
         rest = now.join(large, "node")
-        kids = materialize(_centres(rest, features, fanout, seed, level), "ball-centres")
+        kids = materialize(_centres(rest, features, fanout, seed, level, cell_size), "ball-centres")
         levels.append(kids)
         best = F.array_min(F.transform("kids", lambda c: F.struct(_distance(features, c).alias("dp"), c["child"].alias("child"))))
-        now = rest.join(kids, "node").withColumn("_b", best)
+        now = _dealt(rest).join(kids, "node").withColumn("_b", best)
         now = materialize(now.select(*points.columns, F.col("_b.child").alias("node"), F.col("node").alias("parent"), F.col("_b.dp").alias("dp")), "ball-points")
         level += 1
 
@@ -127,31 +136,28 @@ def tree_knn(points: DataFrame, features: list[str], k: int, cell_size: int = 10
     ends = [] if levels else [front]
     probes = 0
     for kids, reach in zip(levels, reaches[1:]):
-        limits = reach.groupBy("parent").agg(F.map_from_entries(F.collect_list(F.struct("node", F.struct("leaf", "reach")))).alias("limits"))
-        kids = materialize(kids.join(limits.withColumnRenamed("parent", "node"), "node"), "ball-kids")
-        hit = front.join(kids, "node")
-        near = F.filter("kids", lambda c: _within(_distance(features, c), F.col("limits")[c["child"]]["reach"]))
-        went = materialize(hit.select("_q", *features, F.explode(F.transform(near, lambda c: c["child"])).alias("node"), "limits")
-                           .select("_q", *features, "node", F.col("limits")[F.col("node")]["leaf"].alias("leaf")), "ball-front")
+        each = kids.select("node", F.explode("kids").alias("c")).select("node", "c.*")
+        limits = reach.select(F.col("node").alias("child"), "leaf", "reach")
+        # a centre without points is left out
+        kids = materialize(each.join(limits, "child").groupBy("node").agg(F.collect_list(F.struct("child", "leaf", "reach", *features)).alias("kids")), "ball-kids")
+        hit = _dealt(front).join(kids, "node")
+        near = F.filter("kids", lambda c: _within(_distance(features, c), c["reach"]))
+        went = materialize(hit.select("_q", *features, F.explode(near).alias("c"))
+                           .select("_q", *features, F.col("c.child").alias("node"), F.col("c.leaf").alias("leaf")), "ball-front")
         if work is not None:
             probes += hit.agg(F.sum(F.size("kids"))).first()[0] or 0
         ends.append(went.where("leaf").drop("leaf"))
         front = went.where(~F.col("leaf")).drop("leaf")
     asked = None
     for p in leaves:
-        p = p.where("_ask").select("node", "_q", *[F.col(f).alias(f"_q_{f}") for f in features])
+        p = p.where("_ask").select("node", "_q", *features)
         asked = p if asked is None else asked.unionByName(p)
     met = None
     for e in ends:
-        e = e.select("node", F.col("_q").alias("_x"), *[F.col(f).alias(f"_x_{f}") for f in features])
+        e = e.select(F.col("node").alias("cell"), F.col("_q").alias("_x"), *features)
         met = e if met is None else met.unionByName(e)
-    d2 = F.lit(0.0)
-    for f in features:
-        d2 = d2 + (F.col(f"_q_{f}") - F.col(f"_x_{f}")) * (F.col(f"_q_{f}") - F.col(f"_x_{f}"))
-    pairs = asked.join(thetas, "node").join(met, "node")
+    asked = asked.join(thetas, "node").withColumnRenamed("node", "cell")
     if work is not None:
-        work["distances"] = probes + pairs.count()
+        work["distances"] = probes + asked.select("cell").join(met.select("cell"), "cell").count()
         work["levels"] = len(levels)
-    pairs = pairs.where(F.col("_q") != F.col("_x")).withColumn("_d2", d2).where(_within(F.sqrt("_d2"), F.col("theta")))
-    w = Window.partitionBy("_q").orderBy("_d2", "_x")  # a leaf's candidates at most
-    return pairs.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k).select("_q", "_x", "_d2", "nn_rank")
+    return nearest_in_cells(asked, met, features, k)

@@ -15,9 +15,9 @@ pruning, after Lu et al., VLDB 2012):
    q in c, its k-th neighbour is within θ_c = R_c + D_c.
 3. A point x can be a neighbour of some q in c only if
    d(x, p_c) ≤ R_c + θ_c, so x is sent to exactly those cells.
-4. Per cell, queries meet their candidates in an equi-join on the cell;
-   pairs beyond θ_c are dropped and the k nearest per query (ties → lower
-   key) are kept. The pruning is exact, never a cap.
+4. Per cell, the candidates stream past the queries (``cell_knn``); pairs
+   beyond θ_c are dropped and the k nearest per query (ties → lower key)
+   are kept. The pruning is exact, never a cap.
 
 Pivots are sampled from the data, so dense regions get proportionally more
 pivots and cells stay balanced. Groups of more than k identical points are
@@ -31,16 +31,16 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
 from .ball_tree import tree_knn
+from .cell_knn import SLACK, nearest_in_cells
 from .common import complete_rows, join_small
 from .sampling import hash_uniform, sample_exact, stratum_positions
 
-_SLACK = 1e-7
 REPLICA_CHUNK = 1024
 
 
@@ -169,21 +169,14 @@ def _pivot_knn(spark, queries: DataFrame, cands: DataFrame, features: list[str],
         out = []
         for s in range(0, len(X), 2048):
             D = _pivot_distances(X[s:s + 2048], p, ps)
-            ok = D <= rc[None, :] * (1 + _SLACK) + _SLACK
+            ok = D <= rc[None, :] * (1 + SLACK) + SLACK
             out.extend(np.flatnonzero(r).astype(np.int32).tolist() for r in ok)
         return pd.Series(out)
 
     th = spark.createDataFrame(pd.DataFrame({"_cell": np.arange(len(piv), dtype=np.int32), "_theta": theta}))
-    qry = a.select("_q", "_cell", *[F.col(c).alias(f"_q_{c}") for c in features])
-    cand = cands.select(F.col("_q").alias("_x"), *[F.col(c).alias(f"_x_{c}") for c in features],
-                        F.explode(targets(*[F.col(c) for c in features])).alias("_cell"))
-    d2 = sum(((F.col(f"_q_{c}") - F.col(f"_x_{c}")) * (F.col(f"_q_{c}") - F.col(f"_x_{c}")) for c in features),
-             F.lit(0.0))
-    pairs = qry.join(cand, "_cell").where(F.col("_q") != F.col("_x")).withColumn("_d2", d2) \
-               .join(F.broadcast(th), "_cell") \
-               .where(F.sqrt("_d2") <= F.col("_theta") * (1 + _SLACK) + _SLACK)
-    w = Window.partitionBy("_q").orderBy("_d2", "_x")
-    top = pairs.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    asked = a.select(F.col("_cell").alias("cell"), "_q", *features).join(F.broadcast(th.withColumnsRenamed({"_cell": "cell", "_theta": "theta"})), "cell")
+    met = cands.select(F.col("_q").alias("_x"), *features, F.explode(targets(*[F.col(c) for c in features])).alias("cell"))
+    top = nearest_in_cells(asked, met, features, k)
     return top.select(F.col("_q").alias(key), F.col("nn_rank").cast("int").alias("nn_rank"),
                       F.col("_x").alias(f"nn_{key}"), F.sqrt("_d2").alias("dist"))
 
