@@ -10,6 +10,7 @@ from ..operators import graph, position
 from ..sources.tables import txn, txn_ml, with_views
 from .catalog import R, register
 
+BAND = graph.SIMILARITY_DEFAULTS["band"]
 EDGES_SQL = """pos AS (SELECT id, Time, Amount, ((Time / 3600.0) % 24.0) AS Hour,
                       row_number() OVER (ORDER BY Time, id) - 1 AS i FROM txn),
 fwd AS (SELECT a.id AS src, b.id AS dst FROM pos a JOIN pos b
@@ -50,8 +51,8 @@ h AS (SELECT s.dst AS id, sum(p.Amount / sqrt(dg.d)) / sqrt(dd.d) AS Amount_h,
 
 def _propagated(spark, sf):
     t = txn(spark, sf).withColumn("Hour", hour_of_day("Time"))
-    nodes, edges = graph.similarity_graph(t, ["Amount", "Hour"])
-    h = graph.propagate(nodes, edges, ["Amount", "Hour"], hops=1)
+    nodes, edges = graph.similarity_graph(t, ["Amount", "Hour"], places=True)
+    h = graph.propagate(nodes, edges, ["Amount", "Hour"], hops=1, band=BAND)
     return t, h.select("id", F.col("Amount").alias("Amount_h"), F.col("Hour").alias("Hour_h"))
 
 
@@ -71,8 +72,8 @@ _HOP = """h{i} AS (SELECT s.dst AS id, sum(p.Amount / sqrt(dg.d)) / sqrt(any_val
 SELECT id, {R('Amount', 5)} AS Amount_h, {R('Hour', 5)} AS Hour_h FROM h3"""))
 def graph_propagation_3hops(spark, sf):
     t = txn(spark, sf).withColumn("Hour", hour_of_day("Time"))
-    nodes, edges = graph.similarity_graph(t, ["Amount", "Hour"])
-    h = graph.propagate(nodes, edges, ["Amount", "Hour"], hops=3)
+    nodes, edges = graph.similarity_graph(t, ["Amount", "Hour"], places=True)
+    h = graph.propagate(nodes, edges, ["Amount", "Hour"], hops=3, band=BAND)
     return h.select("id", rounded("Amount", 5).alias("Amount_h"), rounded("Hour", 5).alias("Hour_h"))
 
 
