@@ -179,7 +179,7 @@ def stream_keyed_totals(spark, sf):
     root = scratch_path(spark, "keyed-totals")
     rows = rule_scorer(row_stream(spark, index_rows(txn(spark, sf)), TOTALS_ADMITTED))
     totals = running_totals(rows.withColumn("batch_id", F.floor(F.col("pos") / F.lit(TOTALS_ROWS))))
-    run_to_end(start_totals(totals, f"{root}/out", f"{root}/_checkpoint"))
+    run_to_end(start_totals(totals, f"{root}/out", f"{root}/_checkpoint", partitions=1))  # totals of one key
     return read_totals(spark, f"{root}/out").drop("key")
 
 

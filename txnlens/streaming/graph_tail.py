@@ -30,6 +30,7 @@ from ..operators.position import with_position
 from ..session import materialize
 from ..sources.files import names_like, path_exists
 
+PLACED_ROWS = 1 << 17  # of a window, in one task of its sort
 READY = "_given"  # state column: the row has been given out
 
 
@@ -64,7 +65,11 @@ class GraphTail:
         before = self._path(batch_id - 1)
         if batch_id > 0 and path_exists(spark, before):
             new = spark.read.parquet(before).withColumn("_new", F.lit(False)).unionByName(new)
-        return with_position(new, [*self.order_by], "_i")
+        new = new.persist()
+        try:  # tasks by the rows of the window, most of them a few thousand
+            return with_position(new, [*self.order_by], "_i", -(-max(new.count(), 1) // PLACED_ROWS))
+        finally:
+            new.unpersist()
 
     def _pairs(self, window: DataFrame) -> DataFrame:
         return banded_pairs(window, self.key, self.time_col, self.amount_col, self.band, self.time_window, self.amount_window)
@@ -89,8 +94,8 @@ class GraphTail:
         window = self._window(batch, batch_id)
         n, given = window.agg(F.count(F.lit(1)), F.count(F.when(F.col(READY), 1))).first()
         ready = n if last else max(n - self.reach, given)
-        edges = symmetric_edges(materialize(self._pairs(window).select("src", "dst"), "tail-edges"), window, self.key)
-        h = propagate(window, edges, self.features, hops=self.hops, key=self.key)
+        edges = symmetric_edges(materialize(self._pairs(window), "tail-edges"), window, self.key, places=True)
+        h = propagate(window, edges, self.features, hops=self.hops, key=self.key, band=self.band)
         if not last:
             self._keep(window, batch_id, n, ready)
         rows = window.where((F.col("_i") >= given) & (F.col("_i") < ready)).drop(READY, "_i", "_new")
