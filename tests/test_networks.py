@@ -96,6 +96,22 @@ def test_graph_without_labels_or_rows(spark, nodes):
     assert np.isnan(net.auc) and np.isnan(gn.binned_auc(np.array([1.0]), np.array([0.0])))
 
 
+def test_epochs_take_the_first_product_and_one_forward_pass(spark, nodes, monkeypatch):
+    """Blocks with Â x written give the sums of blocks with x, and an epoch
+    runs each block once, validation included."""
+    net = network(6)
+    blocks = gn.graph_blocks(nodes, net, "Class", "split", block=150)
+    given = gn.with_first(blocks, net)
+    assert "x" not in given.columns
+    a, b = (gn.epoch_sums(x, net, net.flat, 0.3, 5) for x in (blocks, given))
+    assert np.allclose(a[0], b[0], atol=1e-12) and np.isclose(a[1], b[1]) and a[2] == b[2]
+    passed, own = [], gn._forward
+    monkeypatch.setattr(gn, "_forward", lambda *x: passed.append(1) or own(*x))
+    monkeypatch.setattr(gn, "summed", lambda rows, sums, size: sums(rows.toPandas()))
+    gn.epoch_sums(given, net, net.flat, 0.3, 5)
+    assert len(passed) == given.count()
+
+
 # ---- autoencoder
 
 @pytest.fixture(scope="module")
