@@ -104,3 +104,18 @@ def test_knn_with_hot_duplicates_matches_brute_force(spark):
         want = sorted((d[j], j) for j in range(len(pts)) if j != i)[:5]
         assert [got[(i, r)][0] for r in range(1, 6)] == [j for _, j in want], i
         assert np.allclose([got[(i, r)][1] for r in range(1, 6)], [np.sqrt(v) for v, _ in want])
+
+
+def test_forest_scores_each_row_once_and_as_fitted(spark, monkeypatch):
+    """``fit_and_score`` is a fit on the training rows and a scoring of all,
+    with one run of the scorer over the table."""
+    from txnlens.operators import forest
+
+    df = spark.range(400).select("id", F.randn(1).alias("a"), F.when(F.col("id") % 9 == 0, None).otherwise(F.randn(2)).alias("b"),
+                                 (F.col("id") % 5 > 0).alias("own")).cache()
+    how = dict(n_trees=12, max_samples=64, seed=3)
+    want = forest.score_isolation_forest(df, forest.fit_isolation_forest(df.where("own"), ["a", "b"], **how))
+    runs, scored = [], forest.score_samples
+    monkeypatch.setattr(forest, "score_samples", lambda *x: runs.append(1) or scored(*x))
+    got = forest.fit_and_score(df, F.col("own"), ["a", "b"], ["id"], **how)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("id", "iso_score", "iso_pred").collect())) and len(runs) == 1

@@ -7,8 +7,9 @@ trees are grown in parallel with ``groupBy("tree").applyInPandas`` (each group
 is about 1.5·psi rows, whatever n is). The forest is at most
 trees·(2·psi − 1) nodes, a proven bound, so it is broadcast to the scorer.
 
-Score: an Arrow-batched pandas UDF walks all trees for a whole batch at
-once (vectorised over rows). score = −2^(−E[h(x)]/c(psi)); the offset is
+Score: an Arrow-batched pandas UDF walks each tree for a slice of a batch at
+once (vectorised over rows; the trees are laid out as complete ones, so a
+step is an index calculation without a test for leaves). score = −2^(−E[h(x)]/c(psi)); the offset is
 the exact ``contamination`` percentile of the training scores;
 decision = score − offset; outlier (prediction 1) when decision < 0.
 """
@@ -21,10 +22,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .quantiles import exact_quantiles
 
 EULER_GAMMA = 0.5772156649015329
@@ -130,22 +132,26 @@ def tree_samples(df: DataFrame, n: int, n_trees: int, psi: int, seed: int, key:
     return drawn.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi).drop("_r")
 
 
-def fit_isolation_forest(df: DataFrame, features: list[str], n_trees: int = 100, max_samples: int = 256,
-                         contamination: float = 0.1, seed: int = 42, key: str = "id") -> IsolationForestModel:
-    # read for the count, the tree samples and the offset scores: persisted
-    data = df.select(key, *[F.col(c).cast("double").alias(c) for c in features]).persist(StorageLevel.MEMORY_AND_DISK)
+def _grown(data: DataFrame, features: list[str], n_trees: int, max_samples: int, contamination: float, seed: int, key: str) -> IsolationForestModel:
+    """The trees; the offset is still 0."""
     n = data.count()
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     samples = tree_samples(data, n, n_trees, psi, seed, key)
     # explicit partitioning by tree: the small sample is not coalesced into
     # one task, so the trees grow in parallel; groupBy reuses it
-    par = max(1, min(n_trees, df.sparkSession.sparkContext.defaultParallelism * 2))
+    par = max(1, min(n_trees, data.sparkSession.sparkContext.defaultParallelism * 2))
     nodes = samples.repartition(par, "tree").groupBy("tree").applyInPandas(
         _tree_builder(features, max_depth, seed), NODE_SCHEMA)
     # forest size ≤ n_trees · (2·psi − 1) rows: a proven bound for the driver
-    pdf = nodes.toPandas()
-    model = IsolationForestModel(features, pdf, psi, n_trees, 0.0, contamination)
+    return IsolationForestModel(features, nodes.toPandas(), psi, n_trees, 0.0, contamination)
+
+
+def fit_isolation_forest(df: DataFrame, features: list[str], n_trees: int = 100, max_samples: int = 256,
+                         contamination: float = 0.1, seed: int = 42, key: str = "id") -> IsolationForestModel:
+    # read for the count, the tree samples and the offset scores: persisted
+    data = df.select(key, *[F.col(c).cast("double").alias(c) for c in features]).persist(StorageLevel.MEMORY_AND_DISK)
+    model = _grown(data, features, n_trees, max_samples, contamination, seed, key)
     scored = score_samples(data, model, "_s").select("_s").cache()
     model.offset = float(exact_quantiles(scored, "_s", [contamination])[0])
     scored.unpersist()
@@ -153,28 +159,60 @@ def fit_isolation_forest(df: DataFrame, features: list[str], n_trees: int = 100,
     return model
 
 
+def fit_and_score(df: DataFrame, train: Column, features: list[str], keep: list[str], score: str = "iso_score", pred: str = "iso_pred",
+                  n_trees: int = 100, max_samples: int = 256, contamination: float = 0.1, seed: int = 42, key: str = "id") -> DataFrame:
+    """The ``keep`` columns, decision value and outlier flag of every row by
+    a forest fitted on the ``train`` rows. Each row is scored once: the scores
+    are written, and the offset is taken from those of the training rows."""
+    own = df.where(train).select(key, *[F.col(c).cast("double").alias(c) for c in features])
+    model = _grown(own, features, n_trees, max_samples, contamination, seed, key)
+    marked = df.withColumn("_train", train)
+    raw = materialize(score_samples(marked, model, "_iso_raw").select(*keep, "_train", "_iso_raw"), "forest-scores")
+    model.offset = float(exact_quantiles(raw.where("_train"), "_iso_raw", [contamination])[0])
+    return _decided(raw, model, score, pred).drop("_train")
+
+
+SLICE = 2048  # rows that walk a tree together
+
+
+def _complete(a: dict) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """(steps, features, thresholds, leaf lengths) of the trees as complete
+    ones, a row each: children of i are 2 i + 1 and 2 i + 2; below a leaf all
+    thresholds are infinite and the leaf's length is at the left end."""
+    steps, n = int(a["depth"].max()), a["n_used"]
+    feature, threshold = np.zeros((n, 2 ** steps - 1), np.int64), np.full((n, 2 ** steps - 1), np.inf)
+    length = np.zeros((n, 2 ** steps))
+    for t in range(n):
+        todo = [(0, 0, 0)]  # node, place, depth
+        while todo:
+            node, at, depth = todo.pop()
+            if a["feature"][t, node] < 0:
+                length[t, ((at + 1) << (steps - depth)) - 2 ** steps] = a["leaf_len"][t, node]
+            else:
+                feature[t, at], threshold[t, at] = a["feature"][t, node], a["threshold"][t, node]
+                todo += [(a["left"][t, node], 2 * at + 1, depth + 1), (a["right"][t, node], 2 * at + 2, depth + 1)]
+    return steps, feature, threshold, length
+
+
 def _scorer(spark: SparkSession, model: IsolationForestModel):
-    bc = spark.sparkContext.broadcast(model.arrays())
+    arrays = model.arrays()
+    bc = spark.sparkContext.broadcast((*_complete(arrays), arrays["c_psi"]))
 
     @F.pandas_udf(T.DoubleType())
     def score(*cols: pd.Series) -> pd.Series:
-        a = bc.value
-        X = np.nan_to_num(np.column_stack([c.to_numpy(dtype=float) for c in cols]), nan=0.0)
-        rows = np.arange(len(X))
-        total = np.zeros(len(X))
-        for t in range(a["n_used"]):
-            feat, thr, left, right = a["feature"][t], a["threshold"][t], a["left"][t], a["right"][t]
-            node = np.zeros(len(X), dtype=np.int64)
-            while True:
-                f = feat[node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                go_left = X[rows, np.where(inner, f, 0)] < thr[node]
-                node = np.where(inner, np.where(go_left, left[node], right[node]), node)
-            total += a["leaf_len"][t][node]
-        mean = total / max(a["n_used"], 1)
-        return pd.Series(-np.power(2.0, -mean / a["c_psi"]) if a["c_psi"] > 0 else -np.ones(len(X)))
+        steps, feature, threshold, length, c_psi = bc.value
+        total = np.zeros(len(cols[0]))
+        for lo in range(0, len(total), SLICE):
+            x = np.stack([c.iloc[lo:lo + SLICE].to_numpy(dtype=float) for c in cols])
+            flat, n = np.nan_to_num(x, nan=0.0).ravel(), x.shape[1]
+            rows = np.arange(n)
+            for t in range(len(feature)):
+                place, cut, node = feature[t] * n, threshold[t], np.zeros(n, np.int64)
+                for _ in range(steps):
+                    node = 2 * node + 1 + (flat.take(place.take(node) + rows) >= cut.take(node))
+                total[lo:lo + SLICE] += length[t].take(node - (2 ** steps - 1))
+        mean = total / max(len(feature), 1)
+        return pd.Series(-np.power(2.0, -mean / c_psi) if c_psi > 0 else -np.ones(len(total)))
 
     return score
 
@@ -188,7 +226,10 @@ def score_samples(df: DataFrame, model: IsolationForestModel, name: str = "iso_r
 def score_isolation_forest(df: DataFrame, model: IsolationForestModel, score: str = "iso_score",
                            pred: str = "iso_pred") -> DataFrame:
     """Adds the decision value (score − offset) and the outlier flag."""
-    s = score_samples(df, model, "_iso_raw")
+    return _decided(score_samples(df, model, "_iso_raw"), model, score, pred)
+
+
+def _decided(s: DataFrame, model: IsolationForestModel, score: str, pred: str) -> DataFrame:
     s = s.withColumn(score, F.col("_iso_raw") - F.lit(model.offset)).drop("_iso_raw")
     return s.withColumn(pred, (F.col(score) < 0).cast("int"))
 

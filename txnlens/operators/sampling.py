@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,10 +121,14 @@ def grouped_split(df: DataFrame, group: str, test_frac: float = 0.2, label: str
     stratum's groups are 'test' with all their rows. The label must be the
     same in all rows of a group."""
     names = [group, *([label] if label else [])]
-    groups = df.select(*names).distinct()
-    if label and groups.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
-        raise ValueError(f"{label} differs inside a {group}: split with label=None")
-    return _apply_cuts(df, hash_cuts(groups, label, test_frac, seed, group), label, seed, group, col)
+    groups = df.select(*names).distinct().persist(StorageLevel.MEMORY_AND_DISK)  # read by each pass of the cuts
+    try:
+        if label and groups.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+            raise ValueError(f"{label} differs inside a {group}: split with label=None")
+        cuts = hash_cuts(groups, label, test_frac, seed, group)
+    finally:
+        groups.unpersist()
+    return _apply_cuts(df, cuts, label, seed, group, col)
 
 
 def random_split(df: DataFrame, test_frac: float = 0.2, seed: int = 42, key: str = "id",

@@ -11,7 +11,7 @@ from ..functions.columns import hour_of_day, rounded
 from ..operators import autoencoder, ensemble, forest, graph_model, graph_network, metrics, reconstruct, sampling, tuning
 from ..operators.features import engineer_features, feature_columns, fit_feature_scaler
 from ..session import default_parallelism
-from ..sources.tables import ORACLE_WIDTH, txn, txn_ml, with_views
+from ..sources.tables import ORACLE_WIDTH, txn, txn_ml, txn_ml_kept, with_views
 from .catalog import REGISTRY, R, register
 from .q_graph import _sql as _graph_sql
 from .q_scores import _auc_sql, scores
@@ -20,21 +20,22 @@ from .q_scores import _sql as _scores_sql
 
 def features_with_split(spark, sf):
     """The working set of a training job: vectors are split as groups, the
-    scaler is fitted on the training part; spread over the tasks once, since
-    the models that read it are CPU-bound, and kept while they do."""
-    t = sampling.grouped_split(txn_ml(spark, sf), "vec_id", 0.2, "Class", seed=42)
+    scaler is fitted on the training part. The models that read it are
+    CPU-bound, so it is spread over the tasks once: as narrow events, to which
+    every reader joins the vectors, or as wide rows if these aren't broadcast."""
+    t, narrow = txn_ml_kept(spark, sf)
+    t = sampling.grouped_split(t, "vec_id", 0.2, "Class", seed=42)
     scaler = fit_feature_scaler(t.where(F.col("split") == "train"))
     f = engineer_features(t, scaler, keep=["id", "vec_id", "Time", "Amount", "Class", "split"])
-    s = f.repartition(default_parallelism(spark)).persist(StorageLevel.MEMORY_AND_DISK)
+    s = f if narrow else f.repartition(default_parallelism(spark)).persist(StorageLevel.MEMORY_AND_DISK)
     return s, feature_columns(f)
 
 
 @register("isolation_forest_scores", "M1 M2 A7 P7")
 def isolation_forest_scores(spark, sf):
     f, cols = features_with_split(spark, sf)
-    model = forest.fit_isolation_forest(f.where(F.col("split") == "train"), cols, n_trees=100,
-                                        max_samples=256, contamination=0.1, seed=42)
-    s = forest.score_isolation_forest(f, model)
+    s = forest.fit_and_score(f, F.col("split") == "train", cols, keep=["id", "split"], n_trees=100,
+                             max_samples=256, contamination=0.1, seed=42)
     return s.select("id", "split", rounded("iso_score").alias("iso_score"), "iso_pred")
 
 

@@ -10,10 +10,12 @@ pushes filters into the parquet reader.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null
+from ..session import default_parallelism
 
 ORACLE_WIDTH = 64  # components of the given vectors, for SQL texts; Spark takes the width from the data
 VECTOR_BROADCAST_BYTES = 32 << 20
@@ -62,16 +64,31 @@ def txn_ml(spark: SparkSession, sf_dir: str, n: int | None = None) -> DataFrame:
     rows of doubles take at most ``VECTOR_BROADCAST_BYTES``; above that it is
     a plain shuffled equi-join.
     """
+    return _txn_ml(spark, sf_dir, n, kept=False)[0]
+
+
+def txn_ml_kept(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
+    """``txn_ml`` for a job that reads it many times: while the vectors are
+    broadcast, the narrow events are spread over the tasks and kept, and each
+    reader attaches the vectors by that join, so the wide rows are neither
+    shuffled nor held. Also whether it is so."""
+    return _txn_ml(spark, sf_dir, None, kept=True)
+
+
+def _txn_ml(spark: SparkSession, sf_dir: str, n: int | None, kept: bool) -> tuple[DataFrame, bool]:
     t = txn(spark, sf_dir).drop("Class")
     vec = vectors(spark, sf_dir, n)
     n_vec = table(spark, sf_dir, "embeddings").count()
     keyed = t.withColumn("vec_key", F.pmod(F.col("id"), F.lit(max(n_vec, 1))))
     names = [c for c in vec.columns if c not in ("vec_id", "vec_label")]
-    side = F.broadcast(vec) if n_vec * 8 * (len(names) + 3) <= VECTOR_BROADCAST_BYTES else vec
+    small = n_vec * 8 * (len(names) + 3) <= VECTOR_BROADCAST_BYTES
+    if kept and small:
+        keyed = keyed.repartition(default_parallelism(spark)).persist(StorageLevel.MEMORY_AND_DISK)
+    side = F.broadcast(vec) if small else vec
     out = keyed.join(side, keyed["vec_key"] == vec["vec_id"], "inner")
     return out.select("id", "vec_id", "Time", "Amount",
                       (F.col("vec_label") == 0).cast("int").alias("Class"),
-                      *names)
+                      *names), kept and small
 
 
 # ---- the same views as DuckDB SQL (oracle side) --------------------------
