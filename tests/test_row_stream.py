@@ -13,7 +13,7 @@ from txnlens.plans import q_monitor, q_streaming
 from txnlens.sources.rowstream import RowStreamReader, append_rows, index_rows, row_stream, run_to_end
 from txnlens.sources.tables import txn
 from txnlens.streaming.graph_tail import GraphTail, edges_sink, features_sink, flush
-from txnlens.streaming.scoring import score_batch
+from txnlens.streaming.scoring import read_monitoring, score_batch, score_row_batches
 from txnlens.streaming.totals import RunningTotals, read_totals, running_totals, start_totals, write_epochs
 
 from .conftest import SF001
@@ -250,3 +250,25 @@ def test_file_streams_read_folders(spark, tmp_root, name):
     one, many = ([[round(x, 6) if isinstance(x, float) else x for x in r] for r in getattr(q_streaming, name)(spark, sf).collect()]
                  for sf in (SF001, f"{tmp_root}/sf"))
     assert sorted(one) == sorted(many) and one
+
+
+def test_batches_admitted_at_once_sink_as_batches_of_their_own(spark, rows, tmp_root):
+    """Seven batches a micro-batch: fewer micro-batches, the same alerts,
+    statistics and cases of each batch; a replay changes nothing."""
+    index, frames = index_rows(rows), []
+    run(row_stream(spark, index, 30), score_batch(None, f"{tmp_root}/one", q_streaming.rule_scorer), f"{tmp_root}/c1")
+    many = score_row_batches(f"{tmp_root}/many", q_streaming.rule_scorer, 30)
+
+    def twice(df, n):
+        frames.append(df.count())
+        many(df, n)
+        many(df, n)
+    run(row_stream(spark, index, 30, batches_at_once=7), twice, f"{tmp_root}/c2")
+    assert frames == [min(210, index.rows - lo) for lo in range(0, index.rows, 210)]
+
+    def found(root):
+        alerts, stats, cases = read_monitoring(spark, root)
+        keys = ("transaction_id", "amount", "prediction", "confidence", "iso_score")
+        return (sorted(map(tuple, alerts.select(*keys).collect())), sorted(map(tuple, cases.collect())),
+                sorted(map(tuple, stats.select("batch_id", "transactions_processed", "fraud_detected", "fraud_rate", "total_processed", "total_fraud_detected").collect())))
+    assert found(f"{tmp_root}/one") == found(f"{tmp_root}/many")

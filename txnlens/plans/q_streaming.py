@@ -18,7 +18,7 @@ from ..sources.files import is_folder
 from ..sources.rowstream import index_rows, row_stream, run_to_end
 from ..sources.tables import TXN_SQL, txn, txn_from_events
 from ..streaming.graph_tail import GraphTail, edges_sink, features_sink, flush
-from ..streaming.scoring import ScoringModels, read_committed_monitoring, read_monitoring, start_scoring, transaction_stream
+from ..streaming.scoring import ScoringModels, read_committed_monitoring, read_monitoring, score_row_batches, start_scoring, transaction_stream
 from ..streaming.totals import read_totals, running_totals, start_totals
 from .catalog import R, register
 from .q_graph import _HOP
@@ -148,7 +148,8 @@ def stream_three_files(spark, sf):
 
 # -- the events as a stream of rows in (Time, id) order -------------------------
 
-BATCH_ROWS = 3000     # of a micro-batch with sinks
+BATCH_ROWS = 3000     # of a batch with sinks
+BATCHES_AT_ONCE = 100  # of them, in a micro-batch
 TOTALS_ROWS = 100     # of a batch of the totals; micro-batches of TOTALS_ADMITTED rows end inside some
 TOTALS_ADMITTED = 4050
 GRAPH_ROWS = 4000
@@ -160,10 +161,12 @@ b AS (SELECT batch_id, count(*) AS n, CAST(sum(CAST(Amount > {RULE_T} AS INTEGER
 SELECT batch_id, n AS transactions_processed, d AS fraud_detected, CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS total_processed,
        CAST(sum(d) OVER (ORDER BY batch_id) AS BIGINT) AS total_fraud_detected FROM b"""))
 def stream_row_batches(spark, sf):
-    """Micro-batches of exactly BATCH_ROWS rows, the last one short, through the scoring sinks."""
+    """Batches of exactly BATCH_ROWS rows, the last one short, through the
+    scoring sinks; a micro-batch takes as many as are waiting, up to BATCHES_AT_ONCE."""
     root = scratch_path(spark, "row-batches")
-    stream = row_stream(spark, index_rows(txn(spark, sf)), BATCH_ROWS)
-    run_to_end(start_scoring(stream, None, root, f"{root}/_checkpoint", available_now=False, processing_time="0 seconds", scorer=rule_scorer))
+    stream = row_stream(spark, index_rows(txn(spark, sf)), BATCH_ROWS, batches_at_once=BATCHES_AT_ONCE)
+    process = score_row_batches(root, rule_scorer, BATCH_ROWS)
+    run_to_end(stream.writeStream.foreachBatch(process).option("checkpointLocation", f"{root}/_checkpoint").start())
     _, stats, _ = read_monitoring(spark, root)
     return stats.select(*[F.col(c).cast("long").alias(c) for c in ("batch_id", "transactions_processed", "fraud_detected",
                                                                    "total_processed", "total_fraud_detected")])

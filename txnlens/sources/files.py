@@ -15,6 +15,7 @@ from ..operators.monitor import flatten_cases
 from ..schemas import ALERTS, BATCH_ALERT_DOC, STATS
 
 DOCUMENT_CASES = 10_000  # cases of one nested alert document
+DOCUMENTS = "fraud_alerts"  # folder of the documents of micro-batches of several batches
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -89,24 +90,46 @@ def read_stats(spark: SparkSession, root: str) -> DataFrame:
 
 def read_batch_alerts(spark: SparkSession, root: str) -> DataFrame:
     """All per-batch documents → one row per case (missing ``cases`` → none)."""
-    pattern = f"{root}/fraud_alerts_batch_*.json"
-    if not path_exists(spark, pattern):
+    patterns = [p for p in (f"{root}/fraud_alerts_batch_*.json", f"{root}/{DOCUMENTS}/batch=*") if path_exists(spark, p)]
+    if not patterns:
         return spark.createDataFrame([], BATCH_ALERT_DOC).select(F.explode("cases").alias("c")).select("c.*")
-    docs = spark.read.schema(BATCH_ALERT_DOC).option("multiLine", True).json(pattern)
+    docs = spark.read.schema(BATCH_ALERT_DOC).option("multiLine", True).json(patterns)
     return flatten_cases(docs)
 
 
+def write_batches(df: DataFrame, root: str, table: str, batches: range, by: str = "batch_id") -> None:
+    """The rows of several batches in one write, in the folders that
+    ``write_batch_rows`` would give each. A replay overwrites them, also the
+    folder of a batch that has no rows now."""
+    spark, df = df.sparkSession, df.persist()
+    try:
+        df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+            "maxRecordsPerFile", 1 if table == DOCUMENTS else 0).partitionBy(by).json(f"{root}/{table}")
+        some = {r[0] for r in df.select(by).distinct().collect()}  # at most the batches of a micro-batch
+    finally:
+        df.unpersist()
+    for i in batches:
+        if i not in some:
+            fs, p = _file_system(spark, f"{root}/{table}/{by}={i}")
+            fs.delete(p, True)
+
+
 def write_batch_rows(df: DataFrame, root: str, table: str, batch_id: int) -> None:
     """Append sink made replay-safe: each batch owns ``batch_id=<id>`` and a
     replay overwrites it instead of appending a second copy."""
     df.write.mode("overwrite").json(f"{root}/{table}/batch_id={int(batch_id)}")
 
 
+def _cases(cases: DataFrame) -> DataFrame:
+    case = F.struct(F.col("Time").cast("double").alias("Time"), F.col("Amount").cast("double").alias("Amount"),
+                    F.col("anomaly_score").cast("double").alias("anomaly_score")).alias("case")
+    return cases.select(case, *([F.col("batch_id")] if "batch_id" in cases.columns else []))
+
+
 def alert_documents(cases: DataFrame, batch_id: int, epoch_seconds: float, chunk: int = DOCUMENT_CASES) -> DataFrame:
     """Nested documents of a batch: one for every ``chunk`` of its cases at
     most, so no row grows with the batch; none without cases."""
-    cases = cases.select(F.struct(F.col("Time").cast("double").alias("Time"), F.col("Amount").cast("double").alias("Amount"),
-                                  F.col("anomaly_score").cast("double").alias("anomaly_score")).alias("case"))
+    cases = _cases(cases.drop("batch_id"))
     n = cases.count()
     # by the count: about half a chunk a document, never dealt by one key
     part = F.pmod(F.xxhash64("case", F.monotonically_increasing_id()), F.lit(max(1, -(-2 * n // chunk)) if n > chunk else 1))
@@ -114,6 +137,14 @@ def alert_documents(cases: DataFrame, batch_id: int, epoch_seconds: float, chunk
     return doc.select(F.lit(int(batch_id)).cast("long").alias("batch_id"), F.lit(float(epoch_seconds)).alias("timestamp"), "fraud_count", "cases")
 
 
+def batches_documents(cases: DataFrame, rows_per_batch: int, epoch_seconds: float, chunk: int = DOCUMENT_CASES) -> DataFrame:
+    """The same of each ``batch_id`` of cases of several batches of at most
+    ``rows_per_batch`` rows."""
+    part = F.pmod(F.xxhash64("case", F.monotonically_increasing_id()), F.lit(max(1, -(-2 * rows_per_batch // chunk)) if rows_per_batch > chunk else 1))
+    doc = _cases(cases).groupBy("batch_id", part.alias("part")).agg(F.count(F.lit(1)).alias("fraud_count"), F.collect_list("case").alias("cases"))
+    return doc.select("batch_id", F.lit(float(epoch_seconds)).alias("timestamp"), "fraud_count", "cases")
+
+
 def write_alert_document(cases: DataFrame, batch_id: int, root: str, epoch_seconds: float,
                          chunk: int = DOCUMENT_CASES) -> None:
     """The documents of the batch as JSON, overwritten on replay. A batch

@@ -12,6 +12,10 @@ row n of the stream is row n of that order, whatever files the table came in.
 * a micro-batch ends at the next multiple of ``rows_per_batch`` or at the last
   row, so ``batch_id = pos div rows_per_batch`` of ``row_batches`` is the
   number of the micro-batch, and only the last one is short;
+* with ``batches_at_once`` a micro-batch admits up to so many of these batches,
+  whole ones but for the last, as far as rows are waiting: the number of
+  micro-batches and their fixed cost fall, and ``pos div rows_per_batch``
+  still tells the batches apart;
 * ``max_batches`` ends the stream after so many of them;
 * a batch is cut into pieces of files, one task each, which read only the row
   groups they touch, as Arrow batches;
@@ -87,7 +91,7 @@ class Piece(InputPartition):
 class RowStreamReader(DataSourceStreamReader):
     def __init__(self, options, schema: StructType):
         self.files = [(u, int(n)) for u, n in json.loads(options["files"])]
-        self.size = int(options["rows_per_batch"])
+        self.size, self.at_once = int(options["rows_per_batch"]), int(options.get("batches_at_once") or 1)
         rows = sum(n for _, n in self.files)
         most = options.get("max_batches")
         self.end = rows if most in (None, "") else min(rows, int(most) * self.size)
@@ -97,8 +101,8 @@ class RowStreamReader(DataSourceStreamReader):
         return {"row": 0}
 
     def latestOffset(self) -> dict:
-        """Admission: up to the next multiple of the batch size."""
-        return {"row": max(self.at, min((self.at // self.size + 1) * self.size, self.end))}
+        """Admission: up to the next multiple of the batch size, or the ``batches_at_once``-th one."""
+        return {"row": max(self.at, min((self.at // self.size + self.at_once) * self.size, self.end))}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         """Also called with start = end after a restart, which tells where the checkpoint is."""
@@ -158,12 +162,12 @@ class RowSource(DataSource):
         return RowStreamReader(self.options, schema)
 
 
-def row_stream(spark: SparkSession, index: RowIndex, rows_per_batch: int, max_batches: int | None = None) -> DataFrame:
+def row_stream(spark: SparkSession, index: RowIndex, rows_per_batch: int, max_batches: int | None = None, batches_at_once: int = 1) -> DataFrame:
     """The indexed rows and their number ``pos``, as a streaming DataFrame."""
     ship_package(spark)
     spark.dataSource.register(RowSource)
     schema = StructType([*index.schema.fields]).add("pos", LongType())
-    r = spark.readStream.format(FORMAT).schema(schema).option("files", json.dumps(index.files)).option("rows_per_batch", rows_per_batch)
+    r = spark.readStream.format(FORMAT).schema(schema).option("files", json.dumps(index.files)).option("rows_per_batch", rows_per_batch).option("batches_at_once", batches_at_once)
     if max_batches is not None:
         r = r.option("max_batches", max_batches)
     return r.load()

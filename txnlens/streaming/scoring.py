@@ -25,12 +25,12 @@ from ..operators.ensemble_features import apply_score_range
 from ..operators.features import engineer_features, feature_columns
 from ..operators.forest import IsolationForestModel, score_isolation_forest
 from ..operators.graph_model import graph_features, graph_scores
-from ..operators.monitor import with_running_totals
+from ..operators.monitor import batch_stats, with_running_totals
 from ..operators.reconstruct import ReconstructionModel, reconstruction_score
 from ..schemas import ALERTS, BATCH_ALERT_DOC, STATS
 from ..sources.commits import read_committed, write_batch
-from ..sources.files import (alert_documents, flatten_cases, read_alerts, read_batch_alerts, read_stats, write_alert_document,
-                             write_batch_rows)
+from ..sources.files import (DOCUMENTS, alert_documents, batches_documents, flatten_cases, read_alerts, read_batch_alerts, read_stats, write_alert_document,
+                             write_batch_rows, write_batches)
 from .graph_tail import GraphTail
 
 
@@ -125,6 +125,34 @@ def score_batch(models: ScoringModels | None, sink_root: str, scorer=None, tail:
     return process
 
 
+def score_row_batches(sink_root: str, scorer, rows_per_batch: int):
+    """The ``foreachBatch`` callback over a ``row_stream`` that admits several
+    batches at once: every batch (``pos div rows_per_batch``) gets the alert
+    rows, statistics and documents that it has as a micro-batch of its own,
+    each table in one write."""
+    def process(df: DataFrame, _: int) -> None:
+        scored = scorer(df.withColumn("batch_id", F.floor(F.col("pos") / F.lit(rows_per_batch)).cast("long")))
+        scored = scored.withColumn("anomaly_score", F.col("iso_score")).persist()
+        try:
+            ends = scored.agg(F.min("batch_id"), F.max("batch_id")).first()
+            if ends[0] is None:
+                return
+            batches, now, ts = range(ends[0], ends[1] + 1), time.time(), iso_timestamp(F.current_timestamp())
+            alerts = scored.where(F.col("prediction") == 1)
+            rows = alerts.select(ts.alias("timestamp"), defaulted_id(scored).alias("transaction_id"),
+                                 F.col("Amount").alias("amount"), F.col("prediction").cast("int"),
+                                 F.col("confidence").cast("double"), F.col("iso_score"), "batch_id")
+            stats = batch_stats(scored).select(ts.alias("timestamp"), "transactions_processed", "fraud_detected", "fraud_rate", "batch_id")
+            write_batches(rows, sink_root, "alerts", batches)
+            write_batches(stats, sink_root, "stats", batches)
+            documents = batches_documents(alerts, rows_per_batch, now)
+            write_batches(documents.withColumn("batch", F.col("batch_id")), sink_root, DOCUMENTS, batches, by="batch")
+        finally:
+            scored.unpersist()
+
+    return process
+
+
 def start_scoring(stream: DataFrame, models: ScoringModels | None, sink_root: str, checkpoint: str,
                   available_now: bool = True, processing_time: str | None = None, scorer=None, tail: GraphTail | None = None, commit: bool = False):
     """Start the scorer; ``available_now`` processes what is there and stops
