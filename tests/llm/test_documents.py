@@ -414,13 +414,33 @@ def test_toxicity_sample_is_bounded_by_rows_and_characters(spark, monkeypatch):
                                  F.lit("en").alias("lang"))
     y = spark.range(30).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
     toxicity.fit(d, y, rows=8)
-    toxicity.fit(d, y)
+    toxicity.fit(d, y, rows=toxicity.TRAIN_ROWS)
     free = y.where(~toxicity.held_out(F.col("doc_id"))).count()
     monkeypatch.setattr(toxicity, "TRAIN_TOTAL", 46 * 7)
-    toxicity.fit(d, y)
+    toxicity.fit(d, y, rows=toxicity.TRAIN_ROWS)
     assert seen[0][0] <= 8 and seen[1][0] <= free and seen[2][0] <= 7 and seen[0][0] >= 4
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    """Rows beyond any sample, texts beyond its length: each is trained on or
+    calibrates, in several shards."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 150)
+    seen, own = [], toxicity._trained
+    monkeypatch.setattr(toxicity, "_trained", lambda rows, n, prior: seen.append((rows.count(), n, prior, rows.agg(F.max(F.length("text"))).first()[0])) or own(rows, n, prior))
+    bad = F.concat(F.lit("vile idiots "), F.md5(F.col("doc_id").cast("string")))
+    good = F.concat(F.lit("kind people "), F.md5(F.col("doc_id").cast("string")))
+    d = spark.range(900).withColumnRenamed("id", "doc_id").withColumn("toxic", (F.col("doc_id") % 3 == 0).cast("int"))
+    d = d.withColumn("text", F.when(F.col("toxic") == 1, bad).otherwise(good)).withColumn("lang", F.lit("en"))
+    d = d.withColumn("text", F.when(F.col("doc_id") % 50 == 0, F.concat(F.repeat(F.lit("a b "), 16_000), "text")).otherwise(F.col("text")))
+    model = toxicity.fit(d.drop("toxic"), d.select("doc_id", "toxic"))
+    free = d.where(~toxicity.held_out(F.col("doc_id")))
+    kept = free.where(F.crc32(F.concat(F.lit("calibrate "), F.col("doc_id").cast("string")).cast("binary")) % 5 > 0)
+    n = kept.count()
+    assert seen[0][:2] == (n, n) and sum(seen[0][2].values()) == n > 300 and seen[0][3] > toxicity.TRAIN_CHARS
+    out = toxicity.score(d, model, keep=["doc_id", "toxic"]).where(F.col("doc_id") % 50 > 0).toPandas()
+    assert (out["predicted"] == out["toxic"]).mean() > 0.98
+
+
 def test_toxicity_stage_decides_by_language(spark, monkeypatch):
     """A document between its language's threshold and 0.7 goes; one of a
     language with a higher threshold stays; others are judged by 0.7."""

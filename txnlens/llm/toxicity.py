@@ -4,21 +4,26 @@ A word's embedding is the sum of the hashed embeddings of the word and of its
 first letters, so inflected forms share what they have in common. Filters of
 several widths run over the words of the whole text; each gives its largest
 response (max pooling) and the logarithm of its summed response. A logistic
-layer turns these into a logit. The net is trained in numpy, on the driver,
-over a bounded sample of labelled rows, and applied in tasks by batches.
-
-The sample: of the labelled rows outside the held-out third (crc32 of the
-decimal doc_id, modulo 3, is 1), TRAIN_ROWS / 2 of each label by a hash of
-their id, of each id one text, that of the smallest hash among those of
-TRAIN_CHARS or less, and of these as many in hash order as have TRAIN_TOTAL
-code points together. So at most TRAIN_ROWS rows and TRAIN_TOTAL code points
-reach the driver, however often ids repeat. A fifth of it is not trained on but
-calibrates: the logit is shifted so that the score 0.7 parts the labels best,
-and each language gets a threshold of its own, on the score, for callers that
-flag by language. Neither language nor source nor id enters a score.
+layer turns these into a logit. The net is trained in numpy over all labelled
+rows outside the held-out third (crc32 of the decimal doc_id, modulo 3, is 1),
+in tasks, and applied in tasks by batches.
+
+Training: rows are dealt by hash to shards of about SHARD_ROWS. In a round every
+shard goes through its rows once, in mini-batches that are read one after
+another, from the weights of the round's start; then the weights of the shards
+are averaged (an embedding over the shards that changed it), in tasks by
+blocks of embeddings. So a task holds the weights and one mini-batch, and the
+driver the weights alone. The number of shards and rounds follows from the number of
+rows: EPOCHS rounds while there is one shard, later at least LEAST_ROUNDS and
+as many row visits. Labels count alike, whatever their shares. A fifth of the
+rows is not trained on but calibrates: the logit is shifted so that the score
+0.7 parts their labels best, and each language gets a threshold of its own, on
+the score, for callers that flag by language; for both the rows are counted by
+logit in steps of 1 / STEPS. Neither language nor source nor id enters a score.
+``fit`` with ``rows`` trains on a hash sample instead, on the driver.
 
 Defined results: a null or empty text has no words and gets the score of a
-text whose filters are silent; without both labels in the sample every score
+text whose filters are silent; without both labels in the rows every score
 is 0; repeated rows are scored one by one; labels without a document and
 null labels are ignored; only the columns named here are read.
 """
@@ -29,6 +34,7 @@ import re
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -44,6 +50,8 @@ WIDTHS, FILTERS = (1, 2, 3, 5), 6
 PREFIXES = (3, 4, 5, 6)
 TRAIN_ROWS, TRAIN_CHARS, TRAIN_TOTAL = 4096, 60_000, 1 << 26
 EPOCHS, BATCH, RATE, LEAST_DOCS = 8, 32, 0.02, 4
+SHARD_ROWS, LEAST_ROUNDS, BATCH_WORDS = 4096, 2, 1 << 17
+BLOCK, STEPS, BROADCAST_LABELS = 1 << 14, 256, 1_000_000
 THRESHOLD = 0.7
 CACHE_WORDS, SLICE_CHARS = 400_000, 1 << 20
 _LETTERS = re.compile(r"[\W\d_]+")
@@ -109,6 +117,78 @@ def _lay_out(docs: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nda
     return rows, word, starts
 
 
+class Net:
+    """The net while it is trained, by Adagrad. Parameters: embeddings of the
+    buckets ``keys`` (row 0 is zero), filters, their biases, logistic layer."""
+
+    def __init__(self, keys: np.ndarray, params: list[np.ndarray] | None = None, square: list[np.ndarray] | None = None,
+                 rng: np.random.Generator | None = None):
+        self.keys = keys
+        if params is None:
+            emb = rng.normal(0, 0.1, (len(keys) + 1, DIM)).astype(np.float32)
+            emb[0] = 0
+            conv = [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) / w for w in WIDTHS]
+            bias = [np.full(FILTERS, -0.05, np.float32) for _ in WIDTHS]
+            params = [emb, *conv, *bias, rng.normal(0, 0.1, 2 * FILTERS * len(WIDTHS)).astype(np.float32), np.zeros(1, np.float32)]
+            square = [np.full(p.shape, 1e-6, np.float32) for p in params]
+        self.params, self.square = params, square
+
+    def rows_of(self, buckets: np.ndarray) -> np.ndarray:
+        """Rows of the embeddings; 0 for a bucket that has none."""
+        if not len(self.keys):
+            return np.zeros(buckets.shape, np.int64)
+        i = np.searchsorted(self.keys, buckets)
+        i[i == len(self.keys)] = 0
+        return np.where(self.keys[i] == buckets, i + 1, 0)
+
+    def step(self, docs: list[np.ndarray], y: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+        """One mini-batch of documents as rows of embeddings; the rows changed."""
+        params, square, n = self.params, self.square, len(WIDTHS)
+        emb, conv, bias, out, out_b = params[0], params[1:1 + n], params[1 + n:1 + 2 * n], params[-2], params[-1]
+        words, word, starts = _lay_out(docs)
+        x = emb[words].sum(axis=1)
+        feats, state = _pool(x, word, starts, conv, bias)
+        z = feats @ out + out_b[0]
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(docs)
+        if weight is not None:
+            g = g * weight
+        grads = {len(params) - 2: feats.T @ g + 1e-4 * out, len(params) - 1: np.array([g.sum()], np.float32)}
+        gx = np.zeros_like(x)
+        gf = g[:, None] * out[None]
+        ends = np.append(starts[1:], len(x))
+        doc_of = np.repeat(np.arange(len(docs)), ends - starts)
+        for f, (w, (a, top, total)) in enumerate(zip(conv, state)):
+            g_top = gf[:, 2 * f * FILTERS:(2 * f + 1) * FILTERS]
+            g_sum = gf[:, (2 * f + 1) * FILTERS:(2 * f + 2) * FILTERS] / (1 + total)
+            d = doc_of[:len(a)]
+            ga = g_sum[d] + np.where(a == top[d], g_top[d], 0)
+            ga *= a > 0
+            gw = np.empty_like(w)
+            for j in range(len(w)):
+                gw[j] = x[j:j + len(a)].T @ ga
+                gx[j:j + len(a)] += ga @ w[j].T
+            grads[1 + f], grads[1 + n + f] = gw, ga.sum(axis=0)
+        hot, used = np.flatnonzero(np.abs(gx).max(axis=1) > 0), np.zeros(0, np.int64)
+        if len(hot):
+            ids = words[hot]
+            used, inv = np.unique(ids.ravel(), return_inverse=True)
+            ge = np.zeros((len(used), DIM), np.float32)
+            np.add.at(ge, inv, np.repeat(gx[hot], ids.shape[1], axis=0))
+            ge[used == 0] = 0
+            square[0][used] += ge * ge
+            emb[used] -= 2 * RATE * ge / np.sqrt(square[0][used])
+        for i, gr in grads.items():
+            square[i] += gr * gr
+            params[i] -= (RATE * gr / np.sqrt(square[i])).astype(np.float32)
+        return used
+
+    def model(self) -> Model:
+        n, p = len(WIDTHS), self.params
+        model = Model({int(b): i + 1 for i, b in enumerate(self.keys)}, p[0], p[1:1 + n], p[1 + n:1 + 2 * n], p[-2], float(p[-1][0]))
+        model.name = f"{zlib.crc32(p[0].tobytes()):08x}{zlib.crc32(p[-2].tobytes()):08x}"
+        return model
+
+
 def train(docs: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     """Fit the net. ``docs``: per document an array (words, buckets), -1 where
     a word has fewer buckets. Buckets in fewer than LEAST_DOCS documents and
@@ -118,69 +198,15 @@ def train(docs: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     for d in docs:
         for b in np.unique(d):
             seen[int(b)] = seen.get(int(b), 0) + 1
-    kept = [b for b, n in seen.items() if n >= LEAST_DOCS and b >= 0]
-    row = {b: i + 1 for i, b in enumerate(sorted(kept))}
-    keys, width = np.array(sorted(kept), np.int64), 1 + len(PREFIXES)
-    emb = rng.normal(0, 0.1, (len(keys) + 1, DIM)).astype(np.float32)
-    emb[0] = 0
-
-    def rows_of(d):
-        if not len(keys):
-            return np.zeros((len(d), width), np.int64)
-        i = np.searchsorted(keys, d)
-        i[i == len(keys)] = 0
-        return np.where(keys[i] == d, i + 1, 0)
-
-    laid = [rows_of(d) for d in docs]
-    conv = [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) / w for w in WIDTHS]
-    bias = [np.full(FILTERS, -0.05, np.float32) for _ in WIDTHS]
-    n_feat = 2 * FILTERS * len(WIDTHS)
-    out, out_b = rng.normal(0, 0.1, n_feat).astype(np.float32), np.zeros(1, np.float32)
-    params = [emb, *conv, *bias, out, out_b]
-    square = [np.full(p.shape, 1e-6, np.float32) for p in params]  # Adagrad
-    y_all = labels.astype(np.float32)
-    for epoch in range(EPOCHS):
+    net = Net(np.array(sorted(b for b, n in seen.items() if n >= LEAST_DOCS and b >= 0), np.int64), rng=rng)
+    laid, y = [net.rows_of(d) for d in docs], labels.astype(np.float32)
+    for _ in range(EPOCHS):
         order = rng.permutation(len(docs))
         for lo in range(0, len(order), BATCH):
             pick = order[lo:lo + BATCH]
-            words, word, starts = _lay_out([laid[i] for i in pick])
-            x = emb[words].sum(axis=1)
-            feats, state = _pool(x, word, starts, conv, bias)
-            z = feats @ out + out_b[0]
-            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y_all[pick]) / len(pick)
-            grads = {len(params) - 2: feats.T @ g + 1e-4 * out, len(params) - 1: np.array([g.sum()], np.float32)}
-            gx = np.zeros_like(x)
-            gf = g[:, None] * out[None]
-            ends = np.append(starts[1:], len(x))
-            doc_of = np.repeat(np.arange(len(pick)), ends - starts)
-            for f, (w, (a, top, total)) in enumerate(zip(conv, state)):
-                g_top = gf[:, 2 * f * FILTERS:(2 * f + 1) * FILTERS]
-                g_sum = gf[:, (2 * f + 1) * FILTERS:(2 * f + 2) * FILTERS] / (1 + total)
-                d = doc_of[:len(a)]
-                ga = g_sum[d] + np.where(a == top[d], g_top[d], 0)
-                ga *= a > 0
-                gw = np.empty_like(w)
-                for j in range(len(w)):
-                    gw[j] = x[j:j + len(a)].T @ ga
-                    gx[j:j + len(a)] += ga @ w[j].T
-                grads[1 + f], grads[1 + len(conv) + f] = gw, ga.sum(axis=0)
-            hot = np.flatnonzero(np.abs(gx).max(axis=1) > 0)
-            if len(hot):
-                ids = words[hot]
-                flat = ids.ravel()
-                used, inv = np.unique(flat, return_inverse=True)
-                ge = np.zeros((len(used), DIM), np.float32)
-                np.add.at(ge, inv, np.repeat(gx[hot], ids.shape[1], axis=0))
-                ge[used == 0] = 0
-                square[0][used] += ge * ge
-                emb[used] -= 2 * RATE * ge / np.sqrt(square[0][used])
-            for i, gr in grads.items():
-                square[i] += gr * gr
-                params[i] -= (RATE * gr / np.sqrt(square[i])).astype(np.float32)
-        emb *= 0.98
-    model = Model(row, emb, conv, bias, out, float(out_b[0]))
-    model.name = f"{zlib.crc32(emb.tobytes()):08x}{zlib.crc32(out.tobytes()):08x}"
-    return model
+            net.step([laid[i] for i in pick], y[pick])
+        net.params[0] *= 0.98
+    return net.model()
 
 
 def logits(model: Model, docs: Sequence[np.ndarray]) -> np.ndarray:
@@ -237,21 +263,197 @@ def _within(rows: list, chars: int) -> list:
     return [r for (*_, r), t in zip(order, total) if t <= chars]
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Train on at most ``rows`` labelled documents that are not held out.
-    The driver gives back the memory of the training."""
+def fit(docs: DataFrame, labels: DataFrame, rows: int | None = None) -> Model:
+    """Train on all labelled documents that are not held out, or on a hash
+    sample of at most ``rows`` of them. The driver gives back the memory of
+    the training."""
     try:
-        return _fit(docs, labels, rows)
+        y, prior = _labels(labels)
+        if len(prior) < 2:
+            return Model()
+        return _fit_all(docs, y, prior) if rows is None else _fit(docs, y, prior, rows)
     finally:
         release()
 
 
-def _fit(docs: DataFrame, labels: DataFrame, rows: int) -> Model:
+def _labels(labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """Labels that may be learnt, and their numbers."""
     y = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
          .where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"))))
-    prior = {r["toxic"]: r["n"] for r in y.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(prior) < 2:
+    return y, {r["toxic"]: r["n"] for r in y.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+
+
+class _Rows:
+    """Words as rows of embeddings; each word is looked up once."""
+
+    def __init__(self, net: Net):
+        self.net, self.ids, self.table = net, {}, np.zeros((0, 1 + len(PREFIXES)), np.int64)
+
+    def of(self, text: str) -> np.ndarray:
+        words = text.split()
+        new = [w for w in dict.fromkeys(words) if w not in self.ids]
+        if new:
+            if len(self.ids) > CACHE_WORDS:
+                self.ids, self.table = {}, self.table[:0]
+                new = list(dict.fromkeys(words))
+            width = self.table.shape[1]
+            found = np.full((len(new), width), -1, np.int64)
+            for i, w in enumerate(new):
+                f = word_features(w)
+                found[i, :len(f)] = f
+                self.ids[w] = len(self.table) + i if f else -1
+            self.table = np.concatenate([self.table, self.net.rows_of(found)])
+        at = np.array([i for i in map(self.ids.__getitem__, words) if i >= 0], np.int64)
+        return self.table[at]
+
+
+@released
+def _bucket_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(bucket, documents that have it) of a task."""
+    counts, known = np.zeros(BUCKETS, np.int64), {}
+    for b in batches:
+        for t in b["text"]:
+            own: set[int] = set()
+            for w in set(t.split()):
+                if w not in known:
+                    if len(known) > CACHE_WORDS:
+                        known.clear()
+                    known[w] = word_features(w)
+                own.update(known[w])
+            counts[np.fromiter(own, np.int64, len(own))] += 1
+    some = np.flatnonzero(counts)
+    for lo in range(0, len(some), BLOCK):
+        part = some[lo:lo + BLOCK]
+        yield pd.DataFrame({"bucket": part, "n": counts[part]})
+
+
+def _batches(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """(document, label, weight) as mini-batches."""
+    held, words = [], 0
+    for r in rows:
+        held.append(r)
+        words += len(r[0])
+        if len(held) >= BATCH or words >= BATCH_WORDS:
+            yield held
+            held, words = [], 0
+    if held:
+        yield held
+
+
+def _round(start, weight: dict[int, float]):
+    """A round: rows (shard, toxic, text), sorted by shard -> per shard and
+    block of embeddings the changes, as (block, rows, changes of values and of
+    squares); block -1 has all other parameters."""
+    def shard_changes(rows: Iterator[tuple[int, str]]) -> Iterator[tuple]:
+        keys, params, square = start.value
+        net = Net(keys, [p.copy() for p in params], [q.copy() for q in square])
+        look, changed = _Rows(net), np.zeros(len(params[0]), bool)
+        for part in _batches((look.of(t), v, weight[v]) for v, t in rows):
+            docs, y, w = zip(*part)
+            changed[net.step(list(docs), np.array(y, np.float32), np.array(w, np.float32))] = True
+        rest = [np.concatenate([(n - p).ravel() for n, p in zip(new[1:], old[1:])]) for new, old in ((net.params, params), (net.square, square))]
+        yield -1, b"", np.concatenate(rest).astype("<f4").tobytes()
+        at = np.flatnonzero(changed)
+        for lo in np.unique(at // BLOCK).tolist():
+            i = at[at // BLOCK == lo]
+            yield lo, (i - lo * BLOCK).astype("<i4").tobytes(), np.concatenate([net.params[0][i] - params[0][i], net.square[0][i] - square[0][i]], 1).astype("<f4").tobytes()
+
+    @released
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        each = (r for b in batches for r in zip(b["shard"], b["toxic"], b["text"]))
+        for _, rows in groupby(each, key=lambda r: r[0]):
+            for x in shard_changes((int(v), t) for _, v, t in rows):
+                yield pd.DataFrame([x], columns=["block", "at", "change"])
+    return run
+
+
+@released
+def _averaged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Changes sorted by block -> per block their mean, an embedding's over
+    the shards that changed it."""
+    each = (r for b in batches for r in zip(b["block"], b["at"], b["change"]))
+    for block, rows in groupby(each, key=lambda r: r[0]):
+        total, n = 0.0, 0
+        if block >= 0:
+            total, n = np.zeros((BLOCK, 2 * DIM)), np.zeros((BLOCK, 1))
+        for _, at, change in rows:
+            x = np.frombuffer(change, "<f4")
+            if block < 0:
+                total, n = total + x, n + 1
+            else:
+                i = np.frombuffer(at, "<i4")
+                total[i] += x.reshape(-1, 2 * DIM)
+                n[i] += 1
+        yield pd.DataFrame([(block, (total / np.maximum(n, 1)).astype("<f4").tobytes())], columns=["block", "change"])
+
+
+def _trained(learn: DataFrame, n: int, prior: dict[int, int], seed: int = 7) -> Net:
+    """``learn``: doc_id, toxic, text of ``n`` rows."""
+    spark = learn.sparkSession
+    counts = learn.select("text").mapInPandas(_bucket_documents, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    keys = np.sort(np.array([r["bucket"] for r in counts.where(F.col("n") >= LEAST_DOCS).select("bucket").collect()], np.int64))  # BUCKETS at most
+    net = Net(keys, rng=np.random.default_rng(seed))
+    shards = max(1, -(-n // SHARD_ROWS))
+    rounds = EPOCHS if shards == 1 else min(EPOCHS, max(LEAST_ROUNDS, -(-EPOCHS * SHARD_ROWS // n)))
+    weight = {v: sum(prior.values()) / (2 * c) for v, c in prior.items()}
+    dealt = learn.select(F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(shards)).cast("int").alias("shard"), "doc_id", "toxic", "text")
+    for e in range(rounds):
+        start = spark.sparkContext.broadcast((keys, net.params, net.square))
+        rows = dealt.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("doc_id", "text", F.lit(e)), "doc_id", "toxic")
+        changes = rows.select("shard", "toxic", "text").mapInPandas(_round(start, weight), "block int, at binary, change binary")
+        blocks = len(net.params[0]) // BLOCK + 2
+        mean = changes.repartition(min(shards, blocks), "block").sortWithinPartitions("block").mapInPandas(_averaged, "block int, change binary").collect()
+        for r in mean:  # the weights once
+            x = np.frombuffer(r["change"], "<f4")
+            if r["block"] >= 0:
+                own = slice(r["block"] * BLOCK, min((r["block"] + 1) * BLOCK, len(net.params[0])))
+                x = x.reshape(BLOCK, 2 * DIM)[:own.stop - own.start]
+                net.params[0][own] += x[:, :DIM]
+                net.square[0][own] += x[:, DIM:]
+                continue
+            for p in (*net.params[1:], *net.square[1:]):
+                p += x[:p.size].reshape(p.shape)
+                x = x[p.size:]
+        start.unpersist()
+        net.params[0] *= 0.98
+    return net
+
+
+def _logit_steps(model: Model):
+    """(lang, toxic, aside, text) -> numbers of rows by logit, in steps."""
+    @released
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        look = _Rows(Net(np.array(sorted(model.row), np.int64), [model.emb], []))
+        for b in batches:
+            z = np.concatenate([logits(model, [d for d, *_ in part]) for part in _batches((look.of(t), 0, 0) for t in b["text"])]) if len(b) else np.zeros(0)
+            yield pd.DataFrame({"lang": b["lang"], "toxic": b["toxic"], "step": np.round(np.clip(z, -40, 40) * STEPS).astype(np.int64)})
+    return run
+
+
+def _fit_all(docs: DataFrame, y: DataFrame, prior: dict[int, int]) -> Model:
+    small_batches(docs)
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "lang")
+    y = F.broadcast(y) if sum(prior.values()) <= BROADCAST_LABELS else y
+    aside = (F.crc32(F.concat(F.lit("calibrate "), F.col("doc_id").cast("string")).cast("binary")) % 5 == 0).alias("aside")
+    rows = stored(d.join(y, "doc_id").select("doc_id", "lang", "toxic", "text", aside), "toxicity-rows")
+    have = {(r["aside"], r["toxic"]): r["n"] for r in rows.groupBy("aside", "toxic").agg(F.count("*").alias("n")).collect()}
+    learn = {v: have.get((False, v), 0) for v in (0, 1)}
+    if not all(learn.values()):
         return Model()
+    model = _trained(rows.where(~F.col("aside")).select("doc_id", "toxic", "text"), sum(learn.values()), learn).model()
+    apart = have.get((True, 0), 0) and have.get((True, 1), 0) >= 20
+    cal = (rows.where("aside") if apart else rows).select("lang", "toxic", "text")
+    steps = cal.mapInPandas(_logit_steps(model), "lang string, toxic int, step long").groupBy("lang", "toxic", "step").agg(F.count("*").alias("n")).toPandas()
+    z, label, weight = steps["step"].to_numpy() / STEPS, steps["toxic"].to_numpy(float), steps["n"].to_numpy(float)
+    model.shift = LOGIT - _best_cut(z, label, weight)
+    for lang in sorted({v for v in steps["lang"] if v}):
+        own = (steps["lang"] == lang).to_numpy()
+        if len(set(label[own])) == 2 and (label * weight)[own].sum() >= 10:
+            model.thresholds[lang] = float(sigmoid(_best_cut(z[own], label[own], weight[own]) + model.shift))
+    return model
+
+
+def _fit(docs: DataFrame, y: DataFrame, prior: dict[int, int], rows: int) -> Model:
     # ids first: a few thousand rows, so the documents are filtered where they are read
     h = F.xxhash64("doc_id")
     ids = [r for v in (0, 1) for r in y.where(F.col("toxic") == v).select("doc_id", "toxic", h.alias("h"))
