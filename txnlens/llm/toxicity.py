@@ -170,11 +170,13 @@ class Net:
             grads[1 + f], grads[1 + n + f] = gw, ga.sum(axis=0)
         hot, used = np.flatnonzero(np.abs(gx).max(axis=1) > 0), np.zeros(0, np.int64)
         if len(hot):
-            ids = words[hot]
-            used, inv = np.unique(ids.ravel(), return_inverse=True)
-            ge = np.zeros((len(used), DIM), np.float32)
-            np.add.at(ge, inv, np.repeat(gx[hot], ids.shape[1], axis=0))
-            ge[used == 0] = 0
+            ids = words[hot].ravel()
+            at = np.flatnonzero(ids)  # row 0 stays zero
+            at = at[np.argsort(ids[at], kind="stable")]
+            ids = ids[at]
+            first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else used
+            used = ids[first]
+            ge = np.add.reduceat(gx[hot[at // words.shape[1]]], first, axis=0) if len(ids) else np.zeros((0, DIM), np.float32)
             square[0][used] += ge * ge
             emb[used] -= 2 * RATE * ge / np.sqrt(square[0][used])
         for i, gr in grads.items():
@@ -287,24 +289,30 @@ class _Rows:
     """Words as rows of embeddings; each word is looked up once."""
 
     def __init__(self, net: Net):
-        self.net, self.ids, self.table = net, {}, np.zeros((0, 1 + len(PREFIXES)), np.int64)
+        self.net, self.ids, self.n = net, {}, 0
+        self.table = np.zeros((1 << 12, 1 + len(PREFIXES)), np.int32)  # grows by doubling
 
     def of(self, text: str) -> np.ndarray:
         words = text.split()
-        new = [w for w in dict.fromkeys(words) if w not in self.ids]
+        if len(self.ids) > CACHE_WORDS:
+            self.ids, self.n = {}, 0
+        known = self.ids
+        new = [w for w in dict.fromkeys(words) if w not in known]
         if new:
-            if len(self.ids) > CACHE_WORDS:
-                self.ids, self.table = {}, self.table[:0]
-                new = list(dict.fromkeys(words))
             width = self.table.shape[1]
-            found = np.full((len(new), width), -1, np.int64)
-            for i, w in enumerate(new):
+            found, n = [], self.n
+            for w in new:
                 f = word_features(w)
-                found[i, :len(f)] = f
-                self.ids[w] = len(self.table) + i if f else -1
-            self.table = np.concatenate([self.table, self.net.rows_of(found)])
-        at = np.array([i for i in map(self.ids.__getitem__, words) if i >= 0], np.int64)
-        return self.table[at]
+                known[w] = n + len(found) if f else -1
+                if f:
+                    found.append(f + (-1,) * (width - len(f)))
+            while n + len(found) > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            if found:
+                self.table[n:n + len(found)] = self.net.rows_of(np.array(found, np.int64))
+                self.n += len(found)
+        at = np.fromiter((known[w] for w in words), np.int64, len(words))
+        return self.table[at[at >= 0]]
 
 
 @released
@@ -399,7 +407,8 @@ def _trained(learn: DataFrame, n: int, prior: dict[int, int], seed: int = 7) ->
     dealt = learn.select(F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(shards)).cast("int").alias("shard"), "doc_id", "toxic", "text")
     for e in range(rounds):
         start = spark.sparkContext.broadcast((keys, net.params, net.square))
-        rows = dealt.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("doc_id", "text", F.lit(e)), "doc_id", "toxic")
+        spread = dealt.repartition(4 * shards, "shard")  # few shards share a task
+        rows = spread.sortWithinPartitions("shard", F.xxhash64("doc_id", "text", F.lit(e)), "doc_id", "toxic")
         changes = rows.select("shard", "toxic", "text").mapInPandas(_round(start, weight), "block int, at binary, change binary")
         blocks = len(net.params[0]) // BLOCK + 2
         mean = changes.repartition(min(shards, blocks), "block").sortWithinPartitions("block").mapInPandas(_averaged, "block int, change binary").collect()
