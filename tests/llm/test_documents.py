@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -396,6 +397,23 @@ def test_toxicity_held_out_accuracy(spark):
     assert s["score"].between(0, 1).all() and set(model.thresholds) >= {"en"}
 
 
+def test_toxicity_features_of_many_words_at_once(monkeypatch):
+    words = ["Word", "wo-rd,", "123", "_", "\u03a3\u03af\u03c3\u03c5\u03c6\u03bf\u03a3", "\u0130stanbul", "\u65e5\u672c\u8a9e\u306e\u6587", "\ud800ab", "ab", "abc\u0301d", "x" * 200 + "\u00e9", "\U0001d4b3" * 20, "7a\u0663b"]
+    want = [[*f, *[-1] * (5 - len(f))] for f in map(toxicity.word_features, words)]
+    assert toxicity.features_of(words).tolist() == want and toxicity.features_of([]).shape == (0, 5)
+    net = toxicity.Net(np.unique([b for f in want for b in f if b >= 0]), rng=np.random.default_rng(1))
+    model, texts = net.model(), [" ".join(words), "", " ".join(words[::-1][:4] * 3), "123"]
+    docs = [np.array([[model.row.get(b, 0) for b in f] for f in map(toxicity.word_features, t.split()) for f in [[*f, *[-1] * (5 - len(f))]]], np.int64).reshape(-1, 5) for t in texts]
+    want = toxicity.sigmoid(toxicity.logits(model, docs))
+    looked = []
+    monkeypatch.setattr(toxicity, "word_features", lambda w, own=toxicity.word_features: looked.append(w) or own(w))
+    batch = pa.RecordBatch.from_arrays([pa.array([t.replace("\ud800", "") for t in texts])], names=["text"])
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 5)  # the cache is emptied again and again
+    out = [b.column(0).to_numpy() for b in toxicity._scorer(model)(iter([batch, batch]))]
+    assert np.allclose(out[0][1:], want[1:]) and np.array_equal(out[0], out[1])
+    assert set(looked) <= {w for w in words if len(w) > 18}  # others are taken together
+
+
 def test_toxicity_odd_inputs(spark, odd_docs, no_docs):
     y = odd_docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 1).otherwise(0).alias("toxic"))
     model = toxicity.fit(odd_docs, y.unionByName(spark.createDataFrame([(None, 1), (99999, None)], "doc_id long, toxic int")))

@@ -32,9 +32,10 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
-from itertools import groupby
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass, field, replace
+from itertools import count, groupby, islice
 
 import numpy as np
 import pandas as pd
@@ -53,8 +54,10 @@ EPOCHS, BATCH, RATE, LEAST_DOCS = 8, 32, 0.02, 4
 SHARD_ROWS, BATCH_WORDS = 4096, 1 << 17
 BLOCK, STEPS, BROADCAST_LABELS = 1 << 14, 256, 1_000_000
 THRESHOLD = 0.7
-CACHE_WORDS, SLICE_CHARS = 400_000, 1 << 20
+CACHE_WORDS, SLICE_CHARS, LEARN_CHARS = 400_000, 1 << 20, 1 << 18
+LONG_WORD = 64  # bytes
 _LETTERS = re.compile(r"[\W\d_]+")
+_NO_LETTERS = re.compile(r"(?:[^\w\n]|[\d_])+")
 
 
 def word_features(chunk: str) -> tuple[int, ...]:
@@ -67,6 +70,52 @@ def word_features(chunk: str) -> tuple[int, ...]:
     return tuple(zlib.crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in parts)
 
 
+def _crc_table() -> np.ndarray:
+    crc = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        crc = crc >> np.uint32(1) ^ np.where(crc & np.uint32(1), np.uint32(0xEDB88320), np.uint32(0))
+    return crc
+
+
+_CRC = _crc_table()
+_FULL = np.uint32(0xFFFFFFFF)
+
+
+def features_of(chunks: Sequence[str]) -> np.ndarray:
+    """``word_features`` of white-space separated chunks, a row each; -1 where
+    a chunk has fewer. Bytes are taken column by column of all words."""
+    out = np.full((len(chunks), 1 + len(PREFIXES)), -1, np.int32)
+    if not len(chunks):
+        return out
+    data = np.frombuffer((_NO_LETTERS.sub("", "\n".join(chunks).lower()) + "\n").encode("utf-8", "surrogatepass"), np.uint8)
+    end = np.flatnonzero(data == 10)
+    start = np.append(0, end[:-1] + 1)
+    long = end - start > LONG_WORD
+    for i in np.flatnonzero(long).tolist():
+        f = word_features(chunks[i])
+        out[i, :len(f)] = f
+    todo = np.flatnonzero(~long & (end > start))
+    todo = todo[np.argsort(start[todo] - end[todo], kind="stable")]  # long ones first
+    at, size = start[todo], (end - start)[todo]
+    own = np.full(len(todo), _FULL)
+    head = np.full(len(todo), _CRC[(int(_FULL) ^ ord("^")) & 255] ^ _FULL >> np.uint32(8))
+    letters = np.zeros(len(todo), np.int8)
+    for j in range(int(size[0]) if len(size) else 0):
+        n = int(np.searchsorted(-size, -j))  # words of more than j bytes
+        byte = data[at[:n] + j]
+        own[:n] = _CRC[(own[:n] ^ byte) & 255] ^ own[:n] >> np.uint32(8)
+        if j < 4 * max(PREFIXES):
+            head[:n] = _CRC[(head[:n] ^ byte) & 255] ^ head[:n] >> np.uint32(8)
+            whole = data[at[:n] + j + 1] & 0xC0 != 0x80  # the last byte of a letter
+            letters[:n] += whole
+            for k, length in enumerate(PREFIXES, 1):
+                if j + 1 >= length:
+                    hit = np.flatnonzero(whole & (letters[:n] == length))
+                    out[todo[hit], k] = (head[hit] ^ _FULL) % BUCKETS
+    out[todo, 0] = (own ^ _FULL) % BUCKETS
+    return out
+
+
 @dataclass
 class Model:
     """Embeddings of the buckets kept, filters and the logistic layer."""
@@ -285,50 +334,61 @@ def _labels(labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     return y, {r["toxic"]: r["n"] for r in y.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
 
-class _Rows:
-    """Words as rows of embeddings; each word is looked up once."""
+class _Ids:
+    """Ids of words; ``values`` gives what is kept of new ones, an array of a
+    row each. Each word is looked up once."""
 
-    def __init__(self, net: Net):
-        self.net, self.ids, self.n = net, {}, 0
-        self.table = np.zeros((1 << 12, 1 + len(PREFIXES)), np.int32)  # grows by doubling
+    def __init__(self, values, width: int, dtype):
+        self.values, self.ids = values, defaultdict(count().__next__)
+        self.table = np.zeros((1 << 12, width), dtype)  # grows by doubling
 
-    def of(self, text: str) -> np.ndarray:
-        words = text.split()
+    def of(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Rows of ``table`` of the words of each text."""
         if len(self.ids) > CACHE_WORDS:
-            self.ids, self.n = {}, 0
-        known = self.ids
-        new = [w for w in dict.fromkeys(words) if w not in known]
+            self.ids = defaultdict(count().__next__)
+        n, known = len(self.ids), self.ids
+        at = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in map(str.split, texts)]
+        new = list(islice(known, n, None))
+        while len(known) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         if new:
-            width = self.table.shape[1]
-            found, n = [], self.n
-            for w in new:
-                f = word_features(w)
-                known[w] = n + len(found) if f else -1
-                if f:
-                    found.append(f + (-1,) * (width - len(f)))
-            while n + len(found) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            if found:
-                self.table[n:n + len(found)] = self.net.rows_of(np.array(found, np.int64))
-                self.n += len(found)
-        at = np.fromiter((known[w] for w in words), np.int64, len(words))
-        return self.table[at[at >= 0]]
+            self.table[n:len(known)] = self.values(new)
+        return at
+
+
+class _Rows:
+    """Words with letters as rows of embeddings."""
+
+    def __init__(self, net: Net):
+        # a word without letters has -1 only
+        self.ids = _Ids(lambda new: np.where((f := features_of(new))[:, :1] < 0, -1, net.rows_of(f)), 1 + len(PREFIXES), np.int32)
+
+    def of(self, texts: Sequence[str]) -> list[np.ndarray]:
+        rows = (self.ids.table[at] for at in self.ids.of(texts))
+        return [x[x[:, 0] >= 0] for x in rows]
+
+    def each(self, rows: Iterable[tuple]) -> Iterator[tuple]:
+        """Rows whose first value is a text, with its words instead."""
+        held, chars = [], 0
+        for r in rows:
+            held.append(r)
+            chars += len(r[0])
+            if chars >= LEARN_CHARS:
+                yield from ((x, *h[1:]) for x, h in zip(self.of([h[0] for h in held]), held))
+                held, chars = [], 0
+        yield from ((x, *h[1:]) for x, h in zip(self.of([h[0] for h in held]), held))
 
 
 @released
 def _bucket_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(bucket, documents that have it) of a task."""
-    counts, known = np.zeros(BUCKETS, np.int64), {}
+    counts, ids = np.zeros(BUCKETS, np.int64), _Ids(features_of, 1 + len(PREFIXES), np.int32)
     for b in batches:
-        for t in b["text"]:
-            own: set[int] = set()
-            for w in set(t.split()):
-                if w not in known:
-                    if len(known) > CACHE_WORDS:
-                        known.clear()
-                    known[w] = word_features(w)
-                own.update(known[w])
-            counts[np.fromiter(own, np.int64, len(own))] += 1
+        texts = b["text"].tolist()
+        for part in slices(texts, LEARN_CHARS):
+            for at in ids.of(texts[part]):
+                own = np.unique(ids.table[at])
+                counts[own[own >= 0]] += 1
     some = np.flatnonzero(counts)
     for lo in range(0, len(some), BLOCK):
         part = some[lo:lo + BLOCK]
@@ -356,7 +416,7 @@ def _round(start, weight: dict[int, float]):
         keys, params, square = start.value
         net = Net(keys, [p.copy() for p in params], [q.copy() for q in square])
         look, changed = _Rows(net), np.zeros(len(params[0]), bool)
-        for part in _batches((look.of(t), v, weight[v]) for v, t in rows):
+        for part in _batches((d, v, weight[v]) for d, v in look.each((t, v) for v, t in rows)):
             docs, y, w = zip(*part)
             changed[net.step(list(docs), np.array(y, np.float32), np.array(w, np.float32))] = True
         rest = [np.concatenate([(n - p).ravel() for n, p in zip(new[1:], old[1:])]) for new, old in ((net.params, params), (net.square, square))]
@@ -430,11 +490,13 @@ def _trained(learn: DataFrame, n: int, prior: dict[int, int], seed: int = 7) ->
 
 def _logit_steps(model: Model):
     """(lang, toxic, aside, text) -> numbers of rows by logit, in steps."""
+    keys, model = np.array(sorted(model.row), np.int64), replace(model, row={})  # arrays go to the tasks
+
     @released
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        look = _Rows(Net(np.array(sorted(model.row), np.int64), [model.emb], []))
+        look = _Rows(Net(keys, [model.emb], []))
         for b in batches:
-            z = np.concatenate([logits(model, [d for d, *_ in part]) for part in _batches((look.of(t), 0, 0) for t in b["text"])]) if len(b) else np.zeros(0)
+            z = np.concatenate([logits(model, [d for d, in part]) for part in _batches(look.each((t,) for t in b["text"]))]) if len(b) else np.zeros(0)
             yield pd.DataFrame({"lang": b["lang"], "toxic": b["toxic"], "step": np.round(np.clip(z, -40, 40) * STEPS).astype(np.int64)})
     return run
 
@@ -499,39 +561,23 @@ def _fit(docs: DataFrame, y: DataFrame, prior: dict[int, int], rows: int) -> Mod
     return model
 
 
-class _Words:
-    """Ids of words whose embeddings are summed once."""
-
-    def __init__(self, model: Model):
-        self.model, self.ids, self.table = model, {}, {(): 0}
-        self.emb = [np.zeros(DIM, np.float32)]
-
-    def learn(self, chunk: str) -> int:
-        kept = tuple(r for r in (self.model.row.get(b, 0) for b in word_features(chunk)) if r)
-        if kept not in self.table:
-            self.table[kept] = len(self.emb)
-            self.emb.append(self.model.emb[list(kept)].sum(axis=0))
-        i = self.ids[chunk] = self.table[kept]
-        return i
-
-
 def _scorer(model: Model):
+    buckets, rows_of = (np.fromiter(x, np.int64, len(model.row)) for x in (model.row.keys(), model.row.values()))
+    model = replace(model, row={})  # arrays go to the tasks
+
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, table = _Words(model), np.zeros((0, DIM), np.float32)
+        row = np.zeros(BUCKETS + 1, np.int32)  # the last for -1
+        row[buckets] = rows_of
+        words = _Ids(lambda new: model.emb[row[features_of(new)]].sum(axis=1), DIM, np.float32)
         for b in batches:
             texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
             score = np.zeros(len(texts))
             for part in slices(texts, SLICE_CHARS) if model.out is not None else ():
-                if len(words.ids) > CACHE_WORDS:
-                    words, table = _Words(model), np.zeros((0, DIM), np.float32)
-                ids, learn, docs = words.ids, words.learn, []
-                for t in texts[part]:
-                    docs.append(np.array([ids[c] if c in ids else learn(c) for c in t.split()], np.int64).reshape(-1, 1))
-                if len(table) < len(words.emb):
-                    table = np.concatenate([table, np.stack(words.emb[len(table):])])
-                rows, word, starts = _lay_out(docs)
-                feats, _ = _pool(table[rows[:, 0]], word, starts, model.conv, model.bias)
+                rows, word, starts = _lay_out([at.reshape(-1, 1) + 1 for at in words.of(texts[part])])
+                x = words.table[rows[:, 0] - 1]
+                x[~word] = 0
+                feats, _ = _pool(x, word, starts, model.conv, model.bias)
                 score[part] = sigmoid(feats @ model.out + model.out_bias + model.shift)
             columns = [b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*b.schema.names[:-1], "score"])
