@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txnlens.llm import jaccard_join, mixing, order_minhash, packing, suffix_dedup, toxicity
+from txnlens.llm.common import small_batches
 
 from ..conftest import SF001, SF01
 from . import brute
@@ -484,3 +485,22 @@ def test_pooling_stays_inside_documents():
     docs = [rng.integers(0, 10, (n, 5)) for n in (0, 1, 3, 9, 0, 40)]
     together = toxicity.logits(m, docs)
     assert np.allclose(together, [toxicity.logits(m, [d])[0] for d in docs], atol=1e-4)
+
+
+def test_blobs_reach_a_task_in_small_batches(spark):
+    conf = {f"spark.sql.execution.arrow.{n}": spark.conf.get(f"spark.sql.execution.arrow.{n}") for n in ("maxRecordsPerBatch", "maxBytesPerBatch")}
+    try:
+        for n in conf:
+            spark.conf.unset(n)
+        blobs = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("0123456789"), 10_000).cast("binary").alias("blob"))
+        small_batches(blobs)
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "size"])
+
+        got = blobs.mapInArrow(sizes, "rows long, size long").collect()
+        assert sum(r["rows"] for r in got) == 300 and max(r["size"] for r in got) < 8 << 20
+    finally:
+        for n, v in conf.items():
+            spark.conf.set(n, v)
