@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from txnlens.operators import ensemble, tuning
@@ -94,3 +95,39 @@ def test_search_on_rows(spark):
     assert best["auc"] == max(r["auc"] for r in t.where("share = 1.0").collect()) > 0.8 and t.select("trial").distinct().count() == 3
     one = tuning.adaptive_search(d.where("Class = 0"), n_trials=2, features=["a", "b"], space=space)
     assert one.isEmpty() and tuning.adaptive_search(d.where("false"), n_trials=2, features=["a", "b"], space=space).isEmpty()
+
+
+def labelled(spark, n):
+    d = spark.range(n).select("id", (F.col("id") % 3).cast("int").alias("fold"), F.when(F.col("id") % 7 == 0, 1).otherwise(0).alias("Class"))
+    return d.withColumn("a", F.col("Class") + F.pmod(F.xxhash64("id"), F.lit(100)) / 60).withColumn("b", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)) / 100)
+
+
+@pytest.mark.parametrize("how", [ensemble.search, tuning.adaptive_search])
+def test_a_search_fits_each_setting_once_a_fold_on_few_parts(spark, monkeypatch, how):
+    fits = []
+    for kind in (LogisticRegression, RandomForestClassifier):
+        def counted(self, data, whole=kind._fit):
+            fits.append((data.rdd.getNumPartitions(), data.count()))
+            return whole(self, data)
+        monkeypatch.setattr(kind, "_fit", counted)
+    drawn = [{"trial": t, "model": "lr", "n_estimators": None, "max_depth": None, "C": c} for t, c in enumerate((0.1, 5.0))]
+    monkeypatch.setattr(ensemble, "draw_trials", lambda n, seed: drawn[:n])
+    monkeypatch.setattr(tuning, "sample_shares", lambda *_: [1.0])
+    more = {"space": {"lr": ENSEMBLE_SPACE["lr"]}} if how is tuning.adaptive_search else {}
+    got = how(labelled(spark, 900).repartition(8), n_trials=2, features=["a", "b"], **more).collect()
+    assert fits == [(1, 600)] * 6 and [r["trial"] for r in got] == [0, 1] and all(0.8 < r["auc"] < 1 for r in got)
+
+
+def test_folds_of_a_search(spark):
+    d = labelled(spark, 900)
+    for wrong in (d.where("fold < 2"), d.withColumn("fold", F.col("fold") + 1), d.withColumn("fold", F.expr("nullif(fold, 1)"))):
+        with pytest.raises(ValueError):
+            ensemble.search(wrong, n_trials=1, features=["a", "b"])
+
+
+def test_forest_with_kept_nodes_has_the_same_trees(spark):
+    d = labelled(spark, 900).withColumn("Class", F.col("Class").cast("double")).coalesce(1).cache()
+    pipe = ensemble.ensemble_pipeline("rf", {"n_estimators": 5, "max_depth": 4}, 900, ["a", "b"])
+    forest = pipe.getStages()[1]
+    kept, walked = pipe.fit(d), pipe.copy({forest.cacheNodeIds: False}).fit(d)
+    assert forest.getCacheNodeIds() and kept.stages[1].toDebugString.split("\n")[1:] == walked.stages[1].toDebugString.split("\n")[1:]

@@ -1,28 +1,38 @@
 """Ensemble classifier over the six score features, its random
-hyper-parameter search (``CrossValidator`` on a stratified fold column),
-feature importance and batch scoring with the forest-only fallback."""
+hyper-parameter search (cross-validation on a stratified fold column),
+feature importance and batch scoring with the forest-only fallback.
+
+A fit is a chain of short jobs, and a task of a forest holds and sends the
+statistics of all nodes of a level, however few its rows. So the rows of a
+search lie in as few parts as ROWS_A_PART allows, and fits run side by side to
+fill the cores."""
 
 from __future__ import annotations
 
 import math
 import random
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import defaulted_id
 from ..schemas import ENSEMBLE_FEATURES
 
+ROWS_A_PART = 50_000
+MOST_FITS = 6  # side by side; the driver holds the splits of a forest's level for each
+FOLDS = 3
+
 
 def _classifier(kind: str, params: dict, n_rows: int, label: str, seed: int):
     if kind == "rf":
-        return RandomForestClassifier(labelCol=label, featuresCol="features", seed=seed,
+        # each row's node is kept between levels (the same trees), not walked to from the root
+        return RandomForestClassifier(labelCol=label, featuresCol="features", seed=seed, cacheNodeIds=True, checkpointInterval=-1,
                                       numTrees=int(params["n_estimators"]), maxDepth=int(params["max_depth"]))
     # C·Σloss + ½‖w‖²  ≡  (1/n)Σloss + (1/(C·n))·½‖w‖²
     return LogisticRegression(labelCol=label, featuresCol="features", maxIter=1000, standardization=False,
@@ -64,37 +74,49 @@ def draw_trials(n_trials: int = 20, seed: int = 42) -> list[dict]:
     return out
 
 
+def in_parts(df: DataFrame, n_rows: int) -> DataFrame:
+    """``df``, which is cached, in a part for each ROWS_A_PART rows at most."""
+    return df.coalesce(max(1, math.ceil(n_rows / ROWS_A_PART)))
+
+
+def fits_at_once(spark: SparkSession, n_rows: int, parallelism: int) -> int:
+    """``parallelism``, or more if fits have few parts: two parts a core, as
+    the driver works on a fit between its jobs."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(parallelism, min(MOST_FITS, 2 * cores // max(1, math.ceil(n_rows / ROWS_A_PART))))
+
+
+def fit_auc(data: DataFrame, setting: dict, n_fit: int, fold, fold_col: str, features, label: str, seed: int) -> float:
+    """AUC on the rows of ``fold`` of a model of all other rows."""
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0)
+    model = ensemble_pipeline(setting["model"], setting, n_fit, features, label, seed).fit(data.where(F.col(fold_col) != fold))
+    return ev.evaluate(model.transform(data.where(F.col(fold_col) == fold)))
+
+
 def search(df: DataFrame, n_trials: int = 20, fold_col: str = "fold", features=ENSEMBLE_FEATURES,
            label: str = "Class", seed: int = 42, parallelism: int = 4) -> DataFrame:
     """Trial table (trial, model, n_estimators, max_depth, C, auc): the mean
-    fold AUC of every drawn setting, one ``CrossValidator`` per family."""
-    data = df.withColumn(label, F.col(label).cast("double")).cache()
-    n = data.count()
-    n_fit = int(round(n * 2 / 3))  # rows per training fold
+    AUC of every drawn setting over the folds 0, 1 and 2."""
     trials = draw_trials(n_trials, seed)
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
-                                       metricName="areaUnderROC", numBins=0)
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    rows = []
-    for kind in ("rf", "lr"):
-        group = [t for t in trials if t["model"] == kind]
-        if not group:
-            continue
-        proto = _classifier(kind, group[0], n_fit, label, seed)
-        maps = []
-        for t in group:
-            c = _classifier(kind, t, n_fit, label, seed)
-            maps.append({proto.getParam(p.name): c.getOrDefault(p) for p in c.params
-                         if c.isSet(p) and p.name in ("numTrees", "maxDepth", "regParam")})
-        cv = CrossValidator(estimator=Pipeline(stages=[asm, proto]), estimatorParamMaps=maps, evaluator=ev,
-                            foldCol=fold_col, parallelism=parallelism, seed=seed)
-        fitted = cv.fit(data)
-        for t, auc in zip(group, fitted.avgMetrics):
-            rows.append((t["trial"], kind, t["n_estimators"], t["max_depth"], t["C"], float(auc)))
-    data.unpersist()
-    spark = df.sparkSession
+    data = df.withColumn(label, F.col(label).cast("double")).cache()
+    try:
+        sizes = {r[0]: r["count"] for r in data.groupBy(fold_col).count().collect()}  # a row a fold
+        n = sum(sizes.values())
+        if set(sizes) != set(range(FOLDS)):
+            raise ValueError(f"{fold_col} must hold each of the folds 0 to {FOLDS - 1} and no other: {sorted(map(str, sizes))}")
+        n_fit = int(round(n * 2 / 3))  # rows per training fold
+        parts = in_parts(data, n)
+        # the long ones first: forests by their nodes
+        jobs = [(t, f) for t in sorted(trials, key=lambda t: -(t["n_estimators"] or 0) * 2 ** (t["max_depth"] or 0)) for f in range(FOLDS)]
+        with ThreadPool(fits_at_once(df.sparkSession, n, parallelism)) as pool:
+            aucs = pool.map(lambda j: fit_auc(parts, j[0], n_fit, j[1], fold_col, features, label, seed), jobs, chunksize=1)
+    finally:
+        data.unpersist()
+    by = {(t["trial"], f): auc for (t, f), auc in zip(jobs, aucs)}
+    rows = [(t["trial"], t["model"], t["n_estimators"], t["max_depth"], t["C"], sum(by[t["trial"], f] for f in range(FOLDS)) / FOLDS)
+            for t in sorted(trials, key=lambda t: t["model"] != "rf")]
     # one row per trial: a small, fixed-size table
-    return spark.createDataFrame(rows, "trial int, model string, n_estimators int, max_depth int, C double, auc double")
+    return df.sparkSession.createDataFrame(rows, "trial int, model string, n_estimators int, max_depth int, C double, auc double")
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
