@@ -9,8 +9,8 @@ the best the one with the largest ratio is tried next.
 Poor settings are stopped by successive halving: a setting is first judged on
 a hash sample of the rows, and goes on to the next, larger sample (which holds
 the smaller one) when it is among the best 1/eta of all settings judged on its
-own; only settings judged on all rows can win. Settings of a round are fitted
-side by side. A round depends on the finished rounds alone, so the search
+own; only settings judged on all rows can win. Settings of a round, and their
+folds, are fitted side by side. A round depends on the finished rounds alone, so the search
 does not depend on timing or partitions.
 
 Defined results: settings still running count among the rest; equal values are
@@ -27,12 +27,11 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ENSEMBLE_FEATURES
-from .ensemble import ensemble_pipeline
+from .ensemble import fit_auc, fits_at_once, in_parts
 
 SAMPLE_BITS = 1 << 40
 
@@ -175,16 +174,17 @@ def in_sample(key: str, share: float, seed: int):
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(SAMPLE_BITS)) < F.lit(int(share * SAMPLE_BITS))
 
 
-def fold_auc(df: DataFrame, setting: dict, fold_col: str, features, label: str, seed: int) -> float:
-    """Mean AUC over the folds that hold both labels."""
-    sizes = {r[0]: (r["n"], r["p"]) for r in df.groupBy(fold_col).agg(F.count("*").alias("n"), F.sum(label).alias("p")).collect()}
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0)
-    total, out = sum(n for n, _ in sizes.values()), []
-    for fold, (n, p) in sorted(sizes.items()):
-        learn = sum(q for f, (_, q) in sizes.items() if f != fold)
-        if 0 < p < n and 0 < learn < total - n:
-            model = ensemble_pipeline(setting["model"], setting, total - n, features, label, seed).fit(df.where(F.col(fold_col) != fold))
-            out.append(ev.evaluate(model.transform(df.where(F.col(fold_col) == fold))))
+def fold_sizes(df: DataFrame, fold_col: str, label: str) -> dict:
+    """(rows, positive rows) of each fold."""
+    return {r[0]: (r["n"], r["p"]) for r in df.groupBy(fold_col).agg(F.count("*").alias("n"), F.sum(label).alias("p")).collect()}
+
+
+def fold_auc(df: DataFrame, sizes: dict, setting: dict, fold_col: str, features, label: str, seed: int, each: Callable = map) -> float:
+    """Mean AUC over the folds that hold both labels; ``each`` maps a fit over the folds."""
+    total = sum(n for n, _ in sizes.values())
+    judged = [(fold, total - n) for fold, (n, p) in sorted(sizes.items())
+              if 0 < p < n and 0 < sum(q for f, (_, q) in sizes.items() if f != fold) < total - n]
+    out = list(each(lambda j: fit_auc(df, setting, j[1], j[0], fold_col, features, label, seed), judged))
     return sum(out) / len(out) if out else math.nan
 
 
@@ -198,12 +198,17 @@ def adaptive_search(df: DataFrame, n_trials: int = 20, fold_col: str = "fold", f
         labels = data.groupBy(label).count().collect()  # a row a label
         folds = data.agg(F.countDistinct(fold_col)).first()[0]
         shares = sample_shares(min((r["count"] for r in labels), default=0), folds)
-
-        def evaluate(setting: dict, rung: int) -> float:
-            part = data if shares[rung] >= 1 else data.where(in_sample(key, shares[rung], seed))
-            return fold_auc(part, setting, fold_col, features, label, seed)
-
-        trials = halving_search(evaluate, len(shares), n_trials, seed, parallelism, space) if len(labels) > 1 else []
+        samples = []
+        for share in shares if len(labels) > 1 else ():
+            part = data if share >= 1 else data.where(in_sample(key, share, seed))
+            sizes = fold_sizes(part, fold_col, label)
+            samples.append((in_parts(part, sum(n for n, _ in sizes.values())), sizes))
+        n = sum(r["count"] for r in labels)
+        with ThreadPool(fits_at_once(df.sparkSession, n, parallelism)) as fits:
+            def evaluate(setting: dict, rung: int) -> float:
+                return fold_auc(*samples[rung], setting, fold_col, features, label, seed, lambda run, of: fits.map(run, of, chunksize=1))
+
+            trials = halving_search(evaluate, len(shares), n_trials, seed, parallelism, space) if len(labels) > 1 else []
     finally:
         data.unpersist()
     rows = [(t.trial, t.setting["model"], t.setting.get("n_estimators"), t.setting.get("max_depth"), t.setting.get("C"), shares[r], v if v == v else None)
