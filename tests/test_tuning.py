@@ -131,3 +131,18 @@ def test_forest_with_kept_nodes_has_the_same_trees(spark):
     forest = pipe.getStages()[1]
     kept, walked = pipe.fit(d), pipe.copy({forest.cacheNodeIds: False}).fit(d)
     assert forest.getCacheNodeIds() and kept.stages[1].toDebugString.split("\n")[1:] == walked.stages[1].toDebugString.split("\n")[1:]
+
+
+def test_search_gives_the_means_of_a_cross_validator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    d = labelled(spark, 900).withColumn("Class", F.col("Class").cast("double")).repartition(4).cache()
+    ev = BinaryClassificationEvaluator(labelCol="Class", rawPredictionCol="probability", numBins=0)
+    for t in ({"trial": 0, "model": "rf", "n_estimators": 6, "max_depth": 3, "C": None}, {"trial": 0, "model": "lr", "n_estimators": None, "max_depth": None, "C": 0.5}):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(ensemble, "draw_trials", lambda n, seed: [t])
+            got = ensemble.search(d, 1, features=["a", "b"]).first()["auc"]
+        pipe = ensemble.ensemble_pipeline(t["model"], t, 600, ["a", "b"])
+        want = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=ev, foldCol="fold").fit(d).avgMetrics[0]
+        assert got == pytest.approx(want, abs=1e-9)

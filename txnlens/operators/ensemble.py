@@ -2,10 +2,10 @@
 hyper-parameter search (cross-validation on a stratified fold column),
 feature importance and batch scoring with the forest-only fallback.
 
-A fit is a chain of short jobs, and a task of a forest holds and sends the
-statistics of all nodes of a level, however few its rows. So the rows of a
-search lie in as few parts as ROWS_A_PART allows, and fits run side by side to
-fill the cores."""
+A fit is a chain of short jobs: in a search, regressions and evaluations read
+the rows in as few parts as ROWS_A_PART allows, and fits run side by side to
+fill the cores. Forests keep the parts of the cached rows, as they draw their
+rows by part."""
 
 from __future__ import annotations
 
@@ -75,7 +75,7 @@ def draw_trials(n_trials: int = 20, seed: int = 42) -> list[dict]:
 
 
 def in_parts(df: DataFrame, n_rows: int) -> DataFrame:
-    """``df``, which is cached, in a part for each ROWS_A_PART rows at most."""
+    """``df`` in at most a part for each ROWS_A_PART rows."""
     return df.coalesce(max(1, math.ceil(n_rows / ROWS_A_PART)))
 
 
@@ -87,10 +87,11 @@ def fits_at_once(spark: SparkSession, n_rows: int, parallelism: int) -> int:
 
 
 def fit_auc(data: DataFrame, setting: dict, n_fit: int, fold, fold_col: str, features, label: str, seed: int) -> float:
-    """AUC on the rows of ``fold`` of a model of all other rows."""
+    """AUC on the rows of ``fold`` of a model of all other rows of ``data``, which is cached."""
+    few = in_parts(data, n_fit)
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0)
-    model = ensemble_pipeline(setting["model"], setting, n_fit, features, label, seed).fit(data.where(F.col(fold_col) != fold))
-    return ev.evaluate(model.transform(data.where(F.col(fold_col) == fold)))
+    model = ensemble_pipeline(setting["model"], setting, n_fit, features, label, seed).fit((few if setting["model"] == "lr" else data).where(F.col(fold_col) != fold))
+    return ev.evaluate(model.transform(few.where(F.col(fold_col) == fold)))
 
 
 def search(df: DataFrame, n_trials: int = 20, fold_col: str = "fold", features=ENSEMBLE_FEATURES,
@@ -105,11 +106,10 @@ def search(df: DataFrame, n_trials: int = 20, fold_col: str = "fold", features=E
         if set(sizes) != set(range(FOLDS)):
             raise ValueError(f"{fold_col} must hold each of the folds 0 to {FOLDS - 1} and no other: {sorted(map(str, sizes))}")
         n_fit = int(round(n * 2 / 3))  # rows per training fold
-        parts = in_parts(data, n)
         # the long ones first: forests by their nodes
         jobs = [(t, f) for t in sorted(trials, key=lambda t: -(t["n_estimators"] or 0) * 2 ** (t["max_depth"] or 0)) for f in range(FOLDS)]
         with ThreadPool(fits_at_once(df.sparkSession, n, parallelism)) as pool:
-            aucs = pool.map(lambda j: fit_auc(parts, j[0], n_fit, j[1], fold_col, features, label, seed), jobs, chunksize=1)
+            aucs = pool.map(lambda j: fit_auc(data, j[0], n_fit, j[1], fold_col, features, label, seed), jobs, chunksize=1)
     finally:
         data.unpersist()
     by = {(t["trial"], f): auc for (t, f), auc in zip(jobs, aucs)}

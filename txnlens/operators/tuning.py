@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ENSEMBLE_FEATURES
-from .ensemble import fit_auc, fits_at_once, in_parts
+from .ensemble import fit_auc, fits_at_once
 
 SAMPLE_BITS = 1 << 40
 
@@ -201,8 +201,7 @@ def adaptive_search(df: DataFrame, n_trials: int = 20, fold_col: str = "fold", f
         samples = []
         for share in shares if len(labels) > 1 else ():
             part = data if share >= 1 else data.where(in_sample(key, share, seed))
-            sizes = fold_sizes(part, fold_col, label)
-            samples.append((in_parts(part, sum(n for n, _ in sizes.values())), sizes))
+            samples.append((part, fold_sizes(part, fold_col, label)))
         n = sum(r["count"] for r in labels)
         with ThreadPool(fits_at_once(df.sparkSession, n, parallelism)) as fits:
             def evaluate(setting: dict, rung: int) -> float:
