@@ -166,6 +166,22 @@ def test_suffix_hot_anchors_stay_bounded(spark, monkeypatch, heavy):
     assert hot and hot[0] > limit and got == brute.repeats(rows)
 
 
+def test_suffix_sorts_hold_a_batch_and_an_anchor(monkeypatch):
+    """However many anchors a task has, one sort holds a batch of suffixes, and
+    the anchor that fills it; all of them are found."""
+    import pyarrow as pa
+
+    sort, held = suffix_dedup.repeated_windows, []
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda b, ids, width: held.append(sum(len(x) - width + 1 for x in b)) or sort(b, ids, width))
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, 400).astype(np.uint8).tobytes() for _ in range(300)]
+    rows = [(a, i, 0, 1000 * a, t) for a, t in enumerate(texts) for i in (1, 2)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["anchor", "id", "tag", "lo", "bytes"])
+    got = [(r["id"], r["tag"], r["lo"], r["hi"]) for b in suffix_dedup._sort_task(50)(iter([batch])) for r in b.to_pylist()]
+    assert sum(held) == 600 * 351 and max(held) <= suffix_dedup.SORT_BATCH + 2 * 351 and len(held) > 2
+    assert got == [(2, 0, 1000 * a, 1000 * a + 400) for a in range(300)]
+
+
 def test_settled_runs_need_the_whole_hash():
     """Runs of one anchor whose hashes agree in their low 40 bits, or in one
     of the two, are not settled by each other."""
