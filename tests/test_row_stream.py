@@ -272,3 +272,47 @@ def test_batches_admitted_at_once_sink_as_batches_of_their_own(spark, rows, tmp_
         return (sorted(map(tuple, alerts.select(*keys).collect())), sorted(map(tuple, cases.collect())),
                 sorted(map(tuple, stats.select("batch_id", "transactions_processed", "fraud_detected", "fraud_rate", "total_processed", "total_fraud_detected").collect())))
     assert found(f"{tmp_root}/one") == found(f"{tmp_root}/many")
+
+
+# ---- micro-batches that grow
+
+def test_growing_admission():
+    """1, 2, 4 batches and so on, up to batches_at_once; the offset alone decides it."""
+    import json
+
+    from txnlens.schemas import EVENTS
+
+    def ends(at=0, **more):
+        reader, out = RowStreamReader({"files": json.dumps([["f", 1000]]), "rows_per_batch": "30", "batches_at_once": "7", **more}, EVENTS), []
+        reader.partitions({"row": at}, {"row": at})
+        while (n := reader.latestOffset()["row"]) > at:
+            out.append(n)
+            reader.partitions({"row": at}, {"row": n})
+            at = n
+        return out
+    assert ends(growing="true") == [30, 90, 210, 420, 630, 840, 1000]
+    assert ends(at=90, growing="true") == [210, 420, 630, 840, 1000]  # after a restart too
+    assert ends() == [210, 420, 630, 840, 1000]
+
+
+@pytest.mark.parametrize("hops", [0])
+def test_graph_streams_take_few_micro_batches(spark, monkeypatch, hops):
+    """The edges and features of 50 batches, found in micro-batches of 1, 2, 4 and then 8 of them."""
+    monkeypatch.setattr(q_streaming, "GRAPH_ROWS", 20)
+    monkeypatch.setattr(q_streaming, "BATCHES_AT_ONCE", 8)
+    name, seen = ("features_sink" if hops else "edges_sink"), []
+    whole = getattr(q_streaming, name)
+
+    def counted(tail, path):
+        process = whole(tail, path)
+        return lambda df, i, **last: (seen.append(df.count()), process(df, i, **last))[1]
+    monkeypatch.setattr(q_streaming, name, counted)
+    t = txn(spark, SF001)
+    if hops:
+        got = {r["id"]: (r["Amount_h"], r["Hour_h"]) for r in q_streaming.stream_graph_features(spark, SF001).collect()}
+        want = hops_of_all(t, hops)
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=2e-5) for k in got)
+    else:
+        got = sorted(map(tuple, q_streaming.stream_band_edges(spark, SF001).collect()))
+        assert got == sorted(map(tuple, graph.banded_edges(t).collect()))
+    assert seen == [20, 40, 80] + [160] * 5 + [60] + [0] * bool(hops)

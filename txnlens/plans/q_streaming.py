@@ -152,7 +152,7 @@ BATCH_ROWS = 3000     # of a batch with sinks
 BATCHES_AT_ONCE = 100  # of them, in a micro-batch
 TOTALS_ROWS = 100     # of a batch of the totals; micro-batches of TOTALS_ADMITTED rows end inside some
 TOTALS_ADMITTED = 4050
-GRAPH_ROWS = 4000
+GRAPH_ROWS = 4000      # of a batch of the graph; a micro-batch takes 1, 2, 4, ... BATCHES_AT_ONCE of them
 
 
 @register("stream_row_batches", "S9 W2 X1 X3 X5", _rule_sql(f"""
@@ -190,7 +190,7 @@ def run_graph_stream(spark, sf, hops: int, sink) -> str:
     root = scratch_path(spark, "graph-stream")
     rows = txn(spark, sf).select("id", "Time", "Amount").withColumn("Hour", hour_of_day("Time"))
     tail = GraphTail(f"{root}/state", ["Amount", "Hour"], hops=hops)
-    stream = row_stream(spark, index_rows(rows), GRAPH_ROWS).drop("pos")
+    stream = row_stream(spark, index_rows(rows), GRAPH_ROWS, batches_at_once=BATCHES_AT_ONCE, growing=True).drop("pos")
     process = sink(tail, f"{root}/out")
     run_to_end(stream.writeStream.foreachBatch(process).option("checkpointLocation", f"{root}/_checkpoint").start())
     if hops:

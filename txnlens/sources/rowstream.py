@@ -15,10 +15,12 @@ row n of the stream is row n of that order, whatever files the table came in.
 * with ``batches_at_once`` a micro-batch admits up to so many of these batches,
   whole ones but for the last, as far as rows are waiting: the number of
   micro-batches and their fixed cost fall, and ``pos div rows_per_batch``
-  still tells the batches apart;
+  still tells the batches apart. With ``growing`` it starts with one batch and
+  admits as many more as came before, and one, up to that number: short streams
+  have several micro-batches, long ones few. The offset alone decides it;
 * ``max_batches`` ends the stream after so many of them;
 * a batch is cut into pieces of files, one task each, which read only the row
-  groups they touch, as Arrow batches;
+  groups they touch, up to their last row, as Arrow batches;
 * ``append_rows`` adds rows that come after all others: a restarted query
   goes on with them.
 
@@ -42,7 +44,8 @@ from pyspark.sql.types import LongType, StructType
 from ..session import default_parallelism, scratch_path, ship_package
 
 FORMAT = "txnlens_rows"
-TASK_ROWS = 1 << 20  # rows that one task of a micro-batch reads at most
+TASK_ROWS = 1 << 16  # rows that one task of a micro-batch reads at most
+GROUP_BYTES = 4 << 20  # of a row group of the index, unless the session sets its size
 ARROW_ROWS = 10_000
 
 
@@ -60,7 +63,8 @@ class RowIndex:
 def _written(df: DataFrame, order_by) -> tuple[tuple[str, int], ...]:
     spark = df.sparkSession
     path = scratch_path(spark, "rows")
-    df.repartitionByRange(default_parallelism(spark), *order_by).sortWithinPartitions(*order_by).write.parquet(path)
+    group = spark.conf.get("parquet.block.size", str(GROUP_BYTES))
+    df.repartitionByRange(default_parallelism(spark), *order_by).sortWithinPartitions(*order_by).write.option("parquet.block.size", group).parquet(path)
     counts = spark.read.schema(df.schema).parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).count().collect()  # a row for each file
     return tuple(sorted(((r["file"], r["count"]) for r in counts), key=lambda f: _place(f[0])))
 
@@ -92,6 +96,7 @@ class RowStreamReader(DataSourceStreamReader):
     def __init__(self, options, schema: StructType):
         self.files = [(u, int(n)) for u, n in json.loads(options["files"])]
         self.size, self.at_once = int(options["rows_per_batch"]), int(options.get("batches_at_once") or 1)
+        self.growing = str(options.get("growing") or "").lower() == "true"
         rows = sum(n for _, n in self.files)
         most = options.get("max_batches")
         self.end = rows if most in (None, "") else min(rows, int(most) * self.size)
@@ -102,7 +107,9 @@ class RowStreamReader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         """Admission: up to the next multiple of the batch size, or the ``batches_at_once``-th one."""
-        return {"row": max(self.at, min((self.at // self.size + self.at_once) * self.size, self.end))}
+        before = self.at // self.size
+        at_once = min(self.at_once, before + 1) if self.growing else self.at_once
+        return {"row": max(self.at, min((before + at_once) * self.size, self.end))}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         """Also called with start = end after a restart, which tells where the checkpoint is."""
@@ -129,6 +136,8 @@ class RowStreamReader(DataSourceStreamReader):
                 if first < p.hi and first + n > p.lo:
                     at = first
                     for b in parquet.iter_batches(ARROW_ROWS, row_groups=[g], columns=names):
+                        if at >= p.hi:
+                            break
                         a, z = max(p.lo - at, 0), min(p.hi - at, len(b))
                         if a < z:
                             pos = pa.array(range(p.first + at + a, p.first + at + z), pa.int64())
@@ -162,12 +171,12 @@ class RowSource(DataSource):
         return RowStreamReader(self.options, schema)
 
 
-def row_stream(spark: SparkSession, index: RowIndex, rows_per_batch: int, max_batches: int | None = None, batches_at_once: int = 1) -> DataFrame:
+def row_stream(spark: SparkSession, index: RowIndex, rows_per_batch: int, max_batches: int | None = None, batches_at_once: int = 1, growing: bool = False) -> DataFrame:
     """The indexed rows and their number ``pos``, as a streaming DataFrame."""
     ship_package(spark)
     spark.dataSource.register(RowSource)
     schema = StructType([*index.schema.fields]).add("pos", LongType())
-    r = spark.readStream.format(FORMAT).schema(schema).option("files", json.dumps(index.files)).option("rows_per_batch", rows_per_batch).option("batches_at_once", batches_at_once)
+    r = spark.readStream.format(FORMAT).schema(schema).option("files", json.dumps(index.files)).option("rows_per_batch", rows_per_batch).option("batches_at_once", batches_at_once).option("growing", growing)
     if max_batches is not None:
         r = r.option("max_batches", max_batches)
     return r.load()
