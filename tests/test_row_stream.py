@@ -316,3 +316,22 @@ def test_graph_streams_take_few_micro_batches(spark, monkeypatch, hops):
         got = sorted(map(tuple, q_streaming.stream_band_edges(spark, SF001).collect()))
         assert got == sorted(map(tuple, graph.banded_edges(t).collect()))
     assert seen == [20, 40, 80] + [160] * 5 + [60] + [0] * bool(hops)
+
+
+def test_keyed_totals_take_few_micro_batches(spark, monkeypatch):
+    """22 and a half batches of 45 rows, which end inside totals of 10 rows."""
+    import os
+
+    for name, n in (("TOTALS_ADMITTED", 45), ("TOTALS_ROWS", 10), ("BATCHES_AT_ONCE", 5)):
+        monkeypatch.setattr(q_streaming, name, n)
+    paths = []
+    monkeypatch.setattr(q_streaming, "start_totals", lambda totals, path, *a, **k: paths.append(path) or start_totals(totals, path, *a, **k))
+    got = plain(q_streaming.stream_keyed_totals(spark, SF001))
+    rows = q_streaming.rule_scorer(row_batches(txn(spark, SF001), 10)).groupBy("batch_id").agg(F.count("*").alias("n"), F.sum("prediction").alias("d")).orderBy("batch_id").collect()
+    want, n, d = [], 0, 0
+    for r in rows:
+        n, d = n + r["n"], d + r["d"]
+        want.append((r["batch_id"], r["n"], r["d"], n, d))
+    assert got == want
+    epochs = [x for x in os.listdir(paths[0].removeprefix("file:")) if x.startswith("epoch=")]
+    assert len(epochs) == 7  # that end at rows 45, 135, 315, 540, 765, 990 and 1000

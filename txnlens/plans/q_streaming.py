@@ -152,7 +152,7 @@ BATCH_ROWS = 3000     # of a batch with sinks
 BATCHES_AT_ONCE = 100  # of them, in a micro-batch
 TOTALS_ROWS = 100     # of a batch of the totals; micro-batches of TOTALS_ADMITTED rows end inside some
 TOTALS_ADMITTED = 4050
-GRAPH_ROWS = 4000      # of a batch of the graph; a micro-batch takes 1, 2, 4, ... BATCHES_AT_ONCE of them
+GRAPH_ROWS = 4000      # of a batch of the graph; a micro-batch of it or of the totals takes 1, 2, 4, ... BATCHES_AT_ONCE of theirs
 
 
 @register("stream_row_batches", "S9 W2 X1 X3 X5", _rule_sql(f"""
@@ -180,7 +180,7 @@ SELECT batch_id, n AS transactions_processed, d AS fraud_detected, CAST(sum(n) O
 def stream_keyed_totals(spark, sf):
     """Running totals of batches of TOTALS_ROWS rows, held in the state store."""
     root = scratch_path(spark, "keyed-totals")
-    rows = rule_scorer(row_stream(spark, index_rows(txn(spark, sf)), TOTALS_ADMITTED))
+    rows = rule_scorer(row_stream(spark, index_rows(txn(spark, sf)), TOTALS_ADMITTED, batches_at_once=BATCHES_AT_ONCE, growing=True))
     totals = running_totals(rows.withColumn("batch_id", F.floor(F.col("pos") / F.lit(TOTALS_ROWS))))
     run_to_end(start_totals(totals, f"{root}/out", f"{root}/_checkpoint", partitions=1))  # totals of one key
     return read_totals(spark, f"{root}/out").drop("key")
