@@ -295,7 +295,7 @@ def test_growing_admission():
     assert ends() == [210, 420, 630, 840, 1000]
 
 
-@pytest.mark.parametrize("hops", [0])
+@pytest.mark.parametrize("hops", [0, 3])
 def test_graph_streams_take_few_micro_batches(spark, monkeypatch, hops):
     """The edges and features of 50 batches, found in micro-batches of 1, 2, 4 and then 8 of them."""
     monkeypatch.setattr(q_streaming, "GRAPH_ROWS", 20)

@@ -30,7 +30,7 @@ from ..operators.position import with_position
 from ..session import materialize
 from ..sources.files import names_like, path_exists
 
-PLACED_ROWS = 1 << 17  # of a window, in one task of its sort
+PLACED_ROWS = 1 << 15  # of a window, in one task of its sort
 READY = "_given"  # state column: the row has been given out
 
 
