@@ -5,7 +5,9 @@ feature importance and batch scoring with the forest-only fallback.
 A fit is a chain of short jobs: in a search, regressions and evaluations read
 the rows in as few parts as ROWS_A_PART allows, and fits run side by side to
 fill the cores. Forests keep the parts of the cached rows, as they draw their
-rows by part."""
+rows by part. Forests over more rows than that would keep a number of draws and
+a node for each row and tree, so those of a search are grown from counted cells
+(``cell_forest``), all in one job."""
 
 from __future__ import annotations
 
@@ -23,8 +25,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import defaulted_id
 from ..schemas import ENSEMBLE_FEATURES
+from .cell_forest import FoldCells
 
 ROWS_A_PART = 50_000
+MOST_ROWS_A_PART = 1_000_000  # where parts grow to be two a core
 MOST_FITS = 6  # side by side; the driver holds the splits of a forest's level for each
 FOLDS = 3
 
@@ -74,16 +78,27 @@ def draw_trials(n_trials: int = 20, seed: int = 42) -> list[dict]:
     return out
 
 
+def n_parts(spark: SparkSession, n_rows: int) -> int:
+    """A part for each ROWS_A_PART rows, or two a core if those can hold the rows."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(math.ceil(n_rows / ROWS_A_PART), max(2 * cores, math.ceil(n_rows / MOST_ROWS_A_PART))))
+
+
 def in_parts(df: DataFrame, n_rows: int) -> DataFrame:
-    """``df`` in at most a part for each ROWS_A_PART rows."""
-    return df.coalesce(max(1, math.ceil(n_rows / ROWS_A_PART)))
+    """``df`` in at most ``n_parts`` parts."""
+    return df.coalesce(n_parts(df.sparkSession, n_rows))
 
 
 def fits_at_once(spark: SparkSession, n_rows: int, parallelism: int) -> int:
     """``parallelism``, or more if fits have few parts: two parts a core, as
     the driver works on a fit between its jobs."""
     cores = spark.sparkContext.defaultParallelism
-    return max(parallelism, min(MOST_FITS, 2 * cores // max(1, math.ceil(n_rows / ROWS_A_PART))))
+    return max(parallelism, min(MOST_FITS, 2 * cores // n_parts(spark, n_rows)))
+
+
+def forest_cells(data: DataFrame, n_rows: int, folds: list, fold_col: str, features, label: str) -> FoldCells | None:
+    """The cells of the folds if there are too many rows for forests over rows."""
+    return FoldCells.of(data, folds, fold_col, features, label) if n_rows > ROWS_A_PART else None
 
 
 def fit_auc(data: DataFrame, setting: dict, n_fit: int, fold, fold_col: str, features, label: str, seed: int) -> float:

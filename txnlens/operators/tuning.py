@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ENSEMBLE_FEATURES
-from .ensemble import fit_auc, fits_at_once
+from .cell_forest import FoldCells
+from .ensemble import fit_auc, fits_at_once, forest_cells
 
 SAMPLE_BITS = 1 << 40
 
@@ -179,12 +180,17 @@ def fold_sizes(df: DataFrame, fold_col: str, label: str) -> dict:
     return {r[0]: (r["n"], r["p"]) for r in df.groupBy(fold_col).agg(F.count("*").alias("n"), F.sum(label).alias("p")).collect()}
 
 
-def fold_auc(df: DataFrame, sizes: dict, setting: dict, fold_col: str, features, label: str, seed: int, each: Callable = map) -> float:
-    """Mean AUC over the folds that hold both labels; ``each`` maps a fit over the folds."""
+def fold_auc(df: DataFrame, sizes: dict, setting: dict, fold_col: str, features, label: str, seed: int, each: Callable = map,
+             cells: FoldCells | None = None) -> float:
+    """Mean AUC over the folds that hold both labels; ``each`` maps a fit over
+    the folds; forests are grown from ``cells`` if there are any."""
     total = sum(n for n, _ in sizes.values())
     judged = [(fold, total - n) for fold, (n, p) in sorted(sizes.items())
               if 0 < p < n and 0 < sum(q for f, (_, q) in sizes.items() if f != fold) < total - n]
-    out = list(each(lambda j: fit_auc(df, setting, j[1], j[0], fold_col, features, label, seed), judged))
+    if cells and setting["model"] == "rf" and judged:
+        out = cells.aucs([(setting, fold) for fold, _ in judged], seed)
+    else:
+        out = list(each(lambda j: fit_auc(df, setting, j[1], j[0], fold_col, features, label, seed), judged))
     return sum(out) / len(out) if out else math.nan
 
 
@@ -193,23 +199,26 @@ def adaptive_search(df: DataFrame, n_trials: int = 20, fold_col: str = "fold", f
     """Trial table (trial, model, n_estimators, max_depth, C, share, auc): a
     row for every sample on which a setting was judged."""
     data = df.where(F.col(label).isNotNull()).select(F.col(key), F.col(fold_col), F.col(label).cast("double").alias(label), *features)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data, cells = data.persist(StorageLevel.MEMORY_AND_DISK), []
     try:
         labels = data.groupBy(label).count().collect()  # a row a label
         folds = data.agg(F.countDistinct(fold_col)).first()[0]
         shares = sample_shares(min((r["count"] for r in labels), default=0), folds)
-        samples = []
+        n, samples = sum(r["count"] for r in labels), []
         for share in shares if len(labels) > 1 else ():
             part = data if share >= 1 else data.where(in_sample(key, share, seed))
-            samples.append((part, fold_sizes(part, fold_col, label)))
-        n = sum(r["count"] for r in labels)
+            sizes = fold_sizes(part, fold_col, label)
+            samples.append((part, sizes))
+            cells.append(forest_cells(part, n, sorted(f for f in sizes if f is not None), fold_col, features, label) if "rf" in space else None)
         with ThreadPool(fits_at_once(df.sparkSession, n, parallelism)) as fits:
             def evaluate(setting: dict, rung: int) -> float:
-                return fold_auc(*samples[rung], setting, fold_col, features, label, seed, lambda run, of: fits.map(run, of, chunksize=1))
+                return fold_auc(*samples[rung], setting, fold_col, features, label, seed, lambda run, of: fits.map(run, of, chunksize=1), cells[rung])
 
             trials = halving_search(evaluate, len(shares), n_trials, seed, parallelism, space) if len(labels) > 1 else []
     finally:
         data.unpersist()
+        for c in filter(None, cells):
+            c.release()
     rows = [(t.trial, t.setting["model"], t.setting.get("n_estimators"), t.setting.get("max_depth"), t.setting.get("C"), shares[r], v if v == v else None)
             for t in trials for r, v in sorted(t.values.items())]
     return df.sparkSession.createDataFrame(rows, "trial int, model string, n_estimators int, max_depth int, C double, share double, auc double")
