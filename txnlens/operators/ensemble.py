@@ -114,7 +114,7 @@ def search(df: DataFrame, n_trials: int = 20, fold_col: str = "fold", features=E
     """Trial table (trial, model, n_estimators, max_depth, C, auc): the mean
     AUC of every drawn setting over the folds 0, 1 and 2."""
     trials = draw_trials(n_trials, seed)
-    data = df.withColumn(label, F.col(label).cast("double")).cache()
+    data, cells = df.withColumn(label, F.col(label).cast("double")).cache(), None
     try:
         sizes = {r[0]: r["count"] for r in data.groupBy(fold_col).count().collect()}  # a row a fold
         n = sum(sizes.values())
@@ -123,10 +123,18 @@ def search(df: DataFrame, n_trials: int = 20, fold_col: str = "fold", features=E
         n_fit = int(round(n * 2 / 3))  # rows per training fold
         # the long ones first: forests by their nodes
         jobs = [(t, f) for t in sorted(trials, key=lambda t: -(t["n_estimators"] or 0) * 2 ** (t["max_depth"] or 0)) for f in range(FOLDS)]
+        if any(t["model"] == "rf" for t in trials):
+            cells = forest_cells(data, n, list(range(FOLDS)), fold_col, features, label)
+        forests = [j for j in jobs if cells and j[0]["model"] == "rf"]
+        jobs = [j for j in jobs if j not in forests]
         with ThreadPool(fits_at_once(df.sparkSession, n, parallelism)) as pool:
+            grown = pool.apply_async(lambda: cells.aucs(forests, seed) if forests else [])
             aucs = pool.map(lambda j: fit_auc(data, j[0], n_fit, j[1], fold_col, features, label, seed), jobs, chunksize=1)
+            jobs, aucs = forests + jobs, grown.get() + aucs
     finally:
         data.unpersist()
+        if cells:
+            cells.release()
     by = {(t["trial"], f): auc for (t, f), auc in zip(jobs, aucs)}
     rows = [(t["trial"], t["model"], t["n_estimators"], t["max_depth"], t["C"], sum(by[t["trial"], f] for f in range(FOLDS)) / FOLDS)
             for t in sorted(trials, key=lambda t: t["model"] != "rf")]
