@@ -82,8 +82,9 @@ def gram_moments(df: DataFrame, cols: list[str], shift: np.ndarray) -> tuple[int
 def fit_reconstruction(df: DataFrame, features: list[str], k: int = 16, quantile: float = 0.95) -> ReconstructionModel:
     """One pass over the complete training rows gives the moments, from which
     mean, deviation and the covariance of the standardised features follow; a
-    second one, kept for the percentile, the errors."""
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in features]).persist(StorageLevel.MEMORY_AND_DISK)
+    second one the errors. Only these are kept, for the percentile: the wide rows
+    are read twice, so a caller with costly rows keeps what they come from."""
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in features])
     full = complete_rows(df, features)
     some = full.limit(1).collect()
     shift = np.array([some[0][c] for c in features], dtype=float) if some else np.zeros(len(features))
@@ -98,7 +99,6 @@ def fit_reconstruction(df: DataFrame, features: list[str], k: int = 16, quantile
     err = model.with_error(df, "_e").select("_e").persist(StorageLevel.MEMORY_AND_DISK)
     model.threshold = float(exact_quantiles(err, "_e", [quantile])[0])
     err.unpersist()
-    df.unpersist()
     return model
 
 
