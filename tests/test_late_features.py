@@ -4,10 +4,12 @@ results, and nothing wide or by edge is written or kept on the way."""
 import datetime
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from txnlens.operators import graph, graph_model, reconstruct
+from txnlens.operators import graph_network as gn
 from txnlens.operators.features import LateFeatures
 from txnlens.plans import q_models
 
@@ -50,6 +52,25 @@ def test_graph_features_of_late_features(spark, monkeypatch, repeats):
     assert set(wide.columns) == {"id", *FEATURES} and table(wide, "id", *FEATURES) == table(want.drop("Class", "split") if not repeats else graph.propagate(nodes, edges, FEATURES, hops=2), "id", *FEATURES)
 
 
+def test_spread_blocks_of_late_features(spark):
+    """Blocks written once, without inputs, equal those written twice."""
+    d, f = rows(spark, 400), late(spark)
+    two, one = gn.GraphNetwork(FEATURES, 4), gn.GraphNetwork(FEATURES, 4)
+    plain = gn.graph_blocks(f.add(d), two, "Class", "split", block=100)
+    gn._standardise(two, gn._train_matrices(plain, two))
+    want = {r["block"]: r for r in gn.with_first(plain, two).collect()}
+    blocks = gn.graph_blocks(d, one, "Class", "split", block=100, late=f, spread=True)
+    assert np.allclose(one.mean, two.mean) and np.allclose(one.scale, two.scale) and "x" not in blocks.columns
+    got = {r["block"]: r for r in blocks.collect()}
+    assert got.keys() == want.keys() and len(got) == 4
+    for k, r in got.items():
+        assert all(r[c] == want[k][c] for c in ("n", "lo", "hi", "ids", "t", "a", "y", "part")) or np.isnan(np.frombuffer(r["a"])).any()
+        assert np.allclose(np.frombuffer(r["first"]), np.frombuffer(want[k]["first"]))
+    a = gn.fit_graph_network(d, FEATURES, epochs=3, blocks=blocks, net=one)
+    b = gn.fit_graph_network(f.add(d), FEATURES, hidden=4, epochs=3, blocks=plain)
+    assert np.allclose(a.flat, b.flat) and a.auc == b.auc
+
+
 def test_late_working_set_is_the_working_set(spark, tmp_root):
     """Also with vectors that come twice."""
     at, rng = datetime.datetime(2024, 1, 3), random.Random(1)
